@@ -28,5 +28,120 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), with_ids=False)
 
 
-QUERIES = {"op1_token_store": op1_token_store, "op9_packing": op9_packing}
-SQL: dict[str, str] = {}
+TOXIC_AT = 0.7
+
+
+def _fold(n: int):
+    """crc32 of doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def train_rows(labels: DataFrame) -> DataFrame:
+    """Labels that toxicity may learn from."""
+    return labels.where(_fold(3) != 1)
+
+
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import similar_documents
+
+    return similar_documents(table(spark, sf_dir, "documents"), shingle=4, percent=85)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import langid
+
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(_fold(4) != 2))
+    out = langid.predict(docs, model, reject=False)
+    return out.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(True)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find
+
+    return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(*toxicity.training_texts(docs, train_rows(table(spark, sf_dir, "labels")), toxicity.SAMPLE))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", F.coalesce(_fold(3) == 1, F.lit(True)).alias("held_out"), "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import counts
+
+    return counts(table(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..session import materialize
+    from . import secrets
+
+    found = materialize(secrets.candidates(table(spark, sf_dir, "documents")), "secret-candidates")
+    forest = secrets.train_forest(secrets.assigned_findings(found, _fold(4) != 2))
+    return secrets.scan(found, forest)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import chat
+
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(chat.parse(chat.render(chat.from_turns(rows))))
+
+
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import integer_vectors, top_k
+
+    vectors = integer_vectors(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+QUERIES = {
+    "op1_token_store": op1_token_store,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_language_id": op3_language_id,
+    "op4_decontamination": op4_decontamination,
+    "op5_chat_format": op5_chat_format,
+    "op6_toxicity": op6_toxicity,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_packing": op9_packing,
+    "op10_exact_topk": op10_exact_topk,
+    "pipeline": pipeline,
+}
+
+SQL: dict[str, str] = {
+    "op5_chat_format": r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM rows),
+e AS (SELECT *, replace(replace(replace(text, '\', '\b'), '#', '\h'), '<', '\l') AS body,
+        replace(replace(replace(replace(role, '\', '\b'), '#', '\h'), '<', '\l'), ':', '\c') AS head FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, body)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, body), '')) AS loss_sha256,
+  sum(length(head) + length(body) + 14)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""",
+    "op10_exact_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+  FROM v q JOIN v x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""",
+}

@@ -110,10 +110,10 @@ def shingles(words: np.ndarray, first: np.ndarray, k: int, weight: np.ndarray |
         if b - a >= k:
             s, x = h[a : b - k + 1], None if w is None else w[a : b - k + 1]
         elif b > a:
-            whole = np.uint64(b - a)
+            whole = np.array([b - a], np.uint64)
             for j in range(a, b):
                 whole = whole * _P + words[j : j + 1] * _SLOT[j - a]
-            s, x = fmix(np.atleast_1d(whole)), None if w is None else np.array([weight[a:b].min()], weight.dtype)
+            s, x = fmix(whole), None if w is None else np.array([weight[a:b].min()], weight.dtype)
         else:
             s, x = h[:0], None if w is None else weight[:0]
         if x is None:
