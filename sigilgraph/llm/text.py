@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -126,7 +127,7 @@ def shingles(words: np.ndarray, first: np.ndarray, k: int, weight: np.ndarray |
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
     """Parts of a batch with about ``limit`` bytes of text each (one long text may have more)."""
     col = batch.column(batch.schema.get_field_index(column))
-    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), np.int64)
+    size = np.asarray(pc.fill_null(pc.binary_length(col), 0), np.int64)
     total, i = np.concatenate([[0], np.cumsum(size)]), 0
     while i < len(size):
         j = max(i + 1, int(np.searchsorted(total, total[i] + limit, "right")) - 1)
