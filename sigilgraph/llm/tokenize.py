@@ -1,7 +1,8 @@
-"""Token ids of whole texts by a public tokenizer, with a cache of what words encode to.
+"""Token ids of whole texts by a public tokenizer, with a cache of what pre-tokens encode to.
 
-Byte-pair encoding works on one pre-token at a time, so the ids of a text are those of its pieces.
-Texts are cut where no pre-token can cross; only pieces that a worker has not met are encoded.
+Byte-pair encoding works on one pre-token at a time, so the ids of a text are those of its pre-tokens. A worker
+runs the tokenizer's BPE model only on pre-tokens that it has not met; texts for which its own cutting might
+differ from the tokenizer's are encoded by the tokenizer as a whole.
 """
 
 from __future__ import annotations
@@ -12,9 +13,20 @@ from itertools import chain
 import numpy as np
 
 #: Entries kept for one tokenizer in one Python worker; the cache is emptied when it is full.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 _encoders: dict[str, "Encoder"] = {}
 
+# The public pre-token patterns of the two kinds of tokenizers.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+WORD_END = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte: itself if printable, else the next free one from 256."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    free = iter(range(256, 512))
+    return {b: chr(b if b in printable else next(free)) for b in range(256)}
+
 
 class Encoder:
     """``ids(text)`` equals ``Tokenizer.encode(text, add_special_tokens=False).ids``."""
@@ -25,46 +37,31 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, tuple] = {}
+        self.model = self.tokenizer.model
         self.pieces: dict[str, tuple] = {}
-        special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
-        # ByteLevel keeps the space before a word; other pre-tokenizers drop white space altogether.
-        self.keeps_space = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel"
-        # The public pre-token pattern of byte-level BPE.
-        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-
-    def _encode(self, piece: str) -> tuple:
-        return tuple(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-
-    def _word(self, word: str) -> tuple:
-        if self.keeps_space:
-            out: tuple = ()
-            for p in self.pattern.findall(word):
-                ids = self.pieces.get(p)
-                if ids is None:
-                    if len(self.pieces) >= CACHE_ENTRIES:
-                        self.pieces.clear()
-                    ids = self.pieces[p] = self._encode(p)
-                out += ids
-        else:
-            out = self._encode(word)
-        if len(word) <= 64:
-            if len(self.words) >= CACHE_ENTRIES:
-                self.words.clear()
-            self.words[word] = out
+        self.letters = byte_letters()
+        byte_level = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel"
+        self.lower = not byte_level
+        self.cut = regex.compile(BYTE_LEVEL if byte_level else WORD_END).findall
+        special = [regex.escape(x.content) for x in self.tokenizer.get_added_tokens_decoder().values()]
+        # White space that regex libraries may see differently; what lower case or normal forms may change.
+        odd = r"[\x1c-\x1f\x85]" if byte_level else r"[\x1c-\x1f\x85ɐ-\U0010ffff]"
+        self.whole = regex.compile("|".join([*special, odd])).search
+
+    def _piece(self, piece: str) -> tuple:
+        text = piece.encode().decode("latin-1").translate(self.letters)
+        out = tuple([t.id for t in self.model.tokenize(text)])
+        if len(piece) <= 64:
+            if len(self.pieces) >= CACHE_ENTRIES:
+                self.pieces.clear()
+            self.pieces[piece] = out
         return out
 
     def ids(self, text: str) -> np.ndarray:
-        if self.special.search(text) or (self.keeps_space and "  " in text):
+        if self.whole(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        if self.keeps_space:
-            head, *rest = text.split(" ")
-            words = [head] * bool(head) + [" " + x for x in rest]
-        else:
-            words = text.replace("\n", " ").split(" ")
-        get, make = self.words.get, self._word
-        found = [x if (x := get(w)) is not None else make(w) for w in words]
+        get, make = self.pieces.get, self._piece
+        found = [get(p) or make(p) for p in self.cut(text.lower() if self.lower else text)]
         return np.fromiter(chain.from_iterable(found), np.uint32)
 
 
