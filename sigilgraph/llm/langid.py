@@ -30,9 +30,20 @@ class Centroids:
 
 
 def counts(column: pa.Array) -> np.ndarray:
-    """Hashed n-gram counts [text, dimension] of whole texts, ASCII letters lowered."""
+    """Hashed n-gram counts [text, dimension] of whole texts: letters in lower case (ASCII and Latin-1), with one
+    space for all that stands between words."""
     raw, off = T.buffers(column)
-    x = T._LOWER[raw].astype(np.uint32)
+    low = T._LOWER[raw]
+    if len(low) > 1:  # U+00C0-U+00DE are 0xC3 0x80-0x9E in UTF-8, their lower case is 0x20 higher
+        capital = (low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] <= 0x9E) & (low[1:] != 0x97)
+        low[1:][capital] += 0x20
+    letter = ((low >= 97) & (low <= 122)) | (low >= 128)
+    first = np.zeros(len(low) + 1, bool)
+    first[off] = True
+    keep = letter.copy()
+    keep[1:] |= letter[:-1] & ~first[1 : len(low)]  # the first sign after a word stands for the gap
+    x = np.where(letter, low, 32)[keep].astype(np.uint32)
+    off = np.concatenate([[0], np.cumsum(keep)])[off]
     out = np.zeros((len(off) - 1, DIMS), np.float32)
     mix = lambda v: ((v * np.uint32(2654435761)) >> np.uint32(20)).astype(np.int64)  # noqa: E731  12 bits
     one = mix(x + np.uint32(1))

@@ -6,9 +6,10 @@ equal sets are one node. Tokens are ordered by rarity (rarity.py), ties by hash.
 least one token of the first n - ceil(percent n / 100) + 1 in each: only these prefixes are indexed. A token
 that the rarity table has seen once is in no other set and is not posted, but keeps its position.
 
-Candidates come from inverted lists sorted by size. A list of up to SHORT nodes gives all its pairs; a longer
-one pairs each node with a leader, the smallest node whose size allows a link. What leaders leave open is
-found by ``left_over`` and checked in full, so no link is lost and no group of copies is expanded into pairs.
+Candidates come from inverted lists sorted by node. A list of up to SHORT nodes gives all its pairs; a longer
+one pairs each node with a leader, the first node whose size allows a link. Nodes are hashes, so the lists of a
+group of similar sets mostly have the same leader. What leaders leave open is found by ``left_over`` and checked in full, so no
+link is lost and no group of copies is expanded into pairs.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from . import text as T
 
 #: Lists up to this length give all pairs at once.
 SHORT = 4
+#: Leaders of a longer list.
+LEADERS = 8
 #: Bits of the filter that tells which nodes' sets are wanted; 16 MB, whatever the input.
 FILTER_BITS = 1 << 27
 PAIR = "q long, nq int, c long, nc int"
@@ -65,28 +68,35 @@ def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
     and a row with c null for each long list, which names its key.
 
     A positional filter drops a pair whose remaining tokens cannot make up the overlap. A list is read as a stream: at
-    most SHORT nodes and one leader are held.
+    most SHORT nodes or LEADERS leaders are held; nodes that no leader takes are left over.
     """
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = last = None
         held: list[tuple[int, int, int]] = []
-        leader: tuple[int, int, int] | None = None
+        leaders: list[tuple[int, int, int]] = []
         out: list[tuple] = []
 
-        def allow(a, b) -> bool:  # a is the smaller
+        def pair(x, y) -> bool:
+            a, b = (x, y) if x[:2] < y[:2] else (y, x)
             # Tokens before the common one can be shared as well, at most as many as its lesser position.
             room = min(a[2], b[2]) + min(a[0] - a[2], b[0] - b[2])
-            return 100 * a[0] >= percent * b[0] and room >= need(a[0], b[0], percent)
-
-        def pair(a, b):
+            if 100 * a[0] < percent * b[0] or room < need(a[0], b[0], percent):
+                return False
             out.append((a[1], a[0], b[1], b[0], key))
+            return True
+
+        def follow(x):
+            for leader in leaders:
+                if pair(leader, x):
+                    return
+            if len(leaders) < LEADERS:
+                leaders.append(x)
 
         def close():
             for i in range(len(held)):
                 for j in range(i + 1, len(held)):
-                    if allow(held[i], held[j]):
-                        pair(held[i], held[j])
+                    pair(held[i], held[j])
 
         def flush():
             cols = list(zip(*out)) or [[]] * 5
@@ -107,35 +117,29 @@ def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
             at = np.flatnonzero(many)
             for k, node, n, p in zip(keys[at].tolist(), nodes[at].tolist(), np.asarray(b.column("n"))[at].tolist(), np.asarray(b.column("pos"))[at].tolist()):
                 if k != key:
-                    if leader is None:
+                    if not leaders:
                         close()
-                    key, held, leader, last = k, [], None, None
+                    key, held, leaders, last = k, [], [], None
                 if node == last:
                     continue
                 last, me = node, (n, node, p)
-                if leader is None:
+                if leaders:
+                    follow(me)
+                else:
                     held.append(me)
                     if len(held) > SHORT:
                         out.append((None, None, None, None, key))
-                        leader = held[0]
+                        leaders.append(held[0])
                         for x in held[1:]:
-                            if allow(leader, x):
-                                pair(leader, x)
-                            else:
-                                leader = x
+                            follow(x)
                         held = []
-                elif 100 * leader[0] >= percent * n:
-                    if allow(leader, me):
-                        pair(leader, me)
-                else:
-                    leader = me
                 if len(out) >= 8192:
                     yield flush()
-        if leader is None:
+        if not leaders:
             close()
         yield flush()
 
-    dealt = posts.repartition("key").sortWithinPartitions("key", "n", "node")
+    dealt = posts.repartition("key").sortWithinPartitions("key", "node")
     return dealt.mapInArrow(lists, PAIR + ", key long")
 
 

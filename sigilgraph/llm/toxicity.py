@@ -21,7 +21,7 @@ FEATURES = 1 << 18
 #: Word beginnings of so many bytes are features beside the word itself.
 STARTS = (4, 5, 6, 7)
 #: Labelled texts of each class that the queries learn from.
-SAMPLE = 1500
+SAMPLE = 2000
 _SCORE = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())])))])
 
 
@@ -130,29 +130,20 @@ def _emission(model: Field, ids: np.ndarray) -> np.ndarray:
     return model.weights[ids].sum(1, dtype=np.float64)
 
 
-def fit(texts: pa.Array, toxic: np.ndarray, *, rounds: int = 25, min_docs: int = 3, odds: float = 12.0) -> Field:
-    """Train on labelled texts. A token of a toxic text is labelled 1 if its word, or one of its beginnings,
-    stands in ``min_docs`` toxic texts and ``odds`` times as often in toxic texts as in others."""
-    model = Field(base=float(toxic.mean()) if len(toxic) else 0.0)
-    if not len(toxic) or toxic.all() or not toxic.any():
-        return model
-    ids, a, z, first = tokens(texts)
-    doc = np.repeat(np.arange(len(toxic)), np.diff(first))
-    if not len(ids):
-        return model
+def _learn(ids: np.ndarray, first: np.ndarray, toxic: np.ndarray, rounds: int, min_docs: int, min_share: float, odds: float, deviations: float) -> Field:
+    """Weights from the tokens of labelled texts; the curve is left open."""
+    model, n1, n0 = Field(), toxic.sum(), (~toxic).sum()
     in_docs = np.zeros((2, FEATURES))
-    for d in range(len(toxic)):  # one pass over bounded training texts
+    for d in range(len(toxic)):
         in_docs[int(toxic[d]), np.unique(ids[first[d] : first[d + 1]])] += 1
-    n1, n0 = toxic.sum(), (~toxic).sum()
-    strong = (in_docs[1] >= min_docs) & ((in_docs[1] / n1) > odds * (in_docs[0] + 0.5) / n0)
-    y = (strong[ids].any(1) & toxic[doc]).astype(np.float64)
+    chance = (in_docs[0] + 0.5) / max(n0, 1) * n1
+    strong = (in_docs[1] >= max(min_docs, min_share * n1)) & (in_docs[1] > odds * chance) & (in_docs[1] > chance + deviations * np.sqrt(chance))
+    y = (strong[ids].any(1) & np.repeat(toxic, np.diff(first))).astype(np.float64)
     begins = _begins(first, len(ids))
-    seen = np.zeros((2, 2))
-    yi = y.astype(int)
+    yi, seen = y.astype(int), np.zeros((2, 2))
     np.add.at(seen, (yi[:-1][~begins[1:]], yi[1:][~begins[1:]]), 1)
     seen_start = np.bincount(yi[begins], minlength=2)
-    gw, gt, gs = np.full(FEATURES, 1e-8), np.full((2, 2), 1e-8), np.full(2, 1e-8)
-    w = np.zeros(FEATURES)
+    w, gw, gt, gs = np.zeros(FEATURES), np.full(FEATURES, 1e-8), np.full((2, 2), 1e-8), np.full(2, 1e-8)
     flat = ids.ravel()
     for _ in range(rounds):  # AdaGrad on the whole likelihood, with a weak pull to zero
         model.weights = w.astype(np.float32)
@@ -167,13 +158,53 @@ def fit(texts: pa.Array, toxic: np.ndarray, *, rounds: int = 25, min_docs: int =
         gs += g * g
         model.start = model.start + 0.5 * g / np.sqrt(gs)
     model.weights = w.astype(np.float32)
-    p, _ = forward_backward(_emission(model, ids), begins, model)
-    x, c = _sums(p, first), np.zeros(3)
+    return model
+
+
+def _own_texts(texts: pa.Array) -> np.ndarray:
+    """Which texts are not copies of an earlier one, as far as any of three min-hashes of their three-word shingles tells:
+    a word that only one widely copied text has is no evidence."""
+    h, _, _, first = T.word_hashes(*T.buffers(texts), letters_only=True)
+    seen, keep = set(), np.zeros(len(texts), bool)
+    for d, (u, _) in enumerate(T.shingles(h, first, 3)):
+        marks = {(k, int(T.fmix(u ^ T._SLOT[k]).min())) for k in range(3)} if len(u) else {(-1, 0)}
+        keep[d] = not marks & seen
+        seen |= marks
+    return keep
+
+
+def fit(texts: pa.Array, toxic: np.ndarray, *, rounds: int = 20, min_docs: int = 3, min_share: float = 0.015, odds: float = 25.0, deviations: float = 10.0) -> Field:
+    """Train on labelled texts. A token of a toxic text is labelled 1 if its word, or one of its beginnings,
+    stands in ``min_docs`` toxic texts and ``min_share`` of them, ``odds`` times as often as in other texts, and in more than
+    chance allows by ``deviations`` standard deviations. The curve from marginals to scores is fitted on texts that the field in use
+    has not seen: each half is scored by a field from the other half."""
+    base = float(toxic.mean()) if len(toxic) else 0.0
+    if not len(toxic) or toxic.all() or not toxic.any():
+        return Field(base=base)
+    own = _own_texts(texts)
+    if toxic[own].any() and not toxic[own].all():
+        texts, toxic = texts.filter(pa.array(own)), toxic[own]
+    ids, _, _, first = tokens(texts)
+    if not len(ids):
+        return Field(base=base)
+    how = (rounds, min_docs, min_share, odds, deviations)
+    half = np.arange(len(toxic)) % 2 == 0
+    x = np.zeros((len(toxic), 3))
+    size = np.diff(first)
+    for own in (half, ~half):
+        if toxic[own].all() or not toxic[own].any():
+            continue
+        at = lambda pick: (ids[np.repeat(pick, size)], np.concatenate([[0], np.cumsum(size[pick])]))
+        part, begin = at(own)
+        model = _learn(part, begin, toxic[own], *how) if len(part) else Field()
+        part, begin = at(~own)
+        x[~own] = _sums(forward_backward(_emission(model, part), _begins(begin, len(part)), model)[0], begin)
+    model, c = _learn(ids, first, toxic, *how), np.zeros(3)
     for _ in range(30):  # Newton steps for the curve
         q = 1 / (1 + np.exp(-np.clip(x @ c, -30, 30)))
         h = (x * (q * (1 - q))[:, None]).T @ x + 0.1 * np.eye(3)
         c = c + np.linalg.solve(h, x.T @ (toxic - q) - 0.1 * c)
-    model.curve = c
+    model.curve, model.base = c, base
     return model
 
 
