@@ -19,7 +19,9 @@ from . import rarity, setjoin
 from . import text as T
 
 _SEEN = 500_000
-_LINE = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("line", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("pos", pa.list_(pa.int32()))])
+_LINE = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("line", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("pos", pa.list_(pa.int32())), ("bits", pa.binary())])
+#: 64-bit words of a posting's bitmap.
+_WORDS = 2
 
 
 def _lines(b: pa.RecordBatch):
@@ -53,18 +55,18 @@ def line_units(docs: DataFrame, percent: int, min_tokens: int, table) -> DataFra
                 for d, line, u, at, h in _lines(b):
                     if len(u) < min_tokens:
                         continue
-                    node, keys, pos = setjoin.fingerprint(u), None, None
+                    node, keys, pos, bits = setjoin.fingerprint(u), None, None, None
                     if node not in seen:
                         if len(seen) >= _SEEN:
                             seen.clear()
                         seen.add(node)
                         keys, pos = setjoin.prefix(u, codes[rarity.slot(u)], percent)
-                        keys = keys.view(np.int64)
-                    rows.append((ids[d], rids[d], line, node, len(u), keys, pos))
-                cols = list(zip(*rows)) or [[]] * 7
+                        keys, bits = keys.view(np.int64), setjoin.bitmap(u, _WORDS)
+                    rows.append((ids[d], rids[d], line, node, len(u), keys, pos, bits))
+                cols = list(zip(*rows)) or [[]] * len(_LINE)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _LINE)], schema=_LINE)
 
-    return _documents(docs).mapInArrow(run, "doc_id long, rid long, line int, node long, n int, keys array<long>, pos array<int>")
+    return _documents(docs).mapInArrow(run, "doc_id long, rid long, line int, node long, n int, keys array<long>, pos array<int>, bits binary")
 
 
 def line_sets(docs: DataFrame, min_tokens: int, bits) -> DataFrame:
@@ -109,7 +111,7 @@ def removed_lines(docs: DataFrame, *, percent: int = 80, min_tokens: int = 5) ->
     late = materialize(later(links), "line-late")
     if found.where(F.col("c").isNull()).limit(1).count():
         state = late.select("node", F.lit(1).alias("s"))
-        more = setjoin.left_over(posts, found, state, percent, lambda a, b: (a == 0) | (b == 0), components=False)
+        more = setjoin.left_over(posts, found, state, percent, lambda a, b: (a == 1) & (b == 1), components=False)
         more = materialize(more.join(pairs.select("q", "c"), ["q", "c"], "left_anti"), "line-rest")
         if more.limit(1).count():
             bits = spark.sparkContext.broadcast(setjoin.node_filter(more))

@@ -6,10 +6,12 @@ equal sets are one node. Tokens are ordered by rarity (rarity.py), ties by hash.
 least one token of the first n - ceil(percent n / 100) + 1 in each: only these prefixes are indexed. A token
 that the rarity table has seen once is in no other set and is not posted, but keeps its position.
 
-Candidates come from inverted lists sorted by node. A list of up to SHORT nodes gives all its pairs; a longer
-one pairs each node with a leader, the first node whose size allows a link. Nodes are hashes, so the lists of a
-group of similar sets mostly have the same leader. What leaders leave open is found by ``left_over`` and checked in full, so no
-link is lost and no group of copies is expanded into pairs.
+Candidates come from inverted lists. Each posting carries its set's size, the token's position and a parity bitmap: a
+bit is the parity of the tokens that hash to it, so two bitmaps differ in no more bits than the sets in tokens. Pairs of a
+list pass a length, a positional and the bitmap filter before they leave their task. A list that still
+gives many pairs belongs to a group of similar sets: each of its nodes is paired with the first few that it may link to,
+in the order of node hashes, which is the same in all lists of the group. What this leaves open is found by ``left_over``
+and checked in full, so no link is lost and no group of copies is expanded into pairs.
 """
 
 from __future__ import annotations
@@ -24,10 +26,10 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from . import text as T
 
-#: Lists up to this length give all pairs at once.
-SHORT = 4
-#: Leaders of a longer list.
-LEADERS = 8
+#: A list may give so many pairs for each of its nodes; else each node is paired with FIRST others.
+MANY, FIRST = 4, 2
+#: Postings that are compared at once (a longer list is one block).
+BLOCK = 100_000
 #: Bits of the filter that tells which nodes' sets are wanted; 16 MB, whatever the input.
 FILTER_BITS = 1 << 27
 PAIR = "q long, nq int, c long, nc int"
@@ -57,87 +59,108 @@ def prefix(hashes: np.ndarray, codes: np.ndarray, percent: int) -> tuple[np.ndar
     return hashes[order][keep], np.flatnonzero(keep)
 
 
+def bitmap(hashes: np.ndarray, words: int) -> bytes:
+    """The parity bitmap of a set, 64 * words bits."""
+    bit = (hashes >> np.uint64(20)).astype(np.int64) & (64 * words - 1)
+    odd = np.bincount(bit, minlength=64 * words) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
 def postings(units: DataFrame) -> DataFrame:
-    """(key, node, n, pos) of units (node, n, keys, pos); keys may be null where the node was posted before."""
+    """(key, node, n, pos, bits) of units (node, n, keys, pos, bits); keys may be null where the node was posted before."""
     z = F.explode(F.arrays_zip("keys", "pos")).alias("z")
-    return units.where(F.size("keys") > 0).select("node", "n", z).select(F.col("z.keys").alias("key"), "node", "n", F.col("z.pos").alias("pos"))
+    return units.where(F.size("keys") > 0).select("node", "n", "bits", z).select(F.col("z.keys").alias("key"), "node", "n", F.col("z.pos").alias("pos"), "bits")
+
+
+def _pairs(key, node, n, pos, bits, percent: int, settled=None):
+    """Indices (i, j) of postings sorted by (key, node) whose sets may link, for all lists of a block at once."""
+    found = []
+    i = np.arange(len(key) - 1)
+    step = 0
+    while len(i):
+        step += 1
+        i = i[i + step < len(key)]
+        i = i[key[i] == key[i + step]]
+        j = i + step
+        a, b = n[i], n[j]
+        ok = (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (node[i] != node[j])
+        least = -(-percent * (a + b) // (100 + percent))
+        # Tokens before the common one can be shared as well, at most as many as its lesser position.
+        ok &= np.minimum(pos[i], pos[j]) + np.minimum(a - pos[i], b - pos[j]) >= least
+        if settled is not None:
+            ok &= ~settled(i, j)
+        x, y = i[ok], j[ok]
+        if len(x):
+            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+            ok = apart <= n[x] + n[y] - 2 * least[ok]
+            if ok.any():
+                found.append((x[ok], y[ok]))
+    if not found:
+        z = np.zeros(0, np.int64)
+        return z, z
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]):
+    """Whole lists of a stream sorted by key, as columns of some BLOCK rows."""
+    held: list[list[np.ndarray]] = []
+
+    def columns(b: pa.RecordBatch) -> list[np.ndarray]:
+        out = []
+        for name in names:
+            c = b.column(name)
+            if pa.types.is_binary(c.type):
+                off = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]
+                out.append(np.frombuffer(c.buffers()[2], np.uint8)[off[0] : off[-1]].view("<u8").reshape(len(c), -1))
+            else:
+                out.append(np.asarray(c).astype(np.int64))
+        return out
+
+    def joined() -> list[np.ndarray]:
+        return [np.concatenate([h[k] for h in held]) for k in range(len(names))]
+
+    size = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append([c.copy() for c in columns(b)])
+        size += b.num_rows
+        if size >= BLOCK:
+            all_ = joined()
+            cut = int(np.searchsorted(all_[0], all_[0][-1]))  # the last list may go on
+            if cut:
+                yield [c[:cut] for c in all_]
+            held, size = [[c[cut:] for c in all_]], len(all_[0]) - cut
+            if size >= BLOCK:
+                size = 0  # one long list: look again after as many rows more
+    if held:
+        yield joined()
 
 
 def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
-    """(q, nq, c, nc, key): pairs out of the inverted lists, q before c by size and node, q = c never;
-    and a row with c null for each long list, which names its key.
-
-    A positional filter drops a pair whose remaining tokens cannot make up the overlap. A list is read as a stream: at
-    most SHORT nodes or LEADERS leaders are held; nodes that no leader takes are left over.
-    """
+    """(q, nq, c, nc, key): pairs out of the inverted lists; and a row with c null for each list that gave too many
+    pairs, which names its key."""
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = last = None
-        held: list[tuple[int, int, int]] = []
-        leaders: list[tuple[int, int, int]] = []
-        out: list[tuple] = []
-
-        def pair(x, y) -> bool:
-            a, b = (x, y) if x[:2] < y[:2] else (y, x)
-            # Tokens before the common one can be shared as well, at most as many as its lesser position.
-            room = min(a[2], b[2]) + min(a[0] - a[2], b[0] - b[2])
-            if 100 * a[0] < percent * b[0] or room < need(a[0], b[0], percent):
-                return False
-            out.append((a[1], a[0], b[1], b[0], key))
-            return True
-
-        def follow(x):
-            for leader in leaders:
-                if pair(leader, x):
-                    return
-            if len(leaders) < LEADERS:
-                leaders.append(x)
-
-        def close():
-            for i in range(len(held)):
-                for j in range(i + 1, len(held)):
-                    pair(held[i], held[j])
-
-        def flush():
-            cols = list(zip(*out)) or [[]] * 5
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
-            b = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["q", "nq", "c", "nc", "key"])
-            out.clear()
-            return b
-
-        for b in batches:
-            keys, nodes = np.asarray(b.column("key")), np.asarray(b.column("node"))
-            # Only keys with two postings matter: skip the others without a Python loop.
-            many = np.zeros(len(keys), bool)
-            if len(keys):
-                same = keys[1:] == keys[:-1]
-                many[1:] |= same
-                many[:-1] |= same
-                many[0] = many[-1] = True  # may go on in the batch before or after
-            at = np.flatnonzero(many)
-            for k, node, n, p in zip(keys[at].tolist(), nodes[at].tolist(), np.asarray(b.column("n"))[at].tolist(), np.asarray(b.column("pos"))[at].tolist()):
-                if k != key:
-                    if not leaders:
-                        close()
-                    key, held, leaders, last = k, [], [], None
-                if node == last:
-                    continue
-                last, me = node, (n, node, p)
-                if leaders:
-                    follow(me)
-                else:
-                    held.append(me)
-                    if len(held) > SHORT:
-                        out.append((None, None, None, None, key))
-                        leaders.append(held[0])
-                        for x in held[1:]:
-                            follow(x)
-                        held = []
-                if len(out) >= 8192:
-                    yield flush()
-        if not leaders:
-            close()
-        yield flush()
+        for key, node, n, pos, bits in _blocks(batches, ["key", "node", "n", "pos", "bits"]):
+            i, j = _pairs(key, node, n, pos, bits, percent)
+            if not len(i):
+                continue
+            list_of = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
+            many = np.bincount(list_of[i], minlength=list_of[-1] + 1) > MANY * np.bincount(list_of)
+            o = np.lexsort((i, j))
+            i, j = i[o], j[o]
+            start = np.flatnonzero(np.concatenate([[True], j[1:] != j[:-1]]))
+            rank = np.arange(len(j)) - np.repeat(start, np.diff(np.append(start, len(j))))
+            keep = (rank < FIRST) | ~many[list_of[j]]
+            i, j = i[keep], j[keep]
+            marks = key[np.searchsorted(list_of, np.flatnonzero(many))]
+            for at in range(0, len(i), 1 << 16):
+                x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(n[x], pa.int32()), pa.array(node[y]), pa.array(n[y], pa.int32()), pa.array(key[x])], names=["q", "nq", "c", "nc", "key"])
+            if len(marks):
+                none = [pa.nulls(len(marks), t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int32())]
+                yield pa.RecordBatch.from_arrays([*none, pa.array(marks)], names=["q", "nq", "c", "nc", "key"])
 
     dealt = posts.repartition("key").sortWithinPartitions("key", "node")
     return dealt.mapInArrow(lists, PAIR + ", key long")
@@ -231,52 +254,27 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("q", "c", "hq", "hc").mapInArrow(probe, "a long, b long")
 
 
-def left_over(posts: DataFrame, found: DataFrame, state: DataFrame, percent: int, need_pair, components: bool = True) -> DataFrame:
-    """Pairs of long lists that leaders have not settled: (q, nq, c, nc), distinct.
+def left_over(posts: DataFrame, found: DataFrame, state: DataFrame, percent: int, settled, components: bool = True) -> DataFrame:
+    """Pairs of crowded lists that the first round has not settled: (q, nq, c, nc), distinct.
 
-    ``state`` is (node, s), what a first round decided about nodes; ``need_pair(s_of_many, s_of_one)`` says which
-    pairs still matter. With ``components``, s is a component (the node itself, if absent) and lists of one component are
-    done; otherwise an absent s is 0.
+    ``state`` is (node, s), what that round decided about nodes; ``settled(s_i, s_j)`` says which pairs need no
+    look. With ``components``, s is a component (the node itself, if absent) and lists of one component are done;
+    otherwise an absent s is 0.
     """
     keys = found.where(F.col("c").isNull()).select("key").distinct()
     absent = F.col("node") if components else F.lit(0)
-    members = posts.join(keys, "key", "left_semi").select("key", "node", "n").distinct().join(state, "node", "left").select("key", "n", "node", F.coalesce("s", absent).cast("long").alias("s"))
+    members = posts.join(keys, "key", "left_semi").join(state, "node", "left").select("key", "node", "n", "pos", "bits", F.coalesce("s", absent).cast("long").alias("s"))
     if components:
         members = materialize(members, "long-lists")
         mixed = members.groupBy("key").agg(F.min("s").alias("lo"), F.max("s").alias("hi")).where(F.col("lo") != F.col("hi")).select("key")
         members = members.join(mixed, "key", "left_semi")
-    rest = members.repartition("key").sortWithinPartitions("key", "n", "node")
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def settle(held):
-            n, node, s = (np.concatenate([h[k] for h in held]) for k in range(3))
-            low = np.searchsorted(n, -(-percent * n.astype(np.int64) // 100))  # smaller sets cannot link
-            parts, size = [], 0
-            for k in range(1, len(n)):
-                at = low[k] + np.flatnonzero(need_pair(s[low[k] : k], s[k]))
-                if len(at):
-                    parts.append((node[at], n[at], np.full(len(at), node[k]), np.full(len(at), n[k])))
-                    size += len(at)
-                if parts and (size > 1 << 16 or k == len(n) - 1):
-                    cols = [np.concatenate([p[j] for p in parts]) for j in range(4)]
-                    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["q", "nq", "c", "nc"])
-                    parts, size = [], 0
-
-        key, held = None, []
-        for b in batches:
-            if not b.num_rows:
-                continue
-            keys = np.asarray(b.column("key"))
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1), len(keys)]
-            cols = [np.asarray(b.column(x)) for x in ("n", "node", "s")]
-            for i, j in zip(cuts, cuts[1:]):
-                if keys[i] != key and held:
-                    yield from settle(held)
-                    held = []
-                key = keys[i]
-                held.append([c[i:j] for c in cols])
-        if held:
-            yield from settle(held)
+        for key, node, n, pos, bits, s in _blocks(batches, ["key", "node", "n", "pos", "bits", "s"]):
+            i, j = _pairs(key, node, n, pos, bits, percent, lambda i, j: settled(s[i], s[j]))
+            for at in range(0, len(i), 1 << 16):
+                x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(n[x], pa.int32()), pa.array(node[y]), pa.array(n[y], pa.int32())], names=["q", "nq", "c", "nc"])
 
+    rest = members.repartition("key").sortWithinPartitions("key", "node")
     return rest.mapInArrow(cross, PAIR).distinct()
