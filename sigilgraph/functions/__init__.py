@@ -1 +1 @@
-"""functions."""
+"""Scalar and array expressions: identity, clamps, time, tags, zones."""

@@ -1,11 +1,61 @@
-"""All registered queries and their SQL."""
+"""Registered queries: operators over the domain tables, each with SQL that DuckDB runs on the same tables."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+_QUERIES: dict[str, Callable] = {}
+_SQL: dict[str, str] = {}
 
-def oracle_sql() -> dict:
-    return {}
+
+class Tables:
+    """Domain and driver tables of one folder, by name."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._at, self._seen = (spark, sf_dir), {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        from ..sources.adapter import domain
+
+        return domain(*self._at, name, self._seen)
+
+    @property
+    def spark(self) -> SparkSession:
+        return self._at[0]
+
+
+def query(name: str, sql: str | None = None):
+    """Register a function of Tables under ``name``."""
+
+    def add(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from ..session import make_importable
+
+            make_importable(spark)
+            return f(Tables(spark, sf_dir))
+
+        run.__doc__ = f.__doc__
+        _QUERIES[name] = run
+        if sql:
+            from ..sources.adapter import with_domain
+
+            _SQL[name] = with_domain(sql)
+        return f
+
+    return add
+
+
+def _load() -> None:
+    from . import enriching, identity, linking, merging, serving, texts  # noqa: F401
+
+
+def queries() -> dict[str, Callable]:
+    _load()
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    _load()
+    return dict(_SQL)
