@@ -19,26 +19,37 @@ from . import rarity, setjoin
 from . import text as T
 
 _SEEN = 500_000
-_LINE = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("line", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("pos", pa.list_(pa.int32())), ("bits", pa.binary())])
-#: 64-bit words of a posting's bitmap.
-_WORDS = 2
+_LINE = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("line", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("pos", pa.list_(pa.int32())), ("bits", pa.int64())])
 
 
-def _lines(b: pa.RecordBatch):
-    """(text index, line number, distinct sorted hashes, index of each hash's first word, all hashes) of every line with words."""
+def _lines(b: pa.RecordBatch, min_tokens: int):
+    """(sets of all lines with words, text index, line number, which have enough words) of a batch; None without any."""
     raw, off = T.buffers(b.column("text"))
     h, a, _, first = T.word_hashes(raw, off)
     if not len(h):
-        return
+        return None
     breaks = np.concatenate([[0], np.cumsum(raw == 10)])
     line = breaks[a]  # line feeds before each word, over the whole batch
     doc = np.repeat(np.arange(len(off) - 1), np.diff(first))
-    edge = np.flatnonzero((np.diff(line) != 0) | (np.diff(doc) != 0)) + 1
-    cuts = np.concatenate([[0], edge, [len(h)]])
-    for i, j in zip(cuts[:-1], cuts[1:]):
-        d = int(doc[i])
-        u, at = np.unique(h[i:j], return_index=True)
-        yield d, int(line[i] - breaks[off[d]]), u, at + i, h
+    new = np.zeros(len(h), bool)
+    new[1:] = (np.diff(line) != 0) | (np.diff(doc) != 0)
+    unit = np.cumsum(new)
+    heads = np.flatnonzero(np.concatenate([[True], new[1:]]))
+    sets = setjoin.Units(h, unit, len(heads))
+    return sets, doc[heads], line[heads] - breaks[off[doc[heads]]], sets.n >= min_tokens
+
+
+def _first_seen(nodes: np.ndarray, wanted: np.ndarray, seen: set) -> np.ndarray:
+    """Which wanted nodes the task has not met before."""
+    out = np.zeros(len(nodes), bool)
+    at = np.flatnonzero(wanted)
+    for k, node in zip(at.tolist(), nodes[at].tolist()):
+        if node not in seen:
+            if len(seen) >= _SEEN:
+                seen.clear()
+            seen.add(node)
+            out[k] = True
+    return out
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -47,43 +58,41 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def line_units(docs: DataFrame, percent: int, min_tokens: int, table) -> DataFrame:
+    """(doc_id, rid, line, node, n, keys, pos, bits) of lines with enough words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, seen = table.value, set()
         for whole in batches:
             for b in T.slices(whole, "text"):
-                ids, rids, rows = b.column("doc_id").to_pylist(), b.column("rid").to_pylist(), []
-                for d, line, u, at, h in _lines(b):
-                    if len(u) < min_tokens:
-                        continue
-                    node, keys, pos, bits = setjoin.fingerprint(u), None, None, None
-                    if node not in seen:
-                        if len(seen) >= _SEEN:
-                            seen.clear()
-                        seen.add(node)
-                        keys, pos = setjoin.prefix(u, codes[rarity.slot(u)], percent)
-                        keys, bits = keys.view(np.int64), setjoin.bitmap(u, _WORDS)
-                    rows.append((ids[d], rids[d], line, node, len(u), keys, pos, bits))
-                cols = list(zip(*rows)) or [[]] * len(_LINE)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _LINE)], schema=_LINE)
-
-    return _documents(docs).mapInArrow(run, "doc_id long, rid long, line int, node long, n int, keys array<long>, pos array<int>, bits binary")
+                found = _lines(b, min_tokens)
+                if found is None:
+                    continue
+                sets, doc, line, ok = found
+                nodes = sets.nodes()
+                post = _first_seen(nodes, ok, seen)
+                unit, keys, pos = sets.prefixes(codes[rarity.slot(sets.hashes)], percent)
+                at = pa.array(np.flatnonzero(ok))
+                cols = [b.column("doc_id").take(pa.array(doc)), b.column("rid").take(pa.array(doc)), pa.array(line.astype(np.int32)), pa.array(nodes), pa.array(sets.n.astype(np.int32)), setjoin.listed(unit, keys.view(np.int64), post, pa.int64()), setjoin.listed(unit, pos, post, pa.int32()), pa.array(sets.bitmaps(1)[:, 0].view(np.int64))]
+                yield pa.RecordBatch.from_arrays([c.take(at) for c in cols], schema=_LINE)
+
+    return _documents(docs).mapInArrow(run, "doc_id long, rid long, line int, node long, n int, keys array<long>, pos array<int>, bits long")
 
 
 def line_sets(docs: DataFrame, min_tokens: int, bits) -> DataFrame:
+    """(node, hashes) of lines that the filter wants."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = set()
+        done: set = set()
         for whole in batches:
             for b in T.slices(whole, "text"):
-                found = [(setjoin.fingerprint(u), u) for _, _, u, _, _ in _lines(b) if len(u) >= min_tokens]
-                ok = setjoin.wanted(bits.value, np.array([n for n, _ in found], np.int64)) if found else []
-                nodes, blobs = [], []
-                for (node, u), k in zip(found, ok):
-                    if k and node not in done:
-                        if len(done) >= _SEEN:
-                            done.clear()
-                        done.add(node)
-                        nodes.append(node), blobs.append(u.astype("<u8").tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())], names=["node", "hashes"])
+                found = _lines(b, min_tokens)
+                if found is None:
+                    continue
+                sets, _, _, ok = found
+                nodes = sets.nodes()
+                at = np.flatnonzero(_first_seen(nodes, ok & setjoin.wanted(bits.value, nodes), done))
+                blobs = [sets.sorted_hashes(k).astype("<u8").tobytes() for k in at]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[at]), pa.array(blobs, pa.binary())], names=["node", "hashes"])
 
     return docs.select("text").mapInArrow(run, "node long, hashes binary")
 
@@ -99,7 +108,8 @@ def removed_lines(docs: DataFrame, *, percent: int = 80, min_tokens: int = 5) ->
     found = materialize(setjoin.candidate_pairs(posts, percent), "line-lists")
     pairs = materialize(setjoin.merge_lists(found, percent), "line-pairs")
     bits = spark.sparkContext.broadcast(setjoin.node_filter(pairs))
-    links = setjoin.verified(pairs, line_sets(docs, min_tokens, bits), percent)
+    sets = materialize(line_sets(docs, min_tokens, bits), "line-sets")
+    links = setjoin.verified(pairs, sets, percent)
     place = F.struct("doc_id", "rid", "line")
     first = materialize(rows.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("times")), "line-first")
 
@@ -114,8 +124,7 @@ def removed_lines(docs: DataFrame, *, percent: int = 80, min_tokens: int = 5) ->
         more = setjoin.left_over(posts, found, state, percent, lambda a, b: (a == 1) & (b == 1), components=False)
         more = materialize(more.join(pairs.select("q", "c"), ["q", "c"], "left_anti"), "line-rest")
         if more.limit(1).count():
-            bits = spark.sparkContext.broadcast(setjoin.node_filter(more))
-            late = materialize(late.unionByName(later(setjoin.verified(more, line_sets(docs, min_tokens, bits), percent))).distinct(), "line-late")
+            late = materialize(late.unionByName(later(setjoin.verified(more, sets, percent))).distinct(), "line-late")
     marked = first.join(late.withColumn("late", F.lit(True)), "node", "left").where(F.col("late") | (F.col("times") > 1)).select("node", "first", F.coalesce("late", F.lit(False)).alias("late"))
     gone = rows.select("doc_id", "rid", "line", "node").join(marked, "node").where(F.col("late") | (place != F.col("first")))
     return gone.groupBy("doc_id", "rid").agg(F.array_sort(F.collect_set("line")).alias("lines"))

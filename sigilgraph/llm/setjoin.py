@@ -40,30 +40,58 @@ def need(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1 if n else 0
+class Units:
+    """The sets of many text units at once, from token hashes and the unit (ascending) of each."""
+
+    def __init__(self, hashes: np.ndarray, unit: np.ndarray, count: int):
+        order = np.argsort(unit.astype(np.uint64) << np.uint64(40) | hashes >> np.uint64(24))
+        h, u = hashes[order], unit[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (u[1:] != u[:-1])
+        self.order = order[new]  # index of a token of each distinct hash
+        self.hashes, self.unit = h[new], u[new]
+        self.n = np.bincount(self.unit, minlength=count)
+        self.start = np.concatenate([[0], np.cumsum(self.n)])
+
+    def _reduce(self, values: np.ndarray, how) -> np.ndarray:
+        """A ufunc's reduction over each unit, 0 for empty ones."""
+        out = np.zeros(len(self.n), np.uint64)
+        has = self.n > 0
+        if has.any():
+            out[has] = how.reduceat(values, self.start[:-1][has])
+        return out
 
+    def nodes(self) -> np.ndarray:
+        """Fingerprints: order-free mixes of the sets' hashes."""
+        return T.fmix(self._reduce(T.fmix(self.hashes + T._SLOT[0]), np.add) + self.n.astype(np.uint64) * T._P).view(np.int64)
 
-def fingerprint(hashes: np.ndarray) -> int:
-    """A node: an order-free mix of a set's hashes."""
-    total = np.array([len(hashes)], np.uint64) * T._P
-    total += T.fmix(hashes + T._SLOT[0]).sum(dtype=np.uint64)
-    return int(T.fmix(total).astype(np.int64)[0])
+    def bitmaps(self, words: int) -> np.ndarray:
+        """Parity bitmaps [unit, word]."""
+        bit = self.hashes >> np.uint64(20)
+        one = np.uint64(1) << (bit & np.uint64(63))
+        word = (bit >> np.uint64(6)) % np.uint64(words)
+        return np.stack([self._reduce(np.where(word == np.uint64(k), one, np.uint64(0)), np.bitwise_xor) for k in range(words)], 1)
 
+    def prefixes(self, codes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(unit, hash, position) of the prefix tokens that may be in another set; codes: rarity of each distinct token."""
+        key = self.unit.astype(np.uint64) << np.uint64(40) | codes.astype(np.uint64) << np.uint64(32) | self.hashes >> np.uint64(32)
+        order = np.argsort(key, kind="stable")
+        unit = self.unit[order]
+        pos = np.arange(len(order)) - self.start[unit]
+        length = self.n - -(-percent * self.n // 100) + 1
+        keep = (pos < length[unit]) & (codes[order] != 1)
+        return unit[keep], self.hashes[order][keep], pos[keep]
 
-def prefix(hashes: np.ndarray, codes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, positions) of the prefix's tokens that may be in another set."""
-    k = prefix_length(len(hashes), percent)
-    order = np.lexsort((hashes, codes))[:k]
-    keep = codes[order] != 1
-    return hashes[order][keep], np.flatnonzero(keep)
+    def sorted_hashes(self, unit: int) -> np.ndarray:
+        return np.sort(self.hashes[self.start[unit] : self.start[unit + 1]])
 
 
-def bitmap(hashes: np.ndarray, words: int) -> bytes:
-    """The parity bitmap of a set, 64 * words bits."""
-    bit = (hashes >> np.uint64(20)).astype(np.int64) & (64 * words - 1)
-    odd = np.bincount(bit, minlength=64 * words) & 1
-    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+def listed(unit: np.ndarray, values: np.ndarray, wanted: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A list column with the values of each wanted unit, NULL for others."""
+    keep = wanted[unit]
+    size = np.bincount(unit[keep], minlength=len(wanted))
+    off = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(off), pa.array(values[keep]).cast(kind), mask=pa.array(~wanted))
 
 
 def postings(units: DataFrame) -> DataFrame:
@@ -109,7 +137,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]):
         out = []
         for name in names:
             c = b.column(name)
-            if pa.types.is_binary(c.type):
+            if name == "bits" and pa.types.is_int64(c.type):
+                out.append(np.asarray(c).view(np.uint64).reshape(-1, 1))
+            elif pa.types.is_binary(c.type):
                 off = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]
                 out.append(np.frombuffer(c.buffers()[2], np.uint8)[off[0] : off[-1]].view("<u8").reshape(len(c), -1))
             else:
@@ -138,7 +168,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]):
 
 
 def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
-    """(q, nq, c, nc, key): pairs out of the inverted lists; and a row with c null for each list that gave too many
+    """(q, nq, c, nc, key): pairs out of the inverted lists, without key; and a row with c null for each list that gave too many
     pairs, which names its key."""
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,11 +183,12 @@ def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
             start = np.flatnonzero(np.concatenate([[True], j[1:] != j[:-1]]))
             rank = np.arange(len(j)) - np.repeat(start, np.diff(np.append(start, len(j))))
             keep = (rank < FIRST) | ~many[list_of[j]]
+            keep[np.unique(i, return_index=True)[1]] = True  # so that pairs name all nodes that any pair has
             i, j = i[keep], j[keep]
             marks = key[np.searchsorted(list_of, np.flatnonzero(many))]
             for at in range(0, len(i), 1 << 16):
                 x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(n[x], pa.int32()), pa.array(node[y]), pa.array(n[y], pa.int32()), pa.array(key[x])], names=["q", "nq", "c", "nc", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(n[x], pa.int32()), pa.array(node[y]), pa.array(n[y], pa.int32()), pa.nulls(len(x), pa.int64())], names=["q", "nq", "c", "nc", "key"])
             if len(marks):
                 none = [pa.nulls(len(marks), t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int32())]
                 yield pa.RecordBatch.from_arrays([*none, pa.array(marks)], names=["q", "nq", "c", "nc", "key"])

@@ -89,39 +89,36 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, letters_only: bool = False
     return out, starts, ends, np.searchsorted(starts, offsets)
 
 
-def shingles(words: np.ndarray, first: np.ndarray, k: int, weight: np.ndarray | None = None):
-    """Yields (distinct shingle hashes, their weight) for each text, unsorted by weight.
+def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int, weight: np.ndarray | None = None):
+    """(hash, text, weight) of all shingles of ``k`` words, texts in order.
 
     A text with fewer than ``k`` words has its whole sequence as its only shingle, one without words
     has none. ``weight`` is a value for each word; a shingle has the least of its words.
     """
-    n = len(words)
+    n, size = len(words), np.diff(first)
+    doc = np.repeat(np.arange(len(size)), size)
     h = np.zeros(n, np.uint64)
     w = None if weight is None else weight.copy()
     for j in range(k):
         m = n - j
         if m <= 0:
             break
-        h[:m] += words[j:] * _SLOT[j]
+        inside = doc[:m] == doc[j:]
+        h[:m] += np.where(inside, words[j:] * _SLOT[j], np.uint64(0))
         if j and w is not None:
-            np.minimum(w[:m], weight[j:], out=w[:m])
-    h = fmix(h)
-    for d in range(len(first) - 1):
-        a, b = int(first[d]), int(first[d + 1])
-        if b - a >= k:
-            s, x = h[a : b - k + 1], None if w is None else w[a : b - k + 1]
-        elif b > a:
-            whole = np.array([b - a], np.uint64)
-            for j in range(a, b):
-                whole = whole * _P + words[j : j + 1] * _SLOT[j - a]
-            s, x = fmix(whole), None if w is None else np.array([weight[a:b].min()], weight.dtype)
-        else:
-            s, x = h[:0], None if w is None else weight[:0]
-        if x is None:
-            yield np.unique(s), None
-        else:
-            u, at = np.unique(s, return_index=True)
-            yield u, x[at]
+            np.minimum(w[:m], weight[j:], out=w[:m], where=inside)
+    left = first[doc + 1] - np.arange(n)  # words from here to the end of the text
+    keep = (left >= k) | (np.arange(n) == first[doc])
+    h = fmix(h + np.minimum(left, k).astype(np.uint64))
+    return h[keep], doc[keep], None if w is None else w[keep]
+
+
+def shingles(words: np.ndarray, first: np.ndarray, k: int):
+    """Yields the sorted distinct shingle hashes of each text."""
+    h, doc, _ = shingle_hashes(words, first, k)
+    cut = np.searchsorted(doc, np.arange(len(first)))
+    for a, b in zip(cut[:-1], cut[1:]):
+        yield np.unique(h[a:b])
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):

@@ -166,7 +166,7 @@ def _own_texts(texts: pa.Array) -> np.ndarray:
     a word that only one widely copied text has is no evidence."""
     h, _, _, first = T.word_hashes(*T.buffers(texts), letters_only=True)
     seen, keep = set(), np.zeros(len(texts), bool)
-    for d, (u, _) in enumerate(T.shingles(h, first, 3)):
+    for d, u in enumerate(T.shingles(h, first, 3)):
         marks = {(k, int(T.fmix(u ^ T._SLOT[k]).min())) for k in range(3)} if len(u) else {(-1, 0)}
         keep[d] = not marks & seen
         seen |= marks
