@@ -72,6 +72,13 @@ class Units:
         word = (bit >> np.uint64(6)) % np.uint64(words)
         return np.stack([self._reduce(np.where(word == np.uint64(k), one, np.uint64(0)), np.bitwise_xor) for k in range(words)], 1)
 
+    def signature(self, unit: int) -> bytes:
+        """A parity bitmap with about a bit for each token (a power of two, 256 at least)."""
+        own = self.hashes[self.start[unit] : self.start[unit + 1]]
+        width = max(256, 1 << int(len(own)).bit_length())
+        odd = np.bincount((own >> np.uint64(8)).astype(np.int64) & (width - 1), minlength=width) & 1
+        return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
     def prefixes(self, codes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(unit, hash, position) of the prefix tokens that may be in another set; codes: rarity of each distinct token."""
         key = self.unit.astype(np.uint64) << np.uint64(40) | codes.astype(np.uint64) << np.uint64(32) | self.hashes >> np.uint64(32)
@@ -266,6 +273,26 @@ def overlap(a: np.ndarray, b: np.ndarray, least: int, block: int = 512) -> int:
     return total
 
 
+def sifted(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose signatures (node, sig) allow a link. The wider one is folded to the narrower's width, which keeps parities."""
+    own = signatures.where(F.col("sig").isNotNull()).groupBy("node").agg(F.min("sig").alias("sig"))
+    both = pairs.join(own.select(F.col("node").alias("c"), F.col("sig").alias("sc")), "c")
+    both = both.join(own.select(F.col("node").alias("q"), F.col("sig").alias("sq")), "q")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for i, (x, y, n, m) in enumerate(zip(b.column("sq"), b.column("sc"), b.column("nq").to_pylist(), b.column("nc").to_pylist())):
+                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
+                w = min(len(x), len(y))
+                apart = np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, w)) ^ np.bitwise_xor.reduce(y.reshape(-1, w))).sum()
+                if apart <= n + m - 2 * need(n, m, percent):
+                    keep.append(i)
+            yield b.select(["q", "nq", "c", "nc"]).take(pa.array(keep, pa.int64()))
+
+    return both.select("q", "nq", "c", "nc", "sq", "sc").mapInArrow(sift, PAIR)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (q, c) that link, by their whole sets (node, hashes: little-endian sorted 64-bit)."""
     own = sets.dropDuplicates(["node"])
