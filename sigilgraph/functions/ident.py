@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The identity namespace, STIX types of labels, natural keys, case rules and rejected names.
 NAMESPACE = "5f2e1f9a-6a1b-5e0f-9b25-ed9ea2d574cb"
@@ -33,7 +34,7 @@ PLACEHOLDERS = [
 ]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in parts:
         yield s.map(lambda v: None if v is None else unicodedata.normalize("NFC", v))

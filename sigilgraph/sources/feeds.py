@@ -16,12 +16,12 @@ def _items(df: DataFrame, source: str, kind: str = "indicator") -> DataFrame:
 def pulses(spark: SparkSession, path: str) -> DataFrame:
     """Pulse feed (JSON lines): indicators, malware, CVEs and actors of each pulse; its metadata goes to each item."""
     raw = spark.read.schema("id string, name string, created string, adversary string, tags array<string>, malware_families array<string>, attack_ids array<string>, industries array<string>, indicators array<struct<type:string, indicator:string>>").json(path)
-    base = raw.select("id", "name", S.iso_time(F.col("created")).alias("seen"), "tags", "attack_ids", "adversary", "malware_families", "indicators")
-    meta = [F.col("id").alias("pulse"), "seen", "tags", "attack_ids"]
+    base = raw.select(F.col("id").alias("pulse"), "name", S.iso_time(F.col("created")).alias("seen"), "tags", "attack_ids", "adversary", "malware_families", "indicators")
+    meta = ["pulse", "seen", "tags", "attack_ids"]
     ind = base.select(*meta, F.explode("indicators").alias("i"))
     cve = F.upper(F.col("i.type")) == "CVE"
     parts = [
-        ind.select(*meta, F.when(cve, "vulnerability").otherwise("indicator").alias("kind"), F.lower("i.type").alias("indicator_type"), F.when(cve, F.upper("i.indicator")).otherwise(F.col("i.indicator")).alias("value")),
+        ind.select(*meta, F.when(cve, "vulnerability").otherwise("indicator").alias("kind"), F.lower(F.col("i.type")).alias("indicator_type"), F.when(cve, F.upper(F.col("i.indicator"))).otherwise(F.col("i.indicator")).alias("value")),
         base.select(*meta, F.lit("malware").alias("kind"), F.lit(None).cast("string").alias("indicator_type"), F.explode("malware_families").alias("value")),
         base.where(F.trim("adversary") != "").select(*meta, F.lit("actor").alias("kind"), F.lit(None).cast("string").alias("indicator_type"), F.trim("adversary").alias("value")),
     ]
@@ -61,7 +61,7 @@ def attack_bundle(spark: SparkSession, path: str) -> DataFrame:
     uses = raw.where("type = 'relationship' AND relationship_type = 'uses'")
     src = raw.where(F.col("type").isin("intrusion-set", "malware", "tool")).select(F.col("id").alias("source_ref"), "name", F.col("type").alias("kind"))
     trg = raw.where("type = 'attack-pattern'").select(F.col("id").alias("target_ref"), "mitre_id")
-    return uses.join(src, "source_ref").join(trg, "target_ref").groupBy("kind", "name").agg(F.array_sort(F.collect_set("mitre_id")).alias("uses_techniques"))
+    return uses.select("source_ref", "target_ref").join(src, "source_ref").join(trg, "target_ref").groupBy("kind", "name").agg(F.array_sort(F.collect_set("mitre_id")).alias("uses_techniques"))
 
 
 def ioc_feed(spark: SparkSession, path: str) -> DataFrame:
