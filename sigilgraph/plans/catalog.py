@@ -48,7 +48,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from . import enriching, identity, linking, merging, serving, texts  # noqa: F401
+    from . import enriching, identity, linking, merging, more, serving, texts  # noqa: F401
 
 
 def queries() -> dict[str, Callable]:
