@@ -108,20 +108,21 @@ def postings(units: DataFrame) -> DataFrame:
 
 
 def _pairs(key, node, n, pos, bits, percent: int, settled=None):
-    """Indices (i, j) of postings sorted by (key, node) whose sets may link, for all lists of a block at once."""
+    """Indices (i, j) of postings sorted by (key, n) whose sets may link, for all lists of a block at once; node[i] < node[j]."""
     found = []
     i = np.arange(len(key) - 1)
     step = 0
     while len(i):
         step += 1
         i = i[i + step < len(key)]
-        i = i[key[i] == key[i + step]]
+        # Sets that follow are larger still, so the length filter ends a posting's turn.
+        i = i[(key[i] == key[i + step]) & (100 * n[i] >= percent * n[i + step])]
         j = i + step
         a, b = n[i], n[j]
-        ok = (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (node[i] != node[j])
+        ok = node[i] != node[j]
         least = -(-percent * (a + b) // (100 + percent))
-        # Tokens before the common one can be shared as well, at most as many as its lesser position.
-        ok &= np.minimum(pos[i], pos[j]) + np.minimum(a - pos[i], b - pos[j]) >= least
+        # The first common token of a pair has no other before it, so it and what follows must be enough.
+        ok &= np.minimum(a - pos[i], b - pos[j]) >= least
         if settled is not None:
             ok &= ~settled(i, j)
         x, y = i[ok], j[ok]
@@ -133,7 +134,9 @@ def _pairs(key, node, n, pos, bits, percent: int, settled=None):
     if not found:
         z = np.zeros(0, np.int64)
         return z, z
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    x, y = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    turn = node[x] > node[y]
+    return np.where(turn, y, x), np.where(turn, x, y)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]):
@@ -185,7 +188,7 @@ def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
                 continue
             list_of = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
             many = np.bincount(list_of[i], minlength=list_of[-1] + 1) > MANY * np.bincount(list_of)
-            o = np.lexsort((i, j))
+            o = np.lexsort((node[i], j))
             i, j = i[o], j[o]
             start = np.flatnonzero(np.concatenate([[True], j[1:] != j[:-1]]))
             rank = np.arange(len(j)) - np.repeat(start, np.diff(np.append(start, len(j))))
@@ -200,7 +203,7 @@ def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
                 none = [pa.nulls(len(marks), t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int32())]
                 yield pa.RecordBatch.from_arrays([*none, pa.array(marks)], names=["q", "nq", "c", "nc", "key"])
 
-    dealt = posts.repartition("key").sortWithinPartitions("key", "node")
+    dealt = posts.repartition("key").sortWithinPartitions("key", "n", "node")
     return dealt.mapInArrow(lists, PAIR + ", key long")
 
 
@@ -334,5 +337,5 @@ def left_over(posts: DataFrame, found: DataFrame, state: DataFrame, percent: int
                 x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(n[x], pa.int32()), pa.array(node[y]), pa.array(n[y], pa.int32())], names=["q", "nq", "c", "nc"])
 
-    rest = members.repartition("key").sortWithinPartitions("key", "node")
+    rest = members.repartition("key").sortWithinPartitions("key", "n", "node")
     return rest.mapInArrow(cross, PAIR).distinct()
