@@ -121,7 +121,7 @@ def removed_lines(docs: DataFrame, *, percent: int = 80, min_tokens: int = 5) ->
     late = materialize(later(links), "line-late")
     if found.where(F.col("c").isNull()).limit(1).count():
         state = late.select("node", F.lit(1).alias("s"))
-        more = setjoin.left_over(posts, found, state, percent, lambda a, b: (a == 1) & (b == 1), components=False)
+        more = setjoin.left_over(found, state, percent, lambda a, b: (a == 1) & (b == 1), components=False)
         more = materialize(more.join(pairs.select("q", "c"), ["q", "c"], "left_anti"), "line-rest")
         if more.limit(1).count():
             late = materialize(late.unionByName(later(setjoin.verified(more, sets, percent))).distinct(), "line-late")

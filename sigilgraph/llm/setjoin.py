@@ -178,8 +178,11 @@ def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]):
 
 
 def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
-    """(q, nq, c, nc, key): pairs out of the inverted lists, without key; and a row with c null for each list that gave too many
-    pairs, which names its key."""
+    """(q, nq, c, nc, key, pos, bits): pairs out of the inverted lists, without key; and, for each list that gave too many pairs, its
+    postings (node and size as q and nq) without c."""
+    kind = posts.schema["bits"].dataType.simpleString()
+    bits_type = pa.binary() if kind == "binary" else pa.int64()
+    names = ["q", "nq", "c", "nc", "key", "pos", "bits"]
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, node, n, pos, bits in _blocks(batches, ["key", "node", "n", "pos", "bits"]):
@@ -195,16 +198,18 @@ def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
             keep = (rank < FIRST) | ~many[list_of[j]]
             keep[np.unique(i, return_index=True)[1]] = True  # so that pairs name all nodes that any pair has
             i, j = i[keep], j[keep]
-            marks = key[np.searchsorted(list_of, np.flatnonzero(many))]
             for at in range(0, len(i), 1 << 16):
                 x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(n[x], pa.int32()), pa.array(node[y]), pa.array(n[y], pa.int32()), pa.nulls(len(x), pa.int64())], names=["q", "nq", "c", "nc", "key"])
-            if len(marks):
-                none = [pa.nulls(len(marks), t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int32())]
-                yield pa.RecordBatch.from_arrays([*none, pa.array(marks)], names=["q", "nq", "c", "nc", "key"])
+                none = [pa.nulls(len(x), t) for t in (pa.int64(), pa.int32(), bits_type)]
+                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(n[x], pa.int32()), pa.array(node[y]), pa.array(n[y], pa.int32()), *none], names=names)
+            held = np.flatnonzero(many[list_of])
+            for at in range(0, len(held), 1 << 16):
+                x = held[at : at + (1 << 16)]
+                own = pa.array([w.astype("<u8").tobytes() for w in bits[x]], bits_type) if kind == "binary" else pa.array(bits[x, 0].view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(n[x], pa.int32()), pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32()), pa.array(key[x]), pa.array(pos[x], pa.int32()), own], names=names)
 
     dealt = posts.repartition("key").sortWithinPartitions("key", "n", "node")
-    return dealt.mapInArrow(lists, PAIR + ", key long")
+    return dealt.mapInArrow(lists, f"{PAIR}, key long, pos int, bits {kind}")
 
 
 def merge_lists(found: DataFrame, percent: int) -> DataFrame:
@@ -315,16 +320,16 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("q", "c", "hq", "hc").mapInArrow(probe, "a long, b long")
 
 
-def left_over(posts: DataFrame, found: DataFrame, state: DataFrame, percent: int, settled, components: bool = True) -> DataFrame:
-    """Pairs of crowded lists that the first round has not settled: (q, nq, c, nc), distinct.
+def left_over(found: DataFrame, state: DataFrame, percent: int, settled, components: bool = True) -> DataFrame:
+    """Pairs of the crowded lists in ``found`` that the first round has not settled: (q, nq, c, nc), distinct.
 
     ``state`` is (node, s), what that round decided about nodes; ``settled(s_i, s_j)`` says which pairs need no
     look. With ``components``, s is a component (the node itself, if absent) and lists of one component are done;
     otherwise an absent s is 0.
     """
-    keys = found.where(F.col("c").isNull()).select("key").distinct()
     absent = F.col("node") if components else F.lit(0)
-    members = posts.join(keys, "key", "left_semi").join(state, "node", "left").select("key", "node", "n", "pos", "bits", F.coalesce("s", absent).cast("long").alias("s"))
+    crowded = found.where(F.col("c").isNull()).select("key", F.col("q").alias("node"), F.col("nq").alias("n"), "pos", "bits")
+    members = crowded.join(state, "node", "left").select("key", "node", "n", "pos", "bits", F.coalesce("s", absent).cast("long").alias("s"))
     if components:
         members = materialize(members, "long-lists")
         mixed = members.groupBy("key").agg(F.min("s").alias("lo"), F.max("s").alias("hi")).where(F.col("lo") != F.col("hi")).select("key")
