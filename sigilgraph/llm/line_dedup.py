@@ -19,7 +19,9 @@ from . import rarity, setjoin
 from . import text as T
 
 _SEEN = 500_000
-_LINE = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("line", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("pos", pa.list_(pa.int32())), ("bits", pa.int64())])
+_LINE = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("line", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("pos", pa.list_(pa.int32())), ("bits", pa.binary())])
+#: 64-bit words of a posting's bitmap.
+_WORDS = 2
 
 
 def _lines(b: pa.RecordBatch, min_tokens: int):
@@ -72,10 +74,10 @@ def line_units(docs: DataFrame, percent: int, min_tokens: int, table) -> DataFra
                 post = _first_seen(nodes, ok, seen)
                 unit, keys, pos = sets.prefixes(codes[rarity.slot(sets.hashes)], percent)
                 at = pa.array(np.flatnonzero(ok))
-                cols = [b.column("doc_id").take(pa.array(doc)), b.column("rid").take(pa.array(doc)), pa.array(line.astype(np.int32)), pa.array(nodes), pa.array(sets.n.astype(np.int32)), setjoin.listed(unit, keys.view(np.int64), post, pa.int64()), setjoin.listed(unit, pos, post, pa.int32()), pa.array(sets.bitmaps(1)[:, 0].view(np.int64))]
+                cols = [b.column("doc_id").take(pa.array(doc)), b.column("rid").take(pa.array(doc)), pa.array(line.astype(np.int32)), pa.array(nodes), pa.array(sets.n.astype(np.int32)), setjoin.listed(unit, keys.view(np.int64), post, pa.int64()), setjoin.listed(unit, pos, post, pa.int32()), pa.array([w.astype("<u8").tobytes() if k else None for w, k in zip(sets.bitmaps(_WORDS), post)], pa.binary())]
                 yield pa.RecordBatch.from_arrays([c.take(at) for c in cols], schema=_LINE)
 
-    return _documents(docs).mapInArrow(run, "doc_id long, rid long, line int, node long, n int, keys array<long>, pos array<int>, bits long")
+    return _documents(docs).mapInArrow(run, "doc_id long, rid long, line int, node long, n int, keys array<long>, pos array<int>, bits binary")
 
 
 def line_sets(docs: DataFrame, min_tokens: int, bits) -> DataFrame:
@@ -120,11 +122,14 @@ def removed_lines(docs: DataFrame, *, percent: int = 80, min_tokens: int = 5) ->
 
     late = materialize(later(links), "line-late")
     if found.where(F.col("c").isNull()).limit(1).count():
-        state = late.select("node", F.lit(1).alias("s"))
-        more = setjoin.left_over(found, state, percent, lambda a, b: (a == 1) & (b == 1), components=False)
-        more = materialize(more.join(pairs.select("q", "c"), ["q", "c"], "left_anti"), "line-rest")
-        if more.limit(1).count():
-            late = materialize(late.unionByName(later(setjoin.verified(more, sets, percent))).distinct(), "line-late")
+        done = pairs.select("q", "c")
+        for few in (2, None):  # the earliest lines of a list settle most others, so few are left for the full look
+            state = first.join(late.withColumn("s", F.lit(1)), "node", "left").select("node", "s", F.col("first.doc_id").alias("o"))
+            more = setjoin.left_over(found, state, percent, few, components=False)
+            more = materialize(more.join(done, ["q", "c"], "left_anti"), "line-rest")
+            if more.limit(1).count():
+                late = materialize(late.unionByName(later(setjoin.verified(more, sets, percent))).distinct(), "line-late")
+            done = done.unionByName(more.select("q", "c"))
     marked = first.join(late.withColumn("late", F.lit(True)), "node", "left").where(F.col("late") | (F.col("times") > 1)).select("node", "first", F.coalesce("late", F.lit(False)).alias("late"))
     gone = rows.select("doc_id", "rid", "line", "node").join(marked, "node").where(F.col("late") | (place != F.col("first")))
     return gone.groupBy("doc_id", "rid").agg(F.array_sort(F.collect_set("line")).alias("lines"))

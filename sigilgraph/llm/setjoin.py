@@ -320,24 +320,41 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("q", "c", "hq", "hc").mapInArrow(probe, "a long, b long")
 
 
-def left_over(found: DataFrame, state: DataFrame, percent: int, settled, components: bool = True) -> DataFrame:
-    """Pairs of the crowded lists in ``found`` that the first round has not settled: (q, nq, c, nc), distinct.
+def left_over(found: DataFrame, state: DataFrame, percent: int, few: int | None = None, components: bool = True) -> DataFrame:
+    """Pairs of the crowded lists in ``found`` that the rounds before have not settled: (q, nq, c, nc), distinct.
 
-    ``state`` is (node, s), what that round decided about nodes; ``settled(s_i, s_j)`` says which pairs need no
-    look. With ``components``, s is a component (the node itself, if absent) and lists of one component are done;
-    otherwise an absent s is 0.
+    ``state`` tells what those rounds decided about nodes. With ``components`` it is (node, s), s being a component (the node
+    itself, if absent), and pairs within one are settled. Otherwise it is (node, s, o): a place and whether an earlier
+    partner is known (s = 1); pairs whose later node has one are settled. With ``few``, each node of a list is paired only with so many
+    unsettled ones, the least nodes or earliest places; without, with all.
     """
-    absent = F.col("node") if components else F.lit(0)
     crowded = found.where(F.col("c").isNull()).select("key", F.col("q").alias("node"), F.col("nq").alias("n"), "pos", "bits")
-    members = crowded.join(state, "node", "left").select("key", "node", "n", "pos", "bits", F.coalesce("s", absent).cast("long").alias("s"))
+    names = ["key", "node", "n", "pos", "bits", "s"] + ["o"] * (not components)
+    members = crowded.join(state, "node", "left").withColumn("s", F.coalesce("s", "node" if components else F.lit(0)).cast("long")).select(names)
     if components:
         members = materialize(members, "long-lists")
         mixed = members.groupBy("key").agg(F.min("s").alias("lo"), F.max("s").alias("hi")).where(F.col("lo") != F.col("hi")).select("key")
         members = members.join(mixed, "key", "left_semi")
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, node, n, pos, bits, s in _blocks(batches, ["key", "node", "n", "pos", "bits", "s"]):
-            i, j = _pairs(key, node, n, pos, bits, percent, lambda i, j: settled(s[i], s[j]))
+        for key, node, n, pos, bits, s, *o in _blocks(batches, names):
+            if components:
+                i, j = _pairs(key, node, n, pos, bits, percent, lambda i, j: s[i] == s[j])
+                order = node
+            else:
+                order = o[0]
+                done = lambda i, j: ((s[i] == 1) | (order[i] < order[j])) & ((s[j] == 1) | (order[j] < order[i]))  # noqa: E731, B023
+                i, j = _pairs(key, node, n, pos, bits, percent, done)
+                turn = order[i] > order[j]
+                i, j = np.where(turn, j, i), np.where(turn, i, j)
+            if few is not None and len(i):
+                k = np.lexsort((node[i], order[i], j))
+                i, j = i[k], j[k]
+                start = np.flatnonzero(np.concatenate([[True], j[1:] != j[:-1]]))
+                keep = np.arange(len(j)) - np.repeat(start, np.diff(np.append(start, len(j)))) < few
+                i, j = i[keep], j[keep]
+            swap = node[i] > node[j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
             for at in range(0, len(i), 1 << 16):
                 x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(n[x], pa.int32()), pa.array(node[y]), pa.array(n[y], pa.int32())], names=["q", "nq", "c", "nc"])
