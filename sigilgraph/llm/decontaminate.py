@@ -5,8 +5,8 @@ from its five-word shingles, weighted by their rarity among items. Fingerprints
 blocks; two fingerprints within RADIUS bits agree on one block at least, so the block tables find all of them.
 Found pairs are kept if their exact weighted Jaccard similarity reaches the threshold.
 
-Windows that cannot reach the threshold with any item, as the weight of their shingles that stand in some item
-is below that share of their own weight, get no fingerprint; they would fail the exact test.
+Windows that cannot reach the threshold with any item, as the weight of their shingles that stand in some item of
+their size is below that share of their own weight, get no fingerprint; they would fail the exact test.
 """
 
 from __future__ import annotations
@@ -52,6 +52,9 @@ class Items:
     counts: list[dict] = field(default_factory=list)  # shingle hash -> times
     mass: list[float] = field(default_factory=list)
     prints: np.ndarray | None = None  # [item, block]
+    whole: list[int] = field(default_factory=list)  # each fingerprint as one number
+    at_size: np.ndarray | None = None  # for each known shingle where its sizes begin in sizes_of, with one more
+    sizes_of: np.ndarray | None = None  # sizes of the items that hold each known shingle
     known: np.ndarray | None = None  # sorted shingle hashes of all items
     weights: np.ndarray | None = None
     unseen: float = 1.0
@@ -72,6 +75,10 @@ def fingerprint(total: np.ndarray) -> np.ndarray:
     return (bits * (1 << np.arange(_STEP))).sum(-1).astype(np.int64)
 
 
+def as_number(blocks: np.ndarray) -> int:
+    return int.from_bytes(blocks.astype(np.uint8).tobytes(), "little")
+
+
 def prepare(rows: list[tuple[int, str | None]]) -> Items:
     out = Items()
     words_of = []
@@ -96,6 +103,10 @@ def prepare(rows: list[tuple[int, str | None]]) -> Items:
         out.mass.append(float((w * n).sum()))
         totals.append((_signs(u) * (w * n)[:, None]).sum(0))
     out.prints = fingerprint(np.array(totals)) if totals else np.zeros((0, BITS // _STEP), np.int64)
+    out.whole = [as_number(x) for x in out.prints]
+    pairs = [np.stack([np.searchsorted(out.known, np.unique(s)), np.full(len(np.unique(s)), len(h))], 1) for (_, h), s in zip(words_of, shingles)]
+    both = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+    out.at_size, out.sizes_of = np.searchsorted(both[:, 0], np.arange(len(out.known) + 1)), both[:, 1]
     return out
 
 
@@ -113,21 +124,29 @@ def _search(words: np.ndarray, items: Items, tables: list[dict], bit_of: np.ndar
     w, hit = items.weigh(s)
     if not hit.any():
         return best
-    all_, known = np.concatenate([[0], np.cumsum(w)]), np.concatenate([[0], np.cumsum(w * hit)])
-    for size in sorted(set(items.sizes)):
+    all_ = np.concatenate([[0], np.cumsum(w)])
+    where = np.flatnonzero(hit)
+    which = np.searchsorted(items.known, s[where])
+    times = items.at_size[which + 1] - items.at_size[which]
+    # A row for each place of a known shingle and each size of an item that holds it.
+    place = np.repeat(where, times)
+    sizes = items.sizes_of[np.repeat(items.at_size[which] - np.cumsum(times) + times, times) + np.arange(times.sum())]
+    for size in np.unique(sizes).tolist():
         k = size - SHINGLE + 1
         if k > len(s):
             continue
+        own_places = place[sizes == size]
+        known = np.concatenate([[0], np.cumsum(np.bincount(own_places, w[own_places], len(s)))])
         at = np.flatnonzero(known[k:] - known[:-k] >= threshold * (all_[k:] - all_[:-k]) - 1e-9)
         for a in at:
             own = s[a : a + k]
             u, n = np.unique(own, return_counts=True)
             wu = items.weigh(u)[0]
             blocks = fingerprint((_signs(u) * (wu * n)[:, None]).sum(0)[None])[0]
-            near = {j for b, t in enumerate(tables) for j in t.get((size, int(blocks[b])), ())}
+            near = {j for t, b in zip(tables, blocks.tolist()) for j in t.get((size, b), ())}
+            own_print = as_number(blocks) if near else 0
             for j in near:
-                x = blocks ^ items.prints[j]
-                if sum(int(v).bit_count() for v in x) > RADIUS:
+                if (own_print ^ items.whole[j]).bit_count() > RADIUS:
                     continue
                 shared = sum(x * min(c, items.counts[j].get(h, 0)) for h, c, x in zip(u.tolist(), n.tolist(), wu))
                 value = shared / (float((wu * n).sum()) + items.mass[j] - shared)
