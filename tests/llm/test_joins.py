@@ -68,6 +68,20 @@ def test_ngram_join_equals_brute_force(spark, seed, k, percent):
     assert got == brute_components(rows, k, percent)
 
 
+def test_ngram_join_finds_a_pair_in_a_family_below_the_threshold(spark):
+    """Members of a family share rare words but do not link, except for one pair of near copies."""
+    r = random.Random(3)
+    family, often = [f"t{i}" for i in range(200)], [f"v{i}" for i in range(900)]
+    rows = [(100 + k, " ".join(r.sample(often, 300))) for k in range(150)]
+    rows += [(k, " ".join(family + often[28 * k : 28 * k + 28])) for k in range(30)]
+    rows.append((40, rows[150][1] + " near"))  # neither is among the least nodes of the family
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(x["doc_id"]), x["n_shingles"], str(x["component_id"])) for x in ngram_join.similar_documents(docs, shingle=1, percent=80).collect())
+    want = brute_components(rows, 1, 80)
+    assert sum(i != c for i, _, c in want) == 1
+    assert got == want
+
+
 def test_ngram_join_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
