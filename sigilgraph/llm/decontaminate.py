@@ -1,6 +1,6 @@
 """Operator 4: benchmark decontamination by SimHash windows.
 
-A document is read in windows of as many words as a benchmark item has. A window's 128-bit SimHash is built
+A document is read in windows of as many words as a benchmark item has; one with fewer words is a single window. A window's 128-bit SimHash is built
 from its five-word shingles, weighted by their rarity among items. Fingerprints are cut into RADIUS + 1
 blocks; two fingerprints within RADIUS bits agree on one block at least, so the block tables find all of them.
 Found pairs are kept if their exact weighted Jaccard similarity reaches the threshold.
@@ -132,9 +132,7 @@ def _search(words: np.ndarray, items: Items, tables: list[dict], bit_of: np.ndar
     place = np.repeat(where, times)
     sizes = items.sizes_of[np.repeat(items.at_size[which] - np.cumsum(times) + times, times) + np.arange(times.sum())]
     for size in np.unique(sizes).tolist():
-        k = size - SHINGLE + 1
-        if k > len(s):
-            continue
+        k = min(size - SHINGLE + 1, len(s))  # a document with fewer words than the item is one window
         own_places = place[sizes == size]
         known = np.concatenate([[0], np.cumsum(np.bincount(own_places, w[own_places], len(s)))])
         at = np.flatnonzero(known[k:] - known[:-k] >= threshold * (all_[k:] - all_[:-k]) - 1e-9)
@@ -151,7 +149,7 @@ def _search(words: np.ndarray, items: Items, tables: list[dict], bit_of: np.ndar
                 shared = sum(x * min(c, items.counts[j].get(h, 0)) for h, c, x in zip(u.tolist(), n.tolist(), wu))
                 value = shared / (float((wu * n).sum()) + items.mass[j] - shared)
                 if value >= threshold - 1e-9 and value > best.get(items.ids[j], (0,))[0]:
-                    best[items.ids[j]] = (value, int(a), size)
+                    best[items.ids[j]] = (value, int(a), k + SHINGLE - 1)
     return best
 
 

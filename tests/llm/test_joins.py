@@ -188,6 +188,16 @@ def test_decontamination(spark):
     assert decontaminate.find(docs.limit(0), bench).count() == 0 and decontaminate.find(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    r = random.Random(6)
+    w = [r.choice(VOCAB) for _ in range(60)]
+    rows = [(1, " ".join(w[:58])), (2, " ".join(w[3:])), (3, " ".join(w[:30])), (4, " ".join(w[:4])), (5, "x " * 9 + " ".join(w))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(w))], "item_id long, text string")
+    got = sorted((x["doc_id"], round(x["similarity"], 6), x["first_word"], x["n_words"]) for x in decontaminate.find(docs, bench).collect())
+    assert got == [(1, round(54 / 56, 6), 0, 58), (2, round(53 / 56, 6), 0, 57), (5, 1.0, 9, 60)]
+
+
 def test_pipeline_stages(spark):
     """Whole run: toxic, repeated, leaked rows go; what is left is packed without loss."""
     import corpus_pipeline as p
