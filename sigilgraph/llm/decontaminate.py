@@ -56,17 +56,22 @@ class Items:
     at_size: np.ndarray | None = None  # for each known shingle where its sizes begin in sizes_of, with one more
     sizes_of: np.ndarray | None = None  # sizes of the items that hold each known shingle
     known: np.ndarray | None = None  # sorted shingle hashes of all items
-    weights: np.ndarray | None = None
+    common: np.ndarray | None = None  # sorted hashes of the shingles that several items of the whole benchmark hold
+    weights: np.ndarray | None = None  # of the common ones; all others weigh as much as unseen ones
     unseen: float = 1.0
     short: dict[int, dict] = field(default_factory=dict)  # words of an item -> hash of its run -> items
 
     def weigh(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(weights, which are known) of shingles."""
-        if not len(self.known):
-            return np.full(len(hashes), self.unseen), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-        hit = self.known[at] == hashes
-        return np.where(hit, self.weights[at], self.unseen), hit
+        return _look_up(self.common, self.weights, hashes, self.unseen), _look_up(self.known, np.ones(len(self.known), bool), hashes, False)
+
+
+def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default) -> np.ndarray:
+    """The value of each wanted key in sorted ``keys``, or the default."""
+    if not len(keys):
+        return np.full(len(wanted), default)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], default)
 
 
 def fingerprint(total: np.ndarray) -> np.ndarray:
@@ -79,11 +84,36 @@ def as_number(blocks: np.ndarray) -> int:
     return int.from_bytes(blocks.astype(np.uint8).tobytes(), "little")
 
 
-def prepare(rows: list[tuple[int, str | None]]) -> Items:
+def _words(text: str | None) -> np.ndarray:
+    return T.word_hashes(*T.buffers(pa.array([text or ""])), letters_only=True)[0]
+
+
+def shingle_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """(sorted hashes, items that hold each, number of items) of the shingles that several of all items hold; items with
+    no id or fewer words than a shingle do not count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for text in b.column("text").to_pylist():
+                s = np.unique(_runs(_words(text), SHINGLE)).view(np.int64)
+                if len(s):  # the null counts the item
+                    yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(s), pa.nulls(1, pa.int64())])], names=["shingle"])
+
+    each = rows.where(F.col("item_id").isNotNull()).select("text").mapInArrow(run, "shingle long")
+    found = each.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("shingle").isNull() | (F.col("n") > 1)).toArrow()
+    h, n = found.column("shingle").combine_chunks(), np.asarray(found.column("n"))
+    real = np.asarray(h.is_valid())
+    hashes = np.asarray(h.drop_null()).astype(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], n[real][order], int(n[~real].sum())
+
+
+def prepare(rows: list[tuple[int, str | None]], counts: tuple[np.ndarray, np.ndarray, int] | None = None) -> Items:
+    """Items of one block; ``counts`` are the whole benchmark's, if the rows are only part of it."""
     out = Items()
     words_of = []
     for i, text in rows:
-        h, *_ = T.word_hashes(*T.buffers(pa.array([text or ""])), letters_only=True)
+        h = _words(text)
         if i is None or not len(h):
             continue
         if len(h) < SHINGLE:
@@ -93,7 +123,8 @@ def prepare(rows: list[tuple[int, str | None]]) -> Items:
     shingles = [_runs(h, SHINGLE) for _, h in words_of]
     seen = np.concatenate([np.unique(s) for s in shingles]) if shingles else np.zeros(0, np.uint64)
     out.known, df = np.unique(seen, return_counts=True)
-    out.unseen = 1 + float(np.log(max(1, len(words_of))))
+    out.common, df, count = (out.known[df > 1], df[df > 1], len(words_of)) if counts is None else counts
+    out.unseen = 1 + float(np.log(max(1, count)))
     out.weights = out.unseen - np.log(df)
     totals = []
     for (i, h), s in zip(words_of, shingles):
@@ -157,18 +188,19 @@ def find(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.8, item_
     """doc_id, item_id, similarity, first_word, n_words: for each row of ``docs`` and each item, the best
     window that reaches ``threshold`` (the earliest of equals).
 
-    Words are runs of letters and digits, A-Z lowered. Items go to the tasks in blocks of at most
-    ``item_block``, one pass over the documents each. An item of fewer than five words is one shingle, its whole
+    Words are runs of letters and digits, A-Z lowered. Items go to the tasks in blocks of about
+    ``item_block``, one pass over the documents each; every block weighs shingles by their counts over all items. An item of fewer than five words is one shingle, its whole
     sequence; empty and null items match nothing, and null or empty texts match nothing. Rows with a null
     doc_id are searched and reported with it; an item_id that is null is left out.
     """
     spark = docs.sparkSession
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     blocks = max(1, -(-rows.count() // item_block))
+    counts = shingle_counts(rows) if blocks > 1 else None
     found = []
     for k in range(blocks):
         part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        items = prepare([(r["item_id"], r["text"]) for r in part.collect()])  # about item_block rows
+        items = prepare([(r["item_id"], r["text"]) for r in part.collect()], counts)  # about item_block rows
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

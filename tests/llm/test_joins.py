@@ -198,6 +198,22 @@ def test_decontamination_of_documents_shorter_than_the_item(spark):
     assert got == [(1, round(54 / 56, 6), 0, 58), (2, round(53 / 56, 6), 0, 57), (5, 1.0, 9, 60)]
 
 
+def test_decontamination_in_blocks_equals_one_block(spark):
+    r = random.Random(8)
+    lead = [[r.choice(VOCAB) for _ in range(14)] for _ in range(3)]  # items share passages, so their weights differ
+    items = [(k, " ".join(lead[k % 3] + [r.choice(VOCAB) for _ in range(r.randint(14, 30))])) for k in range(30)] + [(90, "too short"), (None, "w1 w2 w3 w4 w5 w6")]
+    rows = []
+    for n in range(90):
+        w = items[n % 30][1].split()
+        for _ in range(n // 30):
+            w[r.randrange(len(w))] = "changed"
+        rows.append((n, " ".join(["w5"] * (n % 4) + w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one, blocks = (sorted((x["doc_id"], x["item_id"], round(x["similarity"], 9), x["first_word"]) for x in decontaminate.find(docs, bench, item_block=size).collect()) for size in (20_000, 7))
+    assert len(one) > 30 and any(x[2] < 1 for x in one) and blocks == one
+
+
 def test_pipeline_stages(spark):
     """Whole run: toxic, repeated, leaked rows go; what is left is packed without loss."""
     import corpus_pipeline as p
