@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .tokenize import encoder
+from .tokenize import encoded
 
 FEATURES, DIMS, BITS = 1024, 4, 8
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
@@ -74,12 +74,11 @@ def pack(docs: DataFrame, tokenizer_path: str, *, end_id: int = 2, max_tokens: i
         raise ValueError("max_tokens must be a power of two")
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                ids = [np.append(enc.ids(t.as_py()), np.uint32(end_id)) for t in batch.column("text")]
-                cols = [batch.column("doc_id"), pa.array(curve_keys(ids)), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4" if x.max() > 65535 else "<u2").tobytes() for x in ids], pa.binary())]
+            for batch, flat, at in encoded(tokenizer_path, whole, end_id):
+                ids = [flat[i:j] for i, j in zip(at[:-1], at[1:])]
+                keys = [curve_keys(ids[i : i + 256]) for i in range(0, len(ids), 256)]
+                cols = [batch.column("doc_id"), pa.array(np.concatenate(keys)), pa.array(np.diff(at), pa.int64()), pa.array([x.astype("<u4" if x.max() > 65535 else "<u2").tobytes() for x in ids], pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "key", "n", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tokenize import encoder
+from .tokenize import encoded, encoder
 
 END_ID = 2
 #: A block is closed at so many documents or bytes of frames.
@@ -37,15 +37,21 @@ def serialize(ids: np.ndarray, width: int) -> bytes:
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, width: int, sample_docs: int, dict_bytes: int) -> bytes:
-    """The shared dictionary, from the ``sample_docs`` documents of least hash (a bounded sample; nothing
+    """The shared dictionary, from the whole ids of ``sample_docs`` documents of least hash (a bounded sample; nothing
     but compression depends on it). Empty if there is too little text to train on."""
-    sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+    ids = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)  # ids alone are sorted
+    picked = [r["doc_id"] for r in ids.collect() if r["doc_id"] is not None]
+    if not picked:
+        return b""
+    sample = docs.where(F.col("doc_id").isin(picked)).dropDuplicates(["doc_id"])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        enc = encoder(tokenizer_path)
-        rows = [serialize(enc.ids(t or ""), width)[: 1 << 17] for b in batches for t in b.column("text").to_pylist()]
+        rows = []
+        for batch in batches:
+            for _, ids, at in encoded(tokenizer_path, batch, END_ID):
+                rows += [serialize(ids[i:j], width) for i, j in zip(at[:-1], at[1:])]
         rows = [r for r in rows if len(r) >= 8]
         out = b""
         if len(rows) >= 16 and sum(map(len, rows)) > 8 * dict_bytes:
@@ -77,7 +83,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int
         import zstandard
         from pyspark import TaskContext
 
-        shard, enc = TaskContext.get().partitionId(), encoder(tokenizer_path)
+        shard = TaskContext.get().partitionId()
         zd = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         zip_ = zstandard.ZstdCompressor(level=level, dict_data=zd)
         ids_, lengths, starts, frames, size, block, total = [], [], [], [], 0, 0, 0
@@ -89,14 +95,14 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int
             return pa.RecordBatch.from_pylist([row], schema=_arrow_schema())
 
         for batch in batches:
-            for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = np.append(enc.ids(t.as_py()), np.uint32(end_id))
-                frame = zip_.compress(serialize(ids, width))
-                ids_.append(i), lengths.append(len(ids)), starts.append(total), frames.append(frame)
-                total, size = total + len(ids), size + len(frame)
-                if len(frames) >= BLOCK_DOCS or size >= BLOCK_BYTES:
-                    yield close()
-                    ids_, lengths, starts, frames, size, block = [], [], [], [], 0, block + 1
+            for part, ids, at in encoded(tokenizer_path, batch, end_id):
+                for i, a, z in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                    frame = zip_.compress(serialize(ids[a:z], width))
+                    ids_.append(i), lengths.append(z - a), starts.append(total), frames.append(frame)
+                    total, size = total + z - a, size + len(frame)
+                    if len(frames) >= BLOCK_DOCS or size >= BLOCK_BYTES:
+                        yield close()
+                        ids_, lengths, starts, frames, size, block = [], [], [], [], 0, block + 1
         if frames:
             yield close()
 

@@ -5,6 +5,8 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -27,6 +29,42 @@ def test_encoder_equals_tokenizer(name):
         assert e.ids(x or "").tolist() == real(x)[:-1].tolist()
 
 
+ODD_PARTS = ["a", "b", "s", "t", "re", "ll", "d", " ", "  ", "\n", "\t", "'", "''", "1", "23", "²", "é", "É", "ß", "œ", ".", "-", "–", "“", "…", "<|endoftext|>", "<|ENDOFTEXT|>", "中", "Σ", "İ", "e\u0301", "\xa0", "\x1c", "\x00", "😀", "ª", "'S", "\u200b"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_columns_equal_tokenizer(name):
+    """Random texts, with and without characters that are left to the tokenizer, in one column."""
+    r = random.Random(1)
+    texts = ["".join(r.choice(ODD_PARTS[: r.choice([16, 25, 99])]) for _ in range(r.randint(0, 30))) for _ in range(2500)] + [None, "", "long" * 30, " " * 900 + "b"]
+    e = encoder(tokenizer_path(name))
+    ids, at = e.column(pa.array(texts, pa.large_string()), 2)
+    real = [x.ids + [2] for x in e.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:])] == real
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_on_documents(name, monkeypatch):
+    """All texts of a table, with a table of pre-tokens that is too small and so is emptied again and again."""
+    from sigilgraph.llm import tokenize
+
+    monkeypatch.setattr(tokenize, "SLOT_BITS", 13)
+    monkeypatch.setattr(tokenize, "SLOTS", 1 << 13)
+    monkeypatch.setattr(tokenize, "PIECES", 1 << 11)
+    e = tokenize.Encoder(tokenizer_path(name))
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").combine_chunks()
+    ids, at = e.column(texts, 2)
+    real = [x.ids + [2] for x in e.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+    assert [zlib.crc32(ids[i:j].tobytes()) for i, j in zip(at[:-1], at[1:])] == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in real]
+
+
+def test_encoder_refuses_other_kinds():
+    from sigilgraph.llm.tokenize import Encoder
+
+    with pytest.raises(ValueError):
+        Encoder._is_lower({"pre_tokenizer": {"type": "Whitespace"}, "normalizer": None})
+
+
 def test_token_store_round_trip(spark):
     real = ids_of("byte_bpe_50k.json")
     rows = [(i * 3, t) for i, t in enumerate(TEXTS)] + [(6, "again"), (6, "again"), (None, "no id")]
