@@ -33,7 +33,7 @@ def counts(column: pa.Array) -> np.ndarray:
     """Hashed n-gram counts [text, dimension] of whole texts: letters in lower case (ASCII and Latin-1), with one
     space for all that stands between words."""
     raw, off = T.buffers(column)
-    low = T._LOWER[raw]
+    low = T.lower(raw)
     if len(low) > 1:  # U+00C0-U+00DE are 0xC3 0x80-0x9E in UTF-8, their lower case is 0x20 higher
         capital = (low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] <= 0x9E) & (low[1:] != 0x97)
         low[1:][capital] += 0x20

@@ -19,9 +19,7 @@ from . import rarity, setjoin
 from . import text as T
 
 _SEEN = 500_000
-_LINE = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("line", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("pos", pa.list_(pa.int32())), ("bits", pa.binary())])
-#: 64-bit words of a posting's bitmap.
-_WORDS = 2
+_LINE = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("line", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("b0", pa.int64()), ("b1", pa.int64())])
 
 
 def _lines(b: pa.RecordBatch, min_tokens: int):
@@ -60,7 +58,7 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def line_units(docs: DataFrame, percent: int, min_tokens: int, table) -> DataFrame:
-    """(doc_id, rid, line, node, n, keys, pos, bits) of lines with enough words."""
+    """(doc_id, rid, line, node, n, keys, b0, b1) of lines with enough words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, seen = table.value, set()
@@ -72,12 +70,12 @@ def line_units(docs: DataFrame, percent: int, min_tokens: int, table) -> DataFra
                 sets, doc, line, ok = found
                 nodes = sets.nodes()
                 post = _first_seen(nodes, ok, seen)
-                unit, keys, pos = sets.prefixes(codes[rarity.slot(sets.hashes)], percent)
+                keys = sets.short_lists(codes[rarity.slot(sets.hashes)], percent, post)
                 at = pa.array(np.flatnonzero(ok))
-                cols = [b.column("doc_id").take(pa.array(doc)), b.column("rid").take(pa.array(doc)), pa.array(line.astype(np.int32)), pa.array(nodes), pa.array(sets.n.astype(np.int32)), setjoin.listed(unit, keys.view(np.int64), post, pa.int64()), setjoin.listed(unit, pos, post, pa.int32()), pa.array([w.astype("<u8").tobytes() if k else None for w, k in zip(sets.bitmaps(_WORDS), post)], pa.binary())]
+                cols = [b.column("doc_id").take(pa.array(doc)), b.column("rid").take(pa.array(doc)), pa.array(line.astype(np.int32)), pa.array(nodes), pa.array(sets.n.astype(np.int32)), keys, *map(pa.array, sets.bitmaps())]
                 yield pa.RecordBatch.from_arrays([c.take(at) for c in cols], schema=_LINE)
 
-    return _documents(docs).mapInArrow(run, "doc_id long, rid long, line int, node long, n int, keys array<long>, pos array<int>, bits binary")
+    return _documents(docs).mapInArrow(run, "doc_id long, rid long, line int, node long, n int, keys array<long>, b0 long, b1 long")
 
 
 def line_sets(docs: DataFrame, min_tokens: int, bits) -> DataFrame:
@@ -99,7 +97,7 @@ def line_sets(docs: DataFrame, min_tokens: int, bits) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node long, hashes binary")
 
 
-def removed_lines(docs: DataFrame, *, percent: int = 80, min_tokens: int = 5) -> DataFrame:
+def removed_lines(docs: DataFrame, *, percent: int = 80, min_tokens: int = 5, longer: int = setjoin.LONG, cell: int = setjoin.CELL) -> DataFrame:
     """doc_id, rid, lines: numbers (from 0) of each document's removed lines, for documents that lose some. A null
     doc_id is the least long and comes first; null, empty and one-line texts are documents like others; rows equal in
     doc_id and text count once."""
@@ -107,9 +105,10 @@ def removed_lines(docs: DataFrame, *, percent: int = 80, min_tokens: int = 5) ->
     table = rarity.broadcast_table(docs)
     rows = materialize(line_units(docs, percent, min_tokens, table), "line-units")
     posts = setjoin.postings(rows)
-    found = materialize(setjoin.candidate_pairs(posts, percent), "line-lists")
+    found = materialize(setjoin.candidate_pairs(posts, percent, longer=longer), "line-lists")
     pairs = materialize(setjoin.merge_lists(found, percent), "line-pairs")
-    bits = spark.sparkContext.broadcast(setjoin.node_filter(pairs))
+    cut = found.where(F.col("c").isNull() & (F.col("nc") == 1)).select("q", "c")  # lists whose parts have not met
+    bits = spark.sparkContext.broadcast(setjoin.node_filter(pairs.select("q", "c").unionByName(cut)))
     sets = materialize(line_sets(docs, min_tokens, bits), "line-sets")
     links = setjoin.verified(pairs, sets, percent)
     place = F.struct("doc_id", "rid", "line")
@@ -125,7 +124,7 @@ def removed_lines(docs: DataFrame, *, percent: int = 80, min_tokens: int = 5) ->
         done = pairs.select("q", "c")
         for few in (2, None):  # the earliest lines of a list settle most others, so few are left for the full look
             state = first.join(late.withColumn("s", F.lit(1)), "node", "left").select("node", "s", F.col("first.doc_id").alias("o"))
-            more = setjoin.left_over(found, state, percent, few, components=False)
+            more = setjoin.left_over(found, state, percent, few, components=False, cell=cell)
             more = materialize(more.join(done, ["q", "c"], "left_anti"), "line-rest")
             if more.limit(1).count():
                 late = materialize(late.unionByName(later(setjoin.verified(more, sets, percent))).distinct(), "line-late")

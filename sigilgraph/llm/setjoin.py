@@ -2,16 +2,22 @@
 
 A *set* is a text unit's distinct 64-bit token hashes; its *node* is a 64-bit fingerprint of the whole set, so
 equal sets are one node. Tokens are ordered by rarity (rarity.py), ties by hash. Two sets of sizes a and b with
-100 * overlap >= percent * union share at least T = ceil(percent (a + b) / (100 + percent)) tokens, and so at
-least one token of the first n - ceil(percent n / 100) + 1 in each: only these prefixes are indexed. A token
-that the rarity table has seen once is in no other set and is not posted, but keeps its position.
+100 * overlap >= percent * union share at least T = ceil(percent (a + b) / (100 + percent)) tokens. A set of n tokens
+needs ceil(percent n / 100) common ones with any partner, so two linked sets have their first m common tokens among the
+first n - ceil(percent n / 100) + m tokens of each (``occurrences`` m; fewer if the set needs fewer). Only these are posted.
+A token that the rarity table has seen once is in no other set and is not posted, but keeps its position.
 
 Candidates come from inverted lists. Each posting carries its set's size, the token's position and a parity bitmap: a
 bit is the parity of the tokens that hash to it, so two bitmaps differ in no more bits than the sets in tokens. Pairs of a
-list pass a length, a positional and the bitmap filter before they leave their task. A list that still
-gives many pairs belongs to a group of similar sets: each of its nodes is paired with the first few that it may link to,
-in the order of node hashes, which is the same in all lists of the group. What this leaves open is found by ``left_over``
-and checked in full, so no link is lost and no group of copies is expanded into pairs.
+list pass a length, a positional and the bitmap filter before they leave their task.
+
+Lists that many sets share are settled step by step, so that neither a task nor the output holds all pairs of a group:
+
+1. A list longer than ``LONG`` is cut into parts by node hash (how long lists are is estimated from an eighth of all nodes, which
+   decides on nothing but the cut). Inside a list or part that gives more than MANY pairs a node, each node
+   is paired with its FIRST partners in the order of node hashes alone, which is the same in all lists of a group.
+2. ``left_over`` looks at these lists again, without pairs that are settled by then. Each node outside the list's settled bulk is held
+   against all of the list, in cells of ``CELL`` by ``CELL`` postings that are dealt out one by one: first against a few, then all.
 """
 
 from __future__ import annotations
@@ -28,11 +34,17 @@ from . import text as T
 
 #: A list may give so many pairs for each of its nodes; else each node is paired with FIRST others.
 MANY, FIRST = 4, 2
-#: Postings that are compared at once (a longer list is one block).
-BLOCK = 100_000
+#: Postings from which a list is cut, and that a side of a cell has on average.
+LONG, CELL = 2048, 1024
+#: Postings that are compared at once, and bound of their pairs (a longer list is one block).
+BLOCK, PAIRS = 100_000, 1 << 22
+#: Rows of (list, parts), 12 bytes each, up to which they are broadcast.
+SMALL = 1_000_000
 #: Bits of the filter that tells which nodes' sets are wanted; 16 MB, whatever the input.
 FILTER_BITS = 1 << 27
 PAIR = "q long, nq int, c long, nc int"
+#: A posting: k is 48 bits of its list and then its set's size, at most 65535, so one number sorts both; size is n << 32 | position.
+POSTING = ["k", "node", "size", "b0", "b1"]
 
 
 def need(a, b, percent: int):
@@ -46,6 +58,10 @@ class Units:
     def __init__(self, hashes: np.ndarray, unit: np.ndarray, count: int):
         order = np.argsort(unit.astype(np.uint64) << np.uint64(40) | hashes >> np.uint64(24))
         h, u = hashes[order], unit[order]
+        near = (h[1:] >> np.uint64(24) == h[:-1] >> np.uint64(24)) & (u[1:] == u[:-1])
+        if (near & (h[1:] != h[:-1])).any():  # hashes equal in the bits that were sorted by: sort by all
+            order = np.lexsort((hashes, unit))
+            h, u = hashes[order], unit[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (u[1:] != u[:-1])
         self.order = order[new]  # index of a token of each distinct hash
@@ -65,12 +81,12 @@ class Units:
         """Fingerprints: order-free mixes of the sets' hashes."""
         return T.fmix(self._reduce(T.fmix(self.hashes + T._SLOT[0]), np.add) + self.n.astype(np.uint64) * T._P).view(np.int64)
 
-    def bitmaps(self, words: int) -> np.ndarray:
-        """Parity bitmaps [unit, word]."""
+    def bitmaps(self) -> tuple[np.ndarray, np.ndarray]:
+        """The two halves of each unit's parity bitmap."""
         bit = self.hashes >> np.uint64(20)
         one = np.uint64(1) << (bit & np.uint64(63))
-        word = (bit >> np.uint64(6)) % np.uint64(words)
-        return np.stack([self._reduce(np.where(word == np.uint64(k), one, np.uint64(0)), np.bitwise_xor) for k in range(words)], 1)
+        second = (bit >> np.uint64(6)) & np.uint64(1) == 1
+        return tuple(self._reduce(np.where(second == k, one, np.uint64(0)), np.bitwise_xor).view(np.int64) for k in (False, True))
 
     def signature(self, unit: int) -> bytes:
         """A parity bitmap with about a bit for each token (a power of two, 256 at least)."""
@@ -79,55 +95,62 @@ class Units:
         odd = np.bincount((own >> np.uint64(8)).astype(np.int64) & (width - 1), minlength=width) & 1
         return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
-    def prefixes(self, codes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(unit, hash, position) of the prefix tokens that may be in another set; codes: rarity of each distinct token."""
+    def short_lists(self, codes: np.ndarray, percent: int, wanted: np.ndarray, occurrences: int = 1) -> pa.Array:
+        """A list column: the ``k`` of each wanted unit's posted tokens in order, null for tokens that no other set has, and
+        NULL for other units. codes: rarity of each distinct token."""
         key = self.unit.astype(np.uint64) << np.uint64(40) | codes.astype(np.uint64) << np.uint64(32) | self.hashes >> np.uint64(32)
         order = np.argsort(key, kind="stable")
         unit = self.unit[order]
         pos = np.arange(len(order)) - self.start[unit]
-        length = self.n - -(-percent * self.n // 100) + 1
-        keep = (pos < length[unit]) & (codes[order] != 1)
-        return unit[keep], self.hashes[order][keep], pos[keep]
+        least = -(-percent * self.n // 100)
+        length = np.where(wanted, self.n - least + np.minimum(occurrences, least), 0)
+        keep = pos < length[unit]
+        order, unit = order[keep], unit[keep]
+        k = (self.hashes[order] & ~np.uint64(65535)) | np.minimum(self.n[unit], 65535).astype(np.uint64)
+        values = pa.array(k.view(np.int64), mask=codes[order] == 1)
+        off = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(off), values, mask=pa.array(~wanted))
 
     def sorted_hashes(self, unit: int) -> np.ndarray:
         return np.sort(self.hashes[self.start[unit] : self.start[unit + 1]])
 
 
-def listed(unit: np.ndarray, values: np.ndarray, wanted: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """A list column with the values of each wanted unit, NULL for others."""
-    keep = wanted[unit]
-    size = np.bincount(unit[keep], minlength=len(wanted))
-    off = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(off), pa.array(values[keep]).cast(kind), mask=pa.array(~wanted))
+def postings(units: DataFrame) -> DataFrame:
+    """Postings (POSTING) of units (node, n, keys, b0, b1); keys may be null where the node was posted before."""
+    each = units.where(F.size("keys") > 0).select("node", F.shiftleft(F.col("n").cast("long"), 32).alias("n"), "b0", "b1", F.posexplode("keys").alias("pos", "k"))
+    return each.where(F.col("k").isNotNull()).select("k", "node", (F.col("n") + F.col("pos")).alias("size"), "b0", "b1")
+
 
+def _list_id(c: str = "k"):
+    return F.shiftright(c, 16)
 
-def postings(units: DataFrame) -> DataFrame:
-    """(key, node, n, pos, bits) of units (node, n, keys, pos, bits); keys may be null where the node was posted before."""
-    z = F.explode(F.arrays_zip("keys", "pos")).alias("z")
-    return units.where(F.size("keys") > 0).select("node", "n", "bits", z).select(F.col("z.keys").alias("key"), "node", "n", F.col("z.pos").alias("pos"), "bits")
+
+def _with_size(list_id):
+    """k of a list made up of ``list_id`` and the set's size."""
+    return list_id.bitwiseAND(~65535).bitwiseOR(F.col("k").bitwiseAND(65535))
 
 
-def _pairs(key, node, n, pos, bits, percent: int, settled=None):
-    """Indices (i, j) of postings sorted by (key, n) whose sets may link, for all lists of a block at once; node[i] < node[j]."""
+def _pairs(ids, node, n, pos, bits, percent: int, slack: int, open_=None):
+    """Indices (i, j) of postings sorted by (ids, n) whose sets may link, for all lists of a block at once; node[i] < node[j].
+    ``slack`` is how many common tokens a pair may have before this one. ``open_(i, j)`` tells which pairs are wanted."""
     found = []
-    i = np.arange(len(key) - 1)
+    i = np.arange(len(ids) - 1)
     step = 0
     while len(i):
         step += 1
-        i = i[i + step < len(key)]
+        i = i[i + step < len(ids)]
         # Sets that follow are larger still, so the length filter ends a posting's turn.
-        i = i[(key[i] == key[i + step]) & (100 * n[i] >= percent * n[i + step])]
+        i = i[(ids[i] == ids[i + step]) & (100 * n[i] >= percent * n[i + step])]
         j = i + step
         a, b = n[i], n[j]
         ok = node[i] != node[j]
         least = -(-percent * (a + b) // (100 + percent))
-        # The first common token of a pair has no other before it, so it and what follows must be enough.
-        ok &= np.minimum(a - pos[i], b - pos[j]) >= least
-        if settled is not None:
-            ok &= ~settled(i, j)
+        ok &= np.minimum(a - pos[i], b - pos[j]) + slack >= least
+        if open_ is not None:
+            ok &= open_(i, j)
         x, y = i[ok], j[ok]
         if len(x):
-            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+            apart = sum(np.bitwise_count((b[x] ^ b[y]).view(np.uint64)).astype(np.int64) for b in bits)
             ok = apart <= n[x] + n[y] - 2 * least[ok]
             if ok.any():
                 found.append((x[ok], y[ok]))
@@ -140,21 +163,21 @@ def _pairs(key, node, n, pos, bits, percent: int, settled=None):
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]):
-    """Whole lists of a stream sorted by key, as columns of some BLOCK rows."""
+    """Whole lists of a stream sorted by its first column, ``k``, as columns (list ids first) of at most some BLOCK rows and PAIRS pairs."""
     held: list[list[np.ndarray]] = []
 
-    def columns(b: pa.RecordBatch) -> list[np.ndarray]:
-        out = []
-        for name in names:
-            c = b.column(name)
-            if name == "bits" and pa.types.is_int64(c.type):
-                out.append(np.asarray(c).view(np.uint64).reshape(-1, 1))
-            elif pa.types.is_binary(c.type):
-                off = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]
-                out.append(np.frombuffer(c.buffers()[2], np.uint8)[off[0] : off[-1]].view("<u8").reshape(len(c), -1))
-            else:
-                out.append(np.asarray(c).astype(np.int64))
-        return out
+    def parts(cols: list[np.ndarray]):
+        ids = cols[0] >> 16
+        if (cols[0] & 65535 == 65535).any():  # sizes beyond what k holds
+            order = np.lexsort((cols[names.index("size")] >> 32, ids))
+            cols, ids = [c[order] for c in cols], ids[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1, [len(ids)]])
+        total = np.concatenate([[0], np.cumsum(np.diff(cuts) ** 2)])
+        i = 0
+        while i < len(cuts) - 1:
+            j = max(i + 1, int(np.searchsorted(total, total[i] + PAIRS, "right")) - 1)
+            yield [ids[cuts[i] : cuts[j]], *(c[cuts[i] : cuts[j]] for c in cols[1:])]
+            i = j
 
     def joined() -> list[np.ndarray]:
         return [np.concatenate([h[k] for h in held]) for k in range(len(names))]
@@ -163,64 +186,89 @@ def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]):
     for b in batches:
         if not b.num_rows:
             continue
-        held.append([c.copy() for c in columns(b)])
+        held.append([np.array(b.column(name)) for name in names])
         size += b.num_rows
         if size >= BLOCK:
             all_ = joined()
-            cut = int(np.searchsorted(all_[0], all_[0][-1]))  # the last list may go on
+            ids = all_[0] >> 16
+            cut = int(np.searchsorted(ids, ids[-1]))  # the last list may go on
             if cut:
-                yield [c[:cut] for c in all_]
+                yield from parts([c[:cut] for c in all_])
             held, size = [[c[cut:] for c in all_]], len(all_[0]) - cut
             if size >= BLOCK:
                 size = 0  # one long list: look again after as many rows more
     if held:
-        yield joined()
+        yield from parts(joined())
+
+
+def _first(i: np.ndarray, j: np.ndarray, order: np.ndarray, few: int) -> np.ndarray:
+    """Which pairs are among the first ``few`` of their j, by the order of i."""
+    o = np.lexsort((order[i], j))
+    start = np.flatnonzero(np.concatenate([[True], j[o][1:] != j[o][:-1]]))
+    out = np.zeros(len(j), bool)
+    out[o] = np.arange(len(j)) - np.repeat(start, np.diff(np.append(start, len(j)))) < few
+    return out
+
 
+def long_lists(posts: DataFrame, longer: int) -> DataFrame:
+    """(list, parts) of lists that have about ``longer`` postings or more, estimated from an eighth of all nodes."""
+    part = posts.where(F.pmod("node", F.lit(8)) == 0).groupBy(_list_id().alias("list")).agg(F.count("*").alias("n"))
+    return part.where(F.col("n") >= max(2, longer * 3 // 32)).select("list", F.ceil(F.col("n") * 8 / F.lit(longer)).cast("int").alias("parts"))
 
-def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
-    """(q, nq, c, nc, key, pos, bits): pairs out of the inverted lists, without key; and, for each list that gave too many pairs, its
-    postings (node and size as q and nq) without c."""
-    kind = posts.schema["bits"].dataType.simpleString()
-    bits_type = pa.binary() if kind == "binary" else pa.int64()
-    names = ["q", "nq", "c", "nc", "key", "pos", "bits"]
+
+def candidate_pairs(posts: DataFrame, percent: int, occurrences: int = 1, longer: int = LONG) -> DataFrame:
+    """(q, nq, c, nc, enough, home, size, b0, b1): pairs out of the inverted lists; ``enough`` where the list was crowded, so that its
+    other pairs and thus a pair's occurrences are not all there. And without c, for each list that left pairs out, its postings
+    (node as q; ``home`` is the list), with nc = 1 if the list had been cut."""
+    names = [*POSTING, "home"]
+    out_names = ["q", "nq", "c", "nc", "enough", "home", "size", "b0", "b1"]
+    slack = occurrences - 1
+
+    def rows(n, **cols):
+        kinds = {"nq": pa.int32(), "nc": pa.int32(), "enough": pa.bool_()}
+        return pa.RecordBatch.from_arrays([pa.array(cols[c], kinds.get(c, pa.int64())) if c in cols else pa.nulls(n, kinds.get(c, pa.int64())) for c in out_names], names=out_names)
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, node, n, pos, bits in _blocks(batches, ["key", "node", "n", "pos", "bits"]):
-            i, j = _pairs(key, node, n, pos, bits, percent)
-            if not len(i):
-                continue
-            list_of = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
-            many = np.bincount(list_of[i], minlength=list_of[-1] + 1) > MANY * np.bincount(list_of)
-            o = np.lexsort((node[i], j))
-            i, j = i[o], j[o]
-            start = np.flatnonzero(np.concatenate([[True], j[1:] != j[:-1]]))
-            rank = np.arange(len(j)) - np.repeat(start, np.diff(np.append(start, len(j))))
-            keep = (rank < FIRST) | ~many[list_of[j]]
-            keep[np.unique(i, return_index=True)[1]] = True  # so that pairs name all nodes that any pair has
-            i, j = i[keep], j[keep]
-            for at in range(0, len(i), 1 << 16):
-                x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-                none = [pa.nulls(len(x), t) for t in (pa.int64(), pa.int32(), bits_type)]
-                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(n[x], pa.int32()), pa.array(node[y]), pa.array(n[y], pa.int32()), *none], names=names)
-            held = np.flatnonzero(many[list_of])
+        for ids, node, size, b0, b1, home in _blocks(batches, names):
+            n, pos = size >> 32, size & 0xFFFFFFFF
+            i, j = _pairs(ids, node, n, pos, (b0, b1), percent, slack)
+            list_of = np.concatenate([[0], np.cumsum(ids[1:] != ids[:-1])])
+            lists = list_of[-1] + 1
+            many = np.bincount(list_of[i], minlength=lists) > MANY * np.bincount(list_of)
+            cut = home != ids
+            if len(i):
+                keep = _first(i, j, node, FIRST) | ~many[list_of[j]]
+                keep[np.unique(i, return_index=True)[1]] = True  # so that pairs name all nodes that any pair has
+                i, j = i[keep], j[keep]
+                enough = many[list_of[i]]
+                for at in range(0, len(i), 1 << 16):
+                    x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+                    yield rows(len(x), q=node[x], nq=n[x], c=node[y], nc=n[y], enough=enough[at : at + (1 << 16)])
+            held = np.flatnonzero(many[list_of] | cut)
             for at in range(0, len(held), 1 << 16):
                 x = held[at : at + (1 << 16)]
-                own = pa.array([w.astype("<u8").tobytes() for w in bits[x]], bits_type) if kind == "binary" else pa.array(bits[x, 0].view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(n[x], pa.int32()), pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32()), pa.array(key[x]), pa.array(pos[x], pa.int32()), own], names=names)
+                yield rows(len(x), q=node[x], nq=n[x], nc=cut[x].astype(np.int32), home=home[x], size=size[x], b0=b0[x], b1=b1[x])
 
-    dealt = posts.repartition("key").sortWithinPartitions("key", "n", "node")
-    return dealt.mapInArrow(lists, f"{PAIR}, key long, pos int, bits {kind}")
+    heavy = materialize(long_lists(posts, longer), "cut-lists")
+    heavy = F.broadcast(heavy) if heavy.count() <= SMALL else heavy
+    homed = posts.withColumn("home", _list_id()).join(heavy, F.col("home") == F.col("list"), "left")
+    part = F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("parts")))
+    dealt = homed.select(F.when(F.col("parts").isNull(), F.col("k")).otherwise(_with_size(part)).alias("k"), "node", "size", "b0", "b1", "home")
+    dealt = dealt.repartition(_list_id()).sortWithinPartitions("k")
+    return dealt.mapInArrow(lists, f"{PAIR}, enough boolean, home long, size long, b0 long, b1 long")
 
 
-def merge_lists(found: DataFrame, percent: int) -> DataFrame:
-    """T-occurrence over the short lists: distinct (q, nq, c, nc). A query's short lists are merged by node and
-    the occurrences of each candidate counted; one is asked for, as all other lists are left to the probe."""
+def merge_lists(found: DataFrame, percent: int, occurrences: int = 1) -> DataFrame:
+    """T-occurrence over the short lists: distinct (q, nq, c, nc). Each candidate's occurrences on a query's short lists are
+    counted; it must have ``occurrences`` (or all that the smaller set asks for), or come from a crowded list."""
     pairs = found.where(F.col("c").isNotNull())
-    return pairs.groupBy("q", "nq", "c", "nc").agg(F.count("*").alias("occurrences")).where(F.col("occurrences") >= 1).drop("occurrences")
+    least = F.least(F.lit(occurrences), F.ceil(F.least("nq", "nc") * percent / 100))
+    counted = pairs.groupBy("q", "nq", "c", "nc").agg(F.count("*").alias("occurrences"), F.max("enough").alias("enough"))
+    return counted.where(F.col("enough") | (F.col("occurrences") >= least)).drop("occurrences", "enough")
 
 
 def node_filter(pairs: DataFrame) -> np.ndarray:
-    """Bits of nodes that occur in pairs, for ``wanted``."""
+    """Bits of nodes that occur in pairs (q, c; c may be null), for ``wanted``."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -228,7 +276,7 @@ def node_filter(pairs: DataFrame) -> np.ndarray:
         bits = np.zeros(FILTER_BITS // 8, np.uint8)
         for b in batches:
             for name in ("q", "c"):
-                _set(bits, np.asarray(b.column(name)))
+                _set(bits, np.asarray(b.column(name).drop_null()))
         zip_, step = zstandard.ZstdCompressor(level=1), len(bits) // 32
         rows = [(k, zip_.compress(bits[k * step : (k + 1) * step].tobytes())) for k in range(32)]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "bits"])
@@ -320,38 +368,66 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("q", "c", "hq", "hc").mapInArrow(probe, "a long, b long")
 
 
-def left_over(found: DataFrame, state: DataFrame, percent: int, few: int | None = None, components: bool = True) -> DataFrame:
-    """Pairs of the crowded lists in ``found`` that the rounds before have not settled: (q, nq, c, nc), distinct.
+def _members(found: DataFrame, state: DataFrame, components: bool) -> DataFrame:
+    """Postings of the lists in ``found`` that left pairs out, with s (and o), whether the posting is ``live`` (outside its list's settled
+    bulk: each open pair has a live one), and how many of both the list has; lists without open pairs are gone."""
+    crowded = found.where(F.col("c").isNull()).select("home", F.col("q").alias("node"), "size", "b0", "b1")
+    told = crowded.join(state, "node", "left").withColumn("s", F.coalesce("s", "node" if components else F.lit(0)).cast("long"))
+    told = materialize(told if components else told.withColumn("o", F.coalesce("o", F.lit(0)).cast("long")), "long-lists")
+    if components:
+        each = told.groupBy("home", "s").agg(F.count("*").alias("n"))
+        lists = each.groupBy("home").agg(F.sum("n").alias("all"), F.max_by("s", F.struct("n", "s")).alias("bulk"), F.max("n").alias("most"))
+        lists = lists.where(F.col("most") < F.col("all")).select("home", "bulk", "all", (F.col("all") - F.col("most")).alias("lives"))
+        return told.join(lists, "home").withColumn("live", F.col("s") != F.col("bulk")).drop("bulk")
+    live = F.col("s") == 0
+    lists = told.groupBy("home").agg(F.count("*").alias("all"), F.count_if(live).alias("lives"), F.min("o").alias("least"), F.min(F.when(live, F.col("o"))).alias("live_least"))
+    lists = lists.where((F.col("lives") > 1) | (F.col("live_least") > F.col("least"))).select("home", "all", "lives")
+    return told.join(lists, "home").withColumn("live", live)
+
+
+def left_over(found: DataFrame, state: DataFrame, percent: int, few: int | None = None, components: bool = True, occurrences: int = 1, cell: int = CELL) -> DataFrame:
+    """Pairs of the crowded and cut lists in ``found`` that the rounds before have not settled: (q, nq, c, nc), distinct.
 
     ``state`` tells what those rounds decided about nodes. With ``components`` it is (node, s), s being a component (the node
     itself, if absent), and pairs within one are settled. Otherwise it is (node, s, o): a place and whether an earlier
-    partner is known (s = 1); pairs whose later node has one are settled. With ``few``, each node of a list is paired only with so many
-    unsettled ones, the least nodes or earliest places; without, with all.
+    partner is known (s = 1); pairs whose later node has one are settled. With ``few``, each node of a cell is paired only with so many
+    unsettled ones, the least nodes or earliest places (and so many for two components); without, with all.
     """
-    crowded = found.where(F.col("c").isNull()).select("key", F.col("q").alias("node"), F.col("nq").alias("n"), "pos", "bits")
-    names = ["key", "node", "n", "pos", "bits", "s"] + ["o"] * (not components)
-    members = crowded.join(state, "node", "left").withColumn("s", F.coalesce("s", "node" if components else F.lit(0)).cast("long")).select(names)
-    if components:
-        members = materialize(members, "long-lists")
-        mixed = members.groupBy("key").agg(F.min("s").alias("lo"), F.max("s").alias("hi")).where(F.col("lo") != F.col("hi")).select("key")
-        members = members.join(mixed, "key", "left_semi")
+    extra = ["s"] if components else ["s", "o"]
+    names = [*POSTING, *extra, "probe"]
+    slack = occurrences - 1
+    members = _members(found, state, components)
+    rows, columns = F.ceil(F.col("all") / cell).cast("int"), F.ceil(F.col("lives") / cell).cast("int")
+    # A cell holds a part of the list and a part of its live postings, the probes.
+    as_member = members.select("*", F.pmod(F.xxhash64("node"), rows).alias("row"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("column"), F.lit(0).alias("probe"))
+    as_probe = members.where("live").select("*", F.explode(F.sequence(F.lit(0), rows - 1)).alias("row"), F.pmod(F.xxhash64("node"), columns).alias("column"), F.lit(1).alias("probe"))
+    n16 = F.least(F.shiftright("size", 32), F.lit(65535))
+    cells = as_member.unionByName(as_probe).select(F.xxhash64("home", "row", "column").bitwiseAND(~65535).bitwiseOR(n16).alias("k"), "node", "size", "b0", "b1", *extra, "probe")
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, node, n, pos, bits, s, *o in _blocks(batches, names):
+        for ids, node, size, b0, b1, s, *o, probe in _blocks(batches, names):
+            n, pos = size >> 32, size & 0xFFFFFFFF
             if components:
-                i, j = _pairs(key, node, n, pos, bits, percent, lambda i, j: s[i] == s[j])
                 order = node
+                i, j = _pairs(ids, node, n, pos, (b0, b1), percent, slack, lambda i, j: (probe[i] != probe[j]) & (s[i] != s[j]))
             else:
                 order = o[0]
-                done = lambda i, j: ((s[i] == 1) | (order[i] < order[j])) & ((s[j] == 1) | (order[j] < order[i]))  # noqa: E731, B023
-                i, j = _pairs(key, node, n, pos, bits, percent, done)
+
+                def open_(i, j):
+                    return (probe[i] != probe[j]) & ~(((s[i] == 1) | (order[i] < order[j])) & ((s[j] == 1) | (order[j] < order[i])))  # noqa: B023
+
+                i, j = _pairs(ids, node, n, pos, (b0, b1), percent, slack, open_)
                 turn = order[i] > order[j]
                 i, j = np.where(turn, j, i), np.where(turn, i, j)
             if few is not None and len(i):
-                k = np.lexsort((node[i], order[i], j))
-                i, j = i[k], j[k]
-                start = np.flatnonzero(np.concatenate([[True], j[1:] != j[:-1]]))
-                keep = np.arange(len(j)) - np.repeat(start, np.diff(np.append(start, len(j)))) < few
+                keep = _first(i, j, order, few)
+                if components:  # nor more than a few for any two components of a cell
+                    a, b = np.minimum(s[i], s[j]), np.maximum(s[i], s[j])
+                    o_ = np.lexsort((order[i], b, a, ids[i]))
+                    head = np.ones(len(o_), bool)
+                    head[1:] = (a[o_][1:] != a[o_][:-1]) | (b[o_][1:] != b[o_][:-1]) | (ids[i][o_][1:] != ids[i][o_][:-1])
+                    start = np.flatnonzero(head)
+                    keep[o_] &= np.arange(len(o_)) - np.repeat(start, np.diff(np.append(start, len(o_)))) < few
                 i, j = i[keep], j[keep]
             swap = node[i] > node[j]
             i, j = np.where(swap, j, i), np.where(swap, i, j)
@@ -359,5 +435,4 @@ def left_over(found: DataFrame, state: DataFrame, percent: int, few: int | None
                 x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(n[x], pa.int32()), pa.array(node[y]), pa.array(n[y], pa.int32())], names=["q", "nq", "c", "nc"])
 
-    rest = members.repartition("key").sortWithinPartitions("key", "n", "node")
-    return rest.mapInArrow(cross, PAIR).distinct()
+    return cells.repartition(_list_id()).sortWithinPartitions("k").mapInArrow(cross, PAIR).distinct()

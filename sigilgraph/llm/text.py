@@ -10,16 +10,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _P = np.uint64(0x9E3779B97F4A7C15)
-_P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SLOT = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
-#: Bytes hashed at once; bounds the working arrays to some tens of MB.
-BLOCK = 1 << 20
-_powers: dict[str, np.ndarray] = {"p": np.ones(1, np.uint64), "inv": np.ones(1, np.uint64)}
+#: Bytes of a long word that are hashed at once, and from which length a word is long.
+BLOCK, LONG = 1 << 20, 256
+_powers: dict[str, np.ndarray] = {"p": np.ones(1, np.uint64)}
 
 
 def _power(kind: str, base: np.uint64, n: int) -> np.ndarray:
@@ -39,6 +34,11 @@ def fmix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def lower(raw: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z lowered."""
+    return raw | ((raw - np.uint8(65) < 26).view(np.uint8) << np.uint8(5))
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column without copying its texts; nulls have length 0."""
     if column.null_count:
@@ -50,42 +50,54 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]] if len(off) else raw[:0], off - off[0]
 
 
-def _hash_block(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    n = len(low)
-    c = np.zeros(n + 1, np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _power("p", _P, n), out=c[1:])
-    h = (c[ends] - c[starts]) * _power("inv", _P_INV, n)[starts]
-    return fmix(h + (ends - starts).astype(np.uint64) * _SLOT[4])
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _long_hash(word: np.ndarray) -> np.uint64:
+    """Hash of one long word, by a polynomial over its bytes."""
+    h = np.uint64(0)
+    for i in range(0, len(word), BLOCK):
+        part = word[i : i + BLOCK].astype(np.uint64) + np.uint64(1)
+        h = fmix(np.array([h + (part * _power("p", _P, len(part))).sum(dtype=np.uint64)]))[0]
+    return h
+
+
+def _word_hashes(low: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of words, eight bytes at a time; those of more than LONG bytes one by one."""
+    pad = np.concatenate([low, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(pad) - 7,), "<u8", pad, 0, (1,))
+    h = fmix((eight[starts] & _MASKS[np.minimum(size, 8)]) + size.astype(np.uint64) * _SLOT[4])
+    left, k = np.flatnonzero((size > 8) & (size <= LONG)), 8
+    while len(left):
+        h[left] = fmix(h[left] * _P + (eight[starts[left] + k] & _MASKS[np.minimum(size[left] - k, 8)]))
+        k += 8
+        left = left[size[left] > k]
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] ^= _long_hash(low[starts[i] : starts[i] + size[i]])
+    return h
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray, letters_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of all texts: (hashes, first byte, byte after, index of each text's first word, with one more)."""
-    low = _LOWER[raw]
-    if letters_only:
-        gap = ~(((low >= 97) & (low <= 122)) | (low >= 128) | ((low >= 48) & (low <= 57)))
-    else:
-        gap = _SPACE[low]
-    n = len(low)
+    n = len(raw)
     if n == 0:
         z = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), z, z, np.zeros(len(offsets), np.int64)
-    inside = ~gap
+    low = lower(raw)
+    # Unsigned differences wrap around, so one comparison tells a range.
+    if letters_only:
+        inside = (low - np.uint8(97) < 26) | (low >= 128) | (low - np.uint8(48) < 10)
+    else:
+        inside = (low != 32) & (low - np.uint8(9) >= 5)
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True  # a text's border also ends a word
-    before = np.empty(n, bool)
-    before[0] = True
-    before[1:] = gap[:-1] | edge[1:n]
-    starts = np.flatnonzero(inside & before)
-    after = np.empty(n, bool)
-    after[-1] = True
-    after[:-1] = gap[1:] | edge[1:n]
-    ends = np.flatnonzero(inside & after) + 1
-    out, i = np.empty(len(starts), np.uint64), 0
-    while i < len(starts):  # in blocks that end between words
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, "right")))
-        a, b = int(starts[i]), int(ends[j - 1])
-        out[i:j] = _hash_block(low[a:b], starts[i:j] - a, ends[i:j] - a)
-        i = j
+    joined = inside[1:] & inside[:-1] & ~edge[1:n]
+    first = inside.copy()
+    first[1:] &= ~joined
+    last = inside
+    last[:-1] &= ~joined
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    out = _word_hashes(low, starts, ends - starts)
     return out, starts, ends, np.searchsorted(starts, offsets)
 
 

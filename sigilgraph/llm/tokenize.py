@@ -188,7 +188,7 @@ class Encoder:
         odd_texts = np.zeros(many, bool)
         if n:
             if self.lower:
-                raw = T._LOWER[raw]
+                raw = T.lower(raw)
                 lift = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97)  # Latin-1 capitals
                 raw[1:][lift] += 0x20
             edge = np.zeros(n + 1, bool)

@@ -42,7 +42,7 @@ def tokens(column: pa.Array):
     h, a, z, first = T.word_hashes(raw, off, letters_only=True)
     ids = np.empty((len(h), 1 + len(STARTS)), np.int32)
     ids[:, 0] = h >> np.uint64(46)
-    low, n, code = T._LOWER[raw], z - a, np.zeros(len(h), np.uint64)
+    low, n, code = T.lower(raw), z - a, np.zeros(len(h), np.uint64)
     for j in range(max(STARTS)):
         at = np.minimum(a + j, max(len(low) - 1, 0))
         code = code << np.uint64(8) | np.where(j < n, low[at], 0).astype(np.uint64) if len(low) else code

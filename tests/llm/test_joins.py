@@ -82,6 +82,33 @@ def test_ngram_join_finds_a_pair_in_a_family_below_the_threshold(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_ngram_join_with_cut_lists_equals_brute_force(spark, seed):
+    """Lists of more than eight documents are cut, and left-over pairs are looked at in cells of four."""
+    rows = noisy_rows(seed, groups=5, copies=40)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in ngram_join.similar_documents(docs, shingle=2, percent=85, longer=8, cell=4).collect())
+    assert got == brute_components(rows, 2, 85)
+
+
+def test_a_long_list_is_cut_and_bounded(spark):
+    """6,000 texts with one header: no task gets the whole list, and pairs do not grow with its square."""
+    r = random.Random(9)
+    header = " ".join(f"h{i}" for i in range(40))
+    rows = [(k, f"{header} n{r.randrange(100)} m{r.randrange(100)} o{r.randrange(100)}") for k in range(6_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    from sigilgraph.llm import rarity, setjoin
+
+    posts = setjoin.postings(ngram_join.units(docs, 1, 85, rarity.broadcast_table(docs)))
+    found = setjoin.candidate_pairs(posts, 85, 2)
+    nodes = posts.select("node").distinct().count()
+    assert nodes > 5_900 and found.where("c is not null").count() < 300 * nodes
+    lists = posts.groupBy((posts["k"].bitwiseAND(~65535)).alias("list")).count().agg({"count": "max"}).first()[0]
+    assert lists > 0.9 * nodes
+    got = ngram_join.similar_documents(docs, shingle=1, percent=85)
+    assert got.select("component_id").distinct().count() == 1
+
+
 def test_ngram_join_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
@@ -131,6 +158,13 @@ def test_line_dedup_equals_brute_force(spark, seed):
         assert texts[i] == (t if i not in want else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in want[i]))
 
 
+def test_line_dedup_with_cut_lists_equals_brute_force(spark):
+    rows = [(n, None if t is None else t.replace(" w1", "\nw1")) for n, (i, t) in enumerate(noisy_rows(7, groups=5, copies=40)) if i != 905]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x["doc_id"]: x["lines"] for x in line_dedup.removed_lines(docs, longer=8, cell=4).collect()}
+    assert got == brute_lines(rows)
+
+
 def test_line_dedup_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {x["doc_id"]: x["removed"] for x in line_dedup.counts(docs).collect() if x["n_removed"]}
