@@ -86,8 +86,11 @@ def parse(formatted: DataFrame) -> DataFrame:
 
 
 def from_turns(conversations: DataFrame) -> DataFrame:
-    """Messages of a log that has only whole turns: each row (conv_id, turn, role, text) is one message."""
-    return conversations.select("conv_id", F.col("turn").alias("first_seq"), "role", "text")
+    """The event log of conversations that have only whole turns: each row (conv_id, turn, role, text) is a ``message`` event of its
+    own message, with its turn as seq; rows equal in all are told apart by their number."""
+    rows = conversations.select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("event"), "role", "text")
+    number = F.row_number().over(Window.partitionBy("conv_id").orderBy("seq", "role", "text"))
+    return rows.select("conv_id", "seq", "event", number.alias("message"), "role", "text")
 
 
 def digests(parsed: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Operator 4: benchmark decontamination by SimHash windows.
 
 A document is read in windows of as many words as a benchmark item has; one with fewer words is a single window. A window's 128-bit SimHash is built
-from its five-word shingles, weighted by their rarity among items. Fingerprints are cut into RADIUS + 1
-blocks; two fingerprints within RADIUS bits agree on one block at least, so the block tables find all of them.
+from its five-word shingles, weighted by their rarity among items. Fingerprints are cut into BLOCKS
+blocks; two fingerprints within RADIUS bits differ in at most RADIUS // BLOCKS bits of one block at least, so looking up each block and
+its neighbours in that distance finds all of them.
 Found pairs are kept if their exact weighted Jaccard similarity reaches the threshold.
 
 Windows that cannot reach the threshold with any item, as the weight of their shingles that stand in some item of
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 
 from . import text as T
 
-SHINGLE, BITS, RADIUS = 5, 128, 31
-_STEP = BITS // (RADIUS + 1)  # bits of a block
+SHINGLE, BITS, RADIUS, BLOCKS = 5, 128, 31, 16
+_STEP = BITS // BLOCKS  # bits of a block
+#: What a block may be xored with: all values of at most RADIUS // BLOCKS bits.
+_NEAR = [x for x in range(1 << _STEP) if x.bit_count() <= RADIUS // BLOCKS]
 _HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int64()), ("n_words", pa.int64())])
 
 
@@ -172,7 +175,7 @@ def _search(words: np.ndarray, items: Items, tables: list[dict], bit_of: np.ndar
             u, n = np.unique(own, return_counts=True)
             wu = items.weigh(u)[0]
             blocks = fingerprint((_signs(u) * (wu * n)[:, None]).sum(0)[None])[0]
-            near = {j for t, b in zip(tables, blocks.tolist()) for j in t.get((size, b), ())}
+            near = {j for t, b in zip(tables, blocks.tolist()) for x in _NEAR for j in t.get((size, b ^ x), ())}
             own_print = as_number(blocks) if near else 0
             for j in near:
                 if (own_print ^ items.whole[j]).bit_count() > RADIUS:
@@ -205,9 +208,9 @@ def find(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.8, item_
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
-            tables: list[dict] = [{} for _ in range(RADIUS + 1)]
+            tables: list[dict] = [{} for _ in range(BLOCKS)]
             for j in range(len(items.ids)):
-                for b in range(RADIUS + 1):
+                for b in range(BLOCKS):
                     tables[b].setdefault((items.sizes[j], int(items.prints[j, b])), []).append(j)
             bit_of = np.zeros(1 << 20, bool)
             bit_of[(items.known >> np.uint64(44)).astype(np.int64)] = True

@@ -75,15 +75,15 @@ def _kmeans(v: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.nda
     return c, (v @ c.T).argmax(1)
 
 
-def fit(docs: DataFrame, *, sample_docs: int = 3000, clusters: int = 4, max_languages: int = 200, quantile: float = 0.995, slack: float = 1.25) -> Centroids | None:
-    """Learn from ``docs`` (text, lang, doc_id): about ``sample_docs`` rows in all, the same number for each of the
-    ``max_languages`` most frequent languages, chosen by a hash of doc_id. Rows without language or text are
+def fit(docs: DataFrame, *, sample_docs: int = 3000, clusters: int = 4, least_docs: int = 8, quantile: float = 0.995, slack: float = 1.25) -> Centroids | None:
+    """Learn from ``docs`` (text, lang, doc_id): about ``sample_docs`` rows in all, the same number for each
+    language but ``least_docs`` at least, chosen by a hash of doc_id. Rows without language or text are
     left out; None if there is nothing to learn from."""
     docs = docs.where(F.col("lang").isNotNull() & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    found = docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    found = docs.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language
     if not found:
         return None
-    share = sample_docs / len(found)
+    share = max(sample_docs / len(found), least_docs)
     keep = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], min(1.0, share / r["n"]))])
     chance = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
 

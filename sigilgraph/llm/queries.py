@@ -99,7 +99,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.digests(chat.parse(chat.render(chat.from_turns(rows))))
+    return chat.digests(chat.parse(chat.render(chat.fold_events(chat.from_turns(rows)))))
 
 
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ Lists that many sets share are settled step by step, so that neither a task nor
    decides on nothing but the cut). Inside a list or part that gives more than MANY pairs a node, each node
    is paired with its FIRST partners in the order of node hashes alone, which is the same in all lists of a group.
 2. ``left_over`` looks at these lists again, without pairs that are settled by then. Each node outside the list's settled bulk is held
-   against all of the list, in cells of ``CELL`` by ``CELL`` postings that are dealt out one by one: first against a few, then all.
+   against all of the list, in cells of some ``CELL`` by ``CELL`` postings that are dealt out one by one: first against a few, then all.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ from . import text as T
 
 #: A list may give so many pairs for each of its nodes; else each node is paired with FIRST others.
 MANY, FIRST = 4, 2
-#: Postings from which a list is cut, and that a side of a cell has on average.
-LONG, CELL = 2048, 1024
+#: Postings from which a list is cut, and that a side of a cell has on average (up to 16 times as many in very long lists).
+LONG, CELL = 1024, 256
 #: Postings that are compared at once, and bound of their pairs (a longer list is one block).
 BLOCK, PAIRS = 100_000, 1 << 22
 #: Rows of (list, parts), 12 bytes each, up to which they are broadcast.
@@ -397,7 +397,8 @@ def left_over(found: DataFrame, state: DataFrame, percent: int, few: int | None
     names = [*POSTING, *extra, "probe"]
     slack = occurrences - 1
     members = _members(found, state, components)
-    rows, columns = F.ceil(F.col("all") / cell).cast("int"), F.ceil(F.col("lives") / cell).cast("int")
+    side = F.greatest(F.lit(cell), F.least(F.lit(16 * cell), F.col("all") / 64))  # longer lists have larger cells, up to a bound
+    rows, columns = F.ceil(F.col("all") / side).cast("int"), F.ceil(F.col("lives") / side).cast("int")
     # A cell holds a part of the list and a part of its live postings, the probes.
     as_member = members.select("*", F.pmod(F.xxhash64("node"), rows).alias("row"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("column"), F.lit(0).alias("probe"))
     as_probe = members.where("live").select("*", F.explode(F.sequence(F.lit(0), rows - 1)).alias("row"), F.pmod(F.xxhash64("node"), columns).alias("column"), F.lit(1).alias("probe"))

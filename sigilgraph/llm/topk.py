@@ -27,9 +27,9 @@ STEP = 256
 def integer_vectors(embeddings: DataFrame, scale: float = 256.0) -> DataFrame:
     """(vec_id, v): floor(scale * x) of each component. Vectors that are null, empty or hold a null or a
     non-finite component, and rows without vec_id, take no part; repeated rows stay. A shorter vector
-    counts as padded with zeros."""
+    counts as padded with zeros. A component beyond the range of long stands at its end."""
     v = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    ok = (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < 1e15))
+    ok = (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf")))
     return embeddings.where(F.col("vec_id").isNotNull() & F.coalesce(ok, F.lit(False))).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
 
 
@@ -53,11 +53,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, *, pivots: int = 4
     """query_id, rank, vec_id, score: the ``k`` highest integer inner products of each query with all rows of
     ``vectors`` but those with its own vec_id; ties go to the smaller vec_id.
 
-    Scores are exact while they fit 2**53. Pivots are rows of a bounded ``sample`` (least hashes), spread by
+    Scores are exact while they fit 2**53; greater ones are rounded as doubles and stand at the ends of long beyond them. Pivots are rows of a bounded ``sample`` (least hashes), spread by
     farthest-first choice; they affect speed alone. Queries run in blocks of at most ``query_block``, each
     broadcast, so memory is bounded whatever the query set's size. A pivot with more than CELL_ROWS vectors is
-    salted by a hash of vec_id into groups of about that size. Empty inputs give no rows; a repeated query row
-    gives its answer once.
+    salted by a hash of vec_id into groups of about that size. Empty inputs give no rows; a repeated query id
+    gives the answer of its least vector.
     """
     spark = vectors.sparkSession
     out_schema = "query_id long, rank int, vec_id long, score long"
@@ -67,7 +67,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, *, pivots: int = 4
         return spark.createDataFrame([], out_schema)
     longest = float(longest)
     lift = lambda m: np.hstack([m, np.sqrt(np.maximum(longest - (m * m).sum(1), 0))[:, None]])
-    picked = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow()
+    own_ids = [r["vec_id"] for r in vectors.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()]
+    picked = vectors.where(F.col("vec_id").isin(own_ids)).groupBy("vec_id").agg(F.min("v").alias("v")).toArrow()  # at most sample rows
     pool = lift(_matrix(picked.column("v").combine_chunks(), dim))
     chosen, gap = [0], _distances(pool, pool[:1])[:, 0]
     while len(chosen) < min(pivots, len(pool)) and gap.max() > 0:
@@ -87,7 +88,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, *, pivots: int = 4
     salts = F.create_map(*[F.lit(x).cast("int") for kv in cells.items() for x in kv])
     cell = index.withColumn("cell", F.pmod(F.xxhash64("vec_id"), salts[F.col("pivot")]).cast("int"))
 
-    asked = queries.select("vec_id", "v").dropDuplicates(["vec_id"])
+    asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     n_blocks = max(1, -(-asked.count() // query_block))
     found = []
     for block in range(n_blocks):
@@ -122,7 +123,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, *, pivots: int = 4
                     centre = to_pivot[i, pivot]
                     lo = hi = int(np.searchsorted(dist, centre))
                     while True:
-                        radius = np.sqrt(max(q2[i] + longest - 2 * kth, 0)) * (1 + 1e-9) + 1e-6 if kth > -np.inf else np.inf
+                        radius = np.sqrt(max(q2[i] + longest - 2 * kth, 0)) * (1 + 1e-9) + 1e-6 + 1e-7 * np.sqrt(longest) if kth > -np.inf else np.inf
                         left = int(np.searchsorted(dist, centre - radius, "left"))
                         right = int(np.searchsorted(dist, centre + radius, "right"))
                         a, z = max(left, lo - STEP), min(right, hi + STEP)
@@ -138,7 +139,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, *, pivots: int = 4
                             best_s, best_i = best_s[o], best_i[o]
                         if len(best_s) == k:
                             kth = max(kth, best_s.min())
-                    res += [(int(ids_q[i]), int(v), int(s)) for s, v in zip(best_s, best_i)]
+                    res += [(int(ids_q[i]), int(v), max(-(1 << 63), min((1 << 63) - 1, int(s)))) for s, v in zip(best_s, best_i)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in res], pa.int64()) for j in range(3)], names=["query_id", "vec_id", "score"])
 
         def per_cell(batches: Iterator[pa.RecordBatch], search=search) -> Iterator[pa.RecordBatch]:

@@ -173,22 +173,23 @@ def _own_texts(texts: pa.Array) -> np.ndarray:
     return keep
 
 
-def fit(texts: pa.Array, toxic: np.ndarray, *, rounds: int = 20, min_docs: int = 3, min_share: float = 0.015, odds: float = 25.0, deviations: float = 10.0) -> Field:
+def fit(texts: pa.Array, toxic: np.ndarray, *, rounds: int = 20, min_docs: int = 4, min_share: float = 0.015, odds: float = 25.0, deviations: float = 10.0) -> Field:
     """Train on labelled texts. A token of a toxic text is labelled 1 if its word, or one of its beginnings,
     stands in ``min_docs`` toxic texts and ``min_share`` of them, ``odds`` times as often as in other texts, and in more than
     chance allows by ``deviations`` standard deviations. The curve from marginals to scores is fitted on texts that the field in use
-    has not seen: each half is scored by a field from the other half."""
+    has not seen: each half is scored by a field from the other half. Copies of a text count once, unless less than ``min_docs`` texts
+    of a class would be left: then all count."""
     base = float(toxic.mean()) if len(toxic) else 0.0
     if not len(toxic) or toxic.all() or not toxic.any():
         return Field(base=base)
     own = _own_texts(texts)
-    if toxic[own].any() and not toxic[own].all():
+    if toxic[own].sum() >= min_docs and (~toxic[own]).sum() >= min_docs:
         texts, toxic = texts.filter(pa.array(own)), toxic[own]
     ids, _, _, first = tokens(texts)
     if not len(ids):
         return Field(base=base)
     how = (rounds, min_docs, min_share, odds, deviations)
-    half = np.arange(len(toxic)) % 2 == 0
+    half = np.where(toxic, np.cumsum(toxic), np.cumsum(~toxic)) % 2 == 0  # every other text of each class
     x = np.zeros((len(toxic), 3))
     size = np.diff(first)
     for own in (half, ~half):
@@ -238,11 +239,10 @@ def score(docs: DataFrame, model: Field, span_probability: float = 0.5, with_spa
                 spans = [[] for _ in range(b.num_rows)]
                 if with_spans:
                     raw, off = T.buffers(b.column("text"))
+                    before = np.concatenate([[0], np.cumsum(raw & 0xC0 != 0x80)])  # characters before each byte
                     for t in np.flatnonzero(p >= span_probability):
                         d = int(np.searchsorted(first, t, "right")) - 1
-                        head = raw[off[d] : a[t]]
-                        c = int((head & 0xC0 != 0x80).sum())
-                        spans[d].append({"start": c, "end": c + int((raw[a[t] : z[t]] & 0xC0 != 0x80).sum()), "probability": float(p[t])})
+                        spans[d].append({"start": int(before[a[t]] - before[off[d]]), "end": int(before[z[t]] - before[off[d]]), "probability": float(p[t])})
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.float64()), pa.array(spans, _SCORE.field("spans").type)], schema=_SCORE)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

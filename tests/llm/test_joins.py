@@ -248,6 +248,18 @@ def test_decontamination_in_blocks_equals_one_block(spark):
     assert len(one) > 30 and any(x[2] < 1 for x in one) and blocks == one
 
 
+def test_block_neighbours_find_all_fingerprints_in_the_radius():
+    """Two fingerprints within the radius agree on a block up to what the look-up allows for."""
+    r = random.Random(4)
+    for _ in range(300):
+        a = r.getrandbits(decontaminate.BITS)
+        b = a
+        for k in r.sample(range(decontaminate.BITS), decontaminate.RADIUS):
+            b ^= 1 << k
+        blocks = [(x >> (8 * k)) & 255 for x in (a, b) for k in range(decontaminate.BLOCKS)]
+        assert any(p ^ q in decontaminate._NEAR for p, q in zip(blocks[:16], blocks[16:]))
+
+
 def test_pipeline_stages(spark):
     """Whole run: toxic, repeated, leaked rows go; what is left is packed without loss."""
     import corpus_pipeline as p

@@ -74,22 +74,61 @@ def test_toxicity_spans_and_edges(spark):
     assert {r["doc_id"] for r in toxicity.keep_clean(docs, model, 0.7).collect()} == {i for i, r in got.items() if r["score"] < 0.7}
 
 
+def brute_candidates(text):
+    """Spans (in characters) of assigned values and of long runs outside of them."""
+    import re
+
+    t, spans = (text or "").encode() + b"\n", []
+    for m in re.finditer(rb"(?<![:=\n/ \t\"'])[ \t\"']*[:=][ \t]*[\"']?([^\s\"'`,;]{6,})", t):
+        spans.append(m.span(1))
+    for m in re.finditer(rb"[A-Za-z0-9+/_-]{16,}", t):
+        if (re.search(rb"\d", m.group()) or len(m.group()) >= 20) and not any(a < m.end() and m.start() < z for a, z in spans):
+            spans.append(m.span())
+    return {(len(t[:a].decode()), len(t[:z].decode())) for a, z in spans}
+
+
 def test_secret_scan(spark):
     import re
 
     got = queries.op8_secret_scan(spark, SF).collect()
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    want = {(i, m.start(), m.end()) for i, t in docs.items() for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}", t) if re.search(r"\d", m.group())}
-    assert {(r["doc_id"], r["start"], r["end"]) for r in got} == want
+    assert {(r["doc_id"], r["start"], r["end"]) for r in got} == {(i, a, z) for i, t in docs.items() for a, z in brute_candidates(t)}
     real = {(i, m.start(1), m.end(1)) for i, t in docs.items() for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', t)}
     assert real and {(r["doc_id"], r["start"], r["end"]) for r in got if r["is_secret"]} == real
 
 
 def test_secret_edges(spark):
-    docs = spark.createDataFrame([(1, None, ""), (2, "", ""), (3, "é password: 'abcdefgh12345678ZZ'", ""), (None, "id 0123456789abcdef", ""), (5, "0123456789ab", ""), (6, "cdef456", "")], ODD)
+    docs = spark.createDataFrame([(1, None, ""), (2, "", ""), (3, "é password: 'abcdefgh12345678ZZ'", ""), (None, "id 0123456789abcdef", ""), (5, "0123456789ab", ""), (6, "cdef456", ""), (7, "pwd = hunter2! é", ""), (8, "q" * 25, ""), (9, "see http://a.b/c", ""), (10, "= 1234567", "")], ODD)
     found = secrets.candidates(docs)
     rows = {r["doc_id"]: (r["start"], r["end"], r["candidate"]) for r in found.collect()}
-    assert rows == {3: (13, 31, "abcdefgh12345678ZZ"), None: (3, 19, "0123456789abcdef")}
-    assert secrets.train_forest(secrets.assigned_findings(found, found["doc_id"].isNotNull())) is None
+    assert rows == {3: (13, 31, "abcdefgh12345678ZZ"), None: (3, 19, "0123456789abcdef"), 7: (6, 14, "hunter2!"), 8: (0, 25, "q" * 25), 9: (9, 16, "//a.b/c")}
+    assert all(len(r["x"]) == len(secrets.FEATURES) for r in found.collect())
+    assert secrets.train_forest(secrets.assigned_findings(found, found["doc_id"] == 3)) is None
     assert {r["is_secret"] for r in secrets.scan(found, None).collect()} == {True}
     assert secrets.candidates(docs.limit(0)).count() == 0
+
+
+def test_secret_features_do_not_name_the_label(spark):
+    """The same value has the same features whatever the name is that it is assigned to."""
+    docs = spark.createDataFrame([(k, f'was {name} = "0a1b2c3d4e5f6a7b8c9d" there', "") for k, name in enumerate(["token", "colour", "secret"])], ODD)
+    assert len({tuple(r["x"]) for r in secrets.candidates(docs).collect()}) == 1
+
+
+def test_long_texts_take_linear_time(spark):
+    """Half a million characters with a finding every few words."""
+    import time
+
+    start = time.time()
+    docs = spark.createDataFrame([(1, "é idiot id 0123456789abcdef " * 20_000, "")], ODD)
+    found = secrets.candidates(docs.select("doc_id", "text"))
+    assert found.where("candidate = '0123456789abcdef' and start % 28 = 11").count() == 20_000
+    model = toxicity.fit(pa.array(["you see an idiot here id now", "you see an apple here id now"] * 30, pa.large_string()), np.array([True, False] * 30))
+    spans = toxicity.score(docs, model).first()["spans"]
+    assert len(spans) == 20_000 and spans[-1]["end"] == 19_999 * 28 + 7
+    assert time.time() - start < 60
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, f"{chr(97 + k // 26)}{chr(97 + k % 26)} " * 9, f"l{k:03}") for k in range(230) for i in range(k * 3, k * 3 + 3)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), clusters=1)
+    assert len(set(model.languages)) == 230

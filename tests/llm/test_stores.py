@@ -168,7 +168,7 @@ def test_chat_round_trip(spark):
     rows = [(c, t, r, x) for c in (1, 2, None) for t, (r, x) in enumerate([(r, x) for r in ("user", "assistant", "sy:s", None) for x in said])]
     rows += [(5, 0, "assistant", "x"), (5, 0, "assistant", "x"), (6, None, "assistant", None)]
     told = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    parsed = chat.parse(chat.render(chat.from_turns(told)))
+    parsed = chat.parse(chat.render(chat.fold_events(chat.from_turns(told))))
     for x in parsed.collect():
         own = [(r or "", t or "") for c, n, r, t in rows if c == x["conv_id"]]
         assert [(t["role"], t["text"]) for t in x["turns"]] == own
@@ -178,7 +178,7 @@ def test_chat_round_trip(spark):
         assert x["n_turns"] == len(own)
         assert x["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in own).encode()).hexdigest()
         assert x["loss_sha256"] == hashlib.sha256("".join(t for r, t in own if r == "assistant").encode()).hexdigest()
-    assert chat.digests(chat.parse(chat.render(chat.from_turns(told.limit(0))))).count() == 0
+    assert chat.digests(chat.parse(chat.render(chat.fold_events(chat.from_turns(told.limit(0)))))).count() == 0
 
 
 @pytest.mark.parametrize("k,block", [(5, 20_000), (3, 17)])
@@ -186,7 +186,7 @@ def test_topk_equals_brute_force(spark, k, block):
     r = np.random.default_rng(1)
     x = r.normal(0, 0.2, (700, 12)).round(2)
     x[200:420] = x[5]  # a group of copies, so ties
-    rows = [(int(i), v.tolist(), 0) for i, v in enumerate(x)] + [(800, None, 0), (801, [1.0, None], 0), (802, [float("nan")] * 12, 0), (803, [], 0), (None, [1.0] * 12, 0), (805, [0.5, 0.25], 0), (10, x[10].tolist(), 0)]
+    rows = [(int(i), v.tolist(), 0) for i, v in enumerate(x)] + [(900, [3.0] * 12, 0), (900, [2.0] * 12, 0), (800, None, 0), (801, [1.0, None], 0), (802, [float("nan")] * 12, 0), (803, [], 0), (None, [1.0] * 12, 0), (805, [0.5, 0.25], 0), (10, x[10].tolist(), 0)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     vectors = topk.integer_vectors(table)
     got = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k, pivots=7, sample=100, query_block=block).collect()
@@ -197,11 +197,13 @@ def test_topk_equals_brute_force(spark, k, block):
             z = np.zeros(12, np.int64)
             z[: len(e)] = np.floor(np.array(e, np.float32).astype(np.float64) * 256)
             full.append((i, z))
-            v[i] = z
+            v[i] = min(v.get(i, z), z, key=tuple)  # a repeated id asks with its least vector
     want = []
     for q in v:
         if q % 50 == 0:
             s = sorted((-int(v[q] @ z), i) for i, z in full if i != q)[:k]
             want += [(q, n + 1, i, -a) for n, (a, i) in enumerate(s)]
     assert sorted(tuple(x) for x in got) == sorted(want)
+    huge = topk.integer_vectors(spark.createDataFrame([(50, [1e30, 1.0]), (51, [2e30, 0.0]), (52, [0.0, 1.0])], "vec_id long, embedding array<float>"))
+    assert [r["vec_id"] for r in topk.top_k(huge, huge.where("vec_id = 50"), 5).orderBy("rank").collect()] == [51, 52]
     assert topk.top_k(vectors.limit(0), vectors, k).count() == 0 and topk.top_k(vectors, vectors.limit(0), k).count() == 0
