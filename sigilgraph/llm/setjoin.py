@@ -38,8 +38,8 @@ MANY, FIRST = 4, 2
 LONG, CELL = 1024, 256
 #: Postings that are compared at once, and bound of their pairs (a longer list is one block).
 BLOCK, PAIRS = 100_000, 1 << 22
-#: Rows of (list, parts), 12 bytes each, up to which they are broadcast.
-SMALL = 1_000_000
+#: Rows of at most 32 bytes, one for each of some lists, up to which they are broadcast.
+SMALL = 500_000
 #: Bits of the filter that tells which nodes' sets are wanted; 16 MB, whatever the input.
 FILTER_BITS = 1 << 27
 PAIR = "q long, nq int, c long, nc int"
@@ -249,8 +249,7 @@ def candidate_pairs(posts: DataFrame, percent: int, occurrences: int = 1, longer
                 x = held[at : at + (1 << 16)]
                 yield rows(len(x), q=node[x], nq=n[x], nc=cut[x].astype(np.int32), home=home[x], size=size[x], b0=b0[x], b1=b1[x])
 
-    heavy = materialize(long_lists(posts, longer), "cut-lists")
-    heavy = F.broadcast(heavy) if heavy.count() <= SMALL else heavy
+    heavy = _shared(long_lists(posts, longer))
     homed = posts.withColumn("home", _list_id()).join(heavy, F.col("home") == F.col("list"), "left")
     part = F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("parts")))
     dealt = homed.select(F.when(F.col("parts").isNull(), F.col("k")).otherwise(_with_size(part)).alias("k"), "node", "size", "b0", "b1", "home")
@@ -368,6 +367,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("q", "c", "hq", "hc").mapInArrow(probe, "a long, b long")
 
 
+def _shared(lists: DataFrame) -> DataFrame:
+    """A small table of lists, broadcast if it is found to be small; else the join deals with skew at run time."""
+    lists = materialize(lists, "list-state")
+    return F.broadcast(lists) if lists.count() <= SMALL else lists
+
+
 def _members(found: DataFrame, state: DataFrame, components: bool) -> DataFrame:
     """Postings of the lists in ``found`` that left pairs out, with s (and o), whether the posting is ``live`` (outside its list's settled
     bulk: each open pair has a live one), and how many of both the list has; lists without open pairs are gone."""
@@ -378,11 +383,11 @@ def _members(found: DataFrame, state: DataFrame, components: bool) -> DataFrame:
         each = told.groupBy("home", "s").agg(F.count("*").alias("n"))
         lists = each.groupBy("home").agg(F.sum("n").alias("all"), F.max_by("s", F.struct("n", "s")).alias("bulk"), F.max("n").alias("most"))
         lists = lists.where(F.col("most") < F.col("all")).select("home", "bulk", "all", (F.col("all") - F.col("most")).alias("lives"))
-        return told.join(lists, "home").withColumn("live", F.col("s") != F.col("bulk")).drop("bulk")
+        return told.join(_shared(lists), "home").withColumn("live", F.col("s") != F.col("bulk")).drop("bulk")
     live = F.col("s") == 0
     lists = told.groupBy("home").agg(F.count("*").alias("all"), F.count_if(live).alias("lives"), F.min("o").alias("least"), F.min(F.when(live, F.col("o"))).alias("live_least"))
     lists = lists.where((F.col("lives") > 1) | (F.col("live_least") > F.col("least"))).select("home", "all", "lives")
-    return told.join(lists, "home").withColumn("live", live)
+    return told.join(_shared(lists), "home").withColumn("live", live)
 
 
 def left_over(found: DataFrame, state: DataFrame, percent: int, few: int | None = None, components: bool = True, occurrences: int = 1, cell: int = CELL) -> DataFrame:
