@@ -80,3 +80,26 @@ def mark_activity(node_events: DataFrame, nodes: DataFrame, active_events: DataF
 def enrichment_candidates(nodes: DataFrame, most: int = 100) -> DataFrame:
     """Nodes worth a look elsewhere: confidence below 0.8 or fewer than two sources."""
     return nodes.where((F.col("confidence") < 0.8) | (F.col("n_sources") < 2)).orderBy("confidence", "key").limit(most)
+
+
+def inactive_campaigns(campaigns: DataFrame, linked: DataFrame, key: str) -> DataFrame:
+    """Campaigns with no active linked indicator (left anti)."""
+    return campaigns.select(key).distinct().join(linked.where("active").select(key).distinct(), key, "left_anti")
+
+
+def creator_trust(rows: DataFrame, allow: DataFrame) -> DataFrame:
+    """``rows`` (with creator_uuid, creator_name) and trusted, reason: a creator is looked up in ``allow`` (uuid, name) by uuid, then by
+    trimmed lower-case name. The allow list is joined by key, so its size does not matter."""
+    fold = lambda c: F.lower(F.trim(c))
+    ids = allow.select(F.col("uuid").alias("creator_uuid")).dropna().distinct().withColumn("__u", F.lit(True))
+    names = allow.select(fold("name").alias("__name")).dropna().distinct().withColumn("__n", F.lit(True))
+    out = rows.join(ids, "creator_uuid", "left").withColumn("__name", fold("creator_name")).join(names, "__name", "left")
+    none = F.col("creator_uuid").isNull() & F.col("creator_name").isNull()
+    reason = F.when(F.col("__u"), "uuid").when(F.col("__n"), "name").when(none, "no creator").otherwise("unknown creator")
+    return out.withColumns({"reason": reason, "trusted": reason.isin("uuid", "name")}).drop("__u", "__n", "__name")
+
+
+def truthful_time(source: Column, trusted: Column, sources: list[str], fields: list[str]) -> Column:
+    """A time that a source reports itself: the first of ``fields`` (the attribute's own, then those of its META) that is there, for allowed
+    sources of trusted creators; else NULL."""
+    return F.when(trusted & source.isin(sources), F.coalesce(*fields))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.ident import is_placeholder, merge_name
@@ -33,6 +35,28 @@ def overlap_join(left: DataFrame, right: DataFrame, left_list: str, right_list:
     return a.join(b, "__m").groupBy(*columns).agg(F.count("*").alias("shared"))
 
 
+def shared_members(left: DataFrame, right: DataFrame, member: str, most: int) -> DataFrame:
+    """(src, trg, shared): members that rows (src, member) and (trg, member) have in common. Only the first ``most`` different members of a trg
+    count; rows beyond are dropped before the shuffle, so a trg with very many of them is no large group."""
+    first = capped(right.distinct(), ["trg"], [member], most)
+    return left.distinct().join(first, member).groupBy("src", "trg").agg(F.count("*").alias("shared"))
+
+
+def build_links(steps: dict[str, Callable[[], DataFrame]]) -> DataFrame:
+    """(step, ok, edges) of all steps in order. Each is planned on its own: one that cannot be planned is reported with ok = false and no
+    count, and the others go on."""
+    parts = []
+    for name, step in steps.items():
+        try:
+            edges, ok = step().agg(F.count("*").alias("edges")), True
+        except AnalysisException:
+            edges, ok = None, False
+        spark = SparkSession.active()
+        edges = spark.range(1).select(F.lit(None).cast("long").alias("edges")) if edges is None else edges
+        parts.append(edges.select(F.lit(name).alias("step"), F.lit(ok).alias("ok"), "edges"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def link_exact(src: DataFrame, src_key: Column, src_id: str, trg: DataFrame, trg_key: Column, trg_id: str, kind: str, confidence: float, match_type: str) -> DataFrame:
     """Edges between rows with equal keys; a list key is exploded by the caller's expression."""
     a = src.select(F.col(src_id).alias("src"), src_key.alias("__k")).where(F.col("__k").isNotNull())

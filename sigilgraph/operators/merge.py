@@ -35,7 +35,8 @@ def merge_nodes(claims: DataFrame, keys: list[str], order: str, *, highest=(), e
     out += [members(c).alias(c) for c in sets]
     if zones:
         out.append(zone_fold(F.flatten(F.collect_set(zones))).alias(zones))
-    return claims.where(F.forall(F.array(*[F.trim(F.coalesce(F.col(k).cast("string"), F.lit(""))) for k in keys]), lambda x: x != "")).groupBy(*keys).agg(*out)
+    named = claims.where(F.forall(F.array(*[F.trim(F.coalesce(F.col(k).cast("string"), F.lit(""))) for k in keys]), lambda x: x != ""))
+    return named.groupBy(*keys).agg(*out) if out else named.select(*keys).distinct()
 
 
 def merge_provenance(claims: DataFrame, node_keys: list[str], source: str, first: str, last: str, raw: str, order: str) -> DataFrame:
@@ -71,3 +72,13 @@ def new_only(items: DataFrame, existing: DataFrame, keys: list[str]) -> DataFram
 
 def secondary_labels(zones: Column) -> Column:
     return F.transform(F.filter(zones, lambda z: z != "global"), lambda z: F.initcap(z))
+
+
+# The order in which labels are written.
+LABEL_RANKS = ["Tactic", "Technique", "Malware", "ThreatActor", "Vulnerability", "Indicator"]
+
+
+def label_rank(label: Column) -> Column:
+    """The place of a label in the write order; all others come last."""
+    known = F.create_map(*[F.lit(x) for k, v in enumerate(LABEL_RANKS) for x in (v, k)])
+    return F.coalesce(known[label], F.lit(len(LABEL_RANKS)))

@@ -83,3 +83,9 @@ def recent_runs(runs: DataFrame, group: str, order: str, most: int = 10) -> Data
     marked = runs.withColumn("__n", rank)
     last = F.col("__n") <= most
     return marked.groupBy(group).agg(F.count("*").alias("runs"), F.round(F.avg(F.col("ok").cast("double")), 6).alias("success"), F.round(F.avg(F.when(last, F.col("seconds"))), 6).alias("avg_recent"))
+
+
+def audit(nodes: DataFrame, label: str, node_id: str, managed: str, events: str) -> DataFrame:
+    """For each label: nodes, those without an id, those not managed (NULL or false), and those without events to backfill from."""
+    unmanaged = ~F.coalesce(F.col(managed), F.lit(False))
+    return nodes.groupBy(label).agg(F.count("*").alias("nodes"), F.count_if(F.col(node_id).isNull()).alias("without_id"), F.count_if(unmanaged).alias("unmanaged"), F.count_if(F.col(events) == 0).alias("without_events"))

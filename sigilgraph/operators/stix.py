@@ -31,6 +31,32 @@ def relation_object(kind: Column, src: Column, trg: Column) -> Column:
     return F.to_json(F.struct(F.lit("relationship").alias("type"), F.lit("2.1").alias("spec_version"), relation_id(kind, src, trg).alias("id"), F.lower(F.replace(kind, F.lit("_"), F.lit("-"))).alias("relationship_type"), src.alias("source_ref"), trg.alias("target_ref")))
 
 
+def object_of(label: Column, node_id: Column, name: Column) -> Column:
+    """The object of a node that a name describes, its type taken from the label."""
+    kinds = F.create_map(*[F.lit(x) for kv in STIX_TYPES.items() for x in kv])
+    return F.to_json(F.struct(kinds[label].alias("type"), F.lit("2.1").alias("spec_version"), node_id.alias("id"), name.alias("name")))
+
+
+def neighbour_objects(nodes: DataFrame, edges: DataFrame, label: str) -> DataFrame:
+    """(seed, id): ids of what each node of ``label`` exports: itself, its neighbours in either direction and the relations to them.
+
+    nodes: label, key, id; edges: type, src_label, src_key, trg_label, trg_key. Edges with an unknown end are left out. A seed's rows are
+    never gathered here, so writers can deal them out by seed and id."""
+    end = lambda p: nodes.select(F.col("label").alias(f"{p}_label"), F.col("key").alias(f"{p}_key"), F.col("id").alias(f"{p}_id"))
+    near = edges.where((F.col("src_label") == label) | (F.col("trg_label") == label))
+    known = near.join(end("src"), ["src_label", "src_key"]).join(end("trg"), ["trg_label", "trg_key"])
+    known = known.withColumn("rel", relation_id(F.col("type"), F.col("src_id"), F.col("trg_id")))
+    ways = [known.where(F.col(f"{a}_label") == label).select(F.col(f"{a}_key").alias("seed"), F.explode(F.array(f"{b}_id", "rel")).alias("id")) for a, b in (("src", "trg"), ("trg", "src"))]
+    return nodes.where(F.col("label") == label).select(F.col("key").alias("seed"), "id").unionByName(ways[0]).unionByName(ways[1]).distinct()
+
+
+def bundle_ids(members: DataFrame, group: str) -> DataFrame:
+    """(group, n_objects, bundle_id) of members (group, id): the bundle's id is drawn from its sorted ids alone, so only ids are gathered and equal
+    content has equal ids."""
+    g = members.groupBy(group).agg(F.array_sort(F.collect_list("id")).alias("p"))
+    return g.select(group, F.size("p").alias("n_objects"), F.concat(F.lit("bundle--"), uuid5(F.sha2(F.to_json("p"), 256))).alias("bundle_id"))
+
+
 def bundles(objects: DataFrame, group: str) -> DataFrame:
     """One bundle for each group of (group, id, object): objects once, by id; the bundle's id is drawn from the ids, so equal content has
     equal ids."""

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 _QUERIES: dict[str, Callable] = {}
 _SQL: dict[str, str] = {}
+#: SQL as written, without the domain tables put ahead.
+RAW: dict[str, str] = {}
 
 
 class Tables:
@@ -41,14 +43,14 @@ def query(name: str, sql: str | None = None):
         if sql:
             from ..sources.adapter import with_domain
 
-            _SQL[name] = with_domain(sql)
+            RAW[name], _SQL[name] = sql, with_domain(sql)
         return f
 
     return add
 
 
 def _load() -> None:
-    from . import enriching, identity, linking, merging, more, serving, texts  # noqa: F401
+    from . import enriching, exports, identity, linking, merging, more, serving, steps, texts  # noqa: F401
 
 
 def queries() -> dict[str, Callable]:

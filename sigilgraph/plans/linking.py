@@ -32,11 +32,12 @@ for _n, _label in (("J3a_exploits_vulnerability", "vulnerability"), ("J3b_exploi
         return L.link_exact(t.indicator, F.col("cve_id"), "indicator_id", getattr(t, label), F.col("cve_id"), "cve_id", "EXPLOITS", 1.0, "cve_tag").select(*_EDGE)
 
 
-@query("J4_cooccurrence", "SELECT i.indicator_id AS src, m.malware_id AS trg, count(DISTINCT i.event_id) AS shared FROM attribute i JOIN attribute m ON i.event_id = m.event_id GROUP BY i.indicator_id, m.malware_id")
+@query("J4_cooccurrence", """SELECT i.indicator_id AS src, m.malware_id AS trg, count(*) AS shared FROM (SELECT DISTINCT indicator_id, event_id FROM attribute) i
+  JOIN (SELECT malware_id, event_id FROM (SELECT malware_id, event_id, row_number() OVER (PARTITION BY malware_id ORDER BY event_id) AS n FROM (SELECT DISTINCT malware_id, event_id FROM attribute) d) r WHERE n <= 200) m ON i.event_id = m.event_id GROUP BY i.indicator_id, m.malware_id""")
 def cooccurrence(t):
-    ind = t.attribute.groupBy("indicator_id").agg(F.collect_set("event_id").alias("ev"))
-    mal = t.attribute.groupBy("malware_id").agg(F.collect_set("event_id").alias("ev2"))
-    return L.overlap_join(ind, mal, "ev", "ev2", [F.col("indicator_id").alias("src"), F.col("malware_id").alias("trg")])
+    """A malware's first 200 events count."""
+    a = t.attribute
+    return L.shared_members(a.select(F.col("indicator_id").alias("src"), "event_id"), a.select(F.col("malware_id").alias("trg"), "event_id"), "event_id", 200)
 
 
 @query("J5_J6_J10_uses", "SELECT DISTINCT a.actor_id AS src, t.mitre_id AS trg FROM (SELECT actor_id, unnest(split(uses_techniques, ';')) AS k FROM actor) a JOIN technique t ON a.k = t.mitre_id")
@@ -55,16 +56,13 @@ def indicator_uses(t):
     return L.link_exact(t.indicator, F.col("attack_id"), "indicator_id", t.technique, F.col("mitre_id"), "mitre_id", "USES_TECHNIQUE", 0.85, "otx_attack_ids").select(*_EDGE)
 
 
-@query("J9_family", "SELECT DISTINCT i.indicator_id AS src, m.malware_id AS trg FROM indicator i JOIN malware m ON lower(i.malware_family) = lower(m.family) OR lower(i.malware_family) = lower(m.name) WHERE i.malware_family <> 'unknown'")
+@query("J9_family", """SELECT DISTINCT i.indicator_id AS src, m.malware_id AS trg FROM indicator i JOIN (SELECT malware_id, lower(trim(name)) AS k FROM malware UNION ALL SELECT malware_id, lower(trim(family)) FROM malware UNION ALL SELECT malware_id, lower(trim(u)) FROM (SELECT malware_id, unnest(split(aliases, ';')) AS u FROM malware) y) m
+  ON lower(i.malware_family) = m.k WHERE i.malware_family <> 'unknown'""")
 def family(t):
     key = L.names_of(F.col("malware_family"))
-    mal = t.malware.select("malware_id", "family", F.col("name").alias("mname"))
-    return L.or_join(t.indicator, mal, [(key, L.names_of(F.col("mname"))), (key, L.names_of(F.col("family")))], [F.col("indicator_id").alias("src"), F.col("malware_id").alias("trg")])
-
-
-@query("J11_orphans", "SELECT count(*) AS orphans FROM indicator i WHERE cve_id IS NOT NULL AND cve_id NOT IN (SELECT cve_id FROM vulnerability)")
-def orphan_count(t):
-    return L.orphans(t.indicator, F.col("cve_id"), t.vulnerability, F.col("cve_id")).agg(F.count("*").alias("orphans"))
+    mal = t.malware.select("malware_id", "family", F.col("name").alias("mname"), F.split("aliases", ";").alias("also"))
+    pairs = [(key, L.names_of(F.col("mname"))), (key, L.names_of(F.col("family"))), (key, L.names_of(F.col("also"), lists=True))]
+    return L.or_join(t.indicator, mal, pairs, [F.col("indicator_id").alias("src"), F.col("malware_id").alias("trg")])
 
 
 @query("J12_E1_bridge", "SELECT 'Vulnerability' AS src_label, 'CVE' AS trg_label, v.cve_id FROM vulnerability v JOIN cve c ON v.cve_id = c.cve_id UNION ALL SELECT 'CVE', 'Vulnerability', v.cve_id FROM vulnerability v JOIN cve c ON v.cve_id = c.cve_id")

@@ -61,22 +61,11 @@ def extremes(t):
     return t.attribute.groupBy(F.col("source_name").alias("source")).agg(F.unix_timestamp(F.min("seen")).alias("first"), F.unix_timestamp(F.max("seen")).alias("last"))
 
 
-@query("A15_A16_A17_audits", "SELECT indicator_type, count(*) AS nodes, count(*) FILTER (cve_id IS NULL) AS without_cve, count(*) FILTER (malware_family IS NULL OR malware_family = 'unknown') AS without_family FROM indicator GROUP BY indicator_type")
-def audits(t):
-    return t.indicator.groupBy("indicator_type").agg(F.count("*").alias("nodes"), F.count_if(F.col("cve_id").isNull()).alias("without_cve"), F.count_if(~(F.col("malware_family") != "unknown").eqNullSafe(F.lit(True))).alias("without_family"))
-
-
-@query("U3_U4_unions", "SELECT label, count(*) AS n, count(DISTINCT cve_id) AS ids FROM (SELECT 'both' AS label, cve_id FROM vulnerability UNION ALL SELECT 'both', cve_id FROM cve) x GROUP BY label")
-def unions(t):
-    rows = t.vulnerability.select("cve_id").unionByName(t.cve.select("cve_id")).withColumn("label", F.lit("both"))
-    return rows.groupBy("label").agg(F.count("*").alias("n"), F.countDistinct("cve_id").alias("ids"))
-
-
-@query("M3_batch_refusals", "SELECT count(*) FILTER (k <> '') AS kept, count(*) AS claims FROM (SELECT CASE WHEN l_linenumber = 1 THEN '' ELSE l_partkey::VARCHAR END AS k FROM lineitem) x")
+@query("M3_batch_refusals", "SELECT count(DISTINCT (k, l_orderkey, l_linenumber)) FILTER (k <> '') AS kept, count(*) AS claims FROM (SELECT CASE WHEN l_linenumber = 1 THEN '' ELSE l_partkey::VARCHAR END AS k, l_orderkey, l_linenumber FROM lineitem) x")
 def refusals(t):
     key = F.when(F.col("l_linenumber") == 1, F.lit(" ")).otherwise(F.col("l_partkey").cast("string"))
-    rows = t.lineitem.select(key.alias("k"), F.lit(1).alias("seq"), F.monotonically_increasing_id().alias("u"))
-    kept = M.merge_nodes(rows, ["k", "u"], "seq").agg(F.count("*").alias("kept"))
+    rows = t.lineitem.select(key.alias("k"), "l_orderkey", "l_linenumber", F.lit(1).alias("seq"))
+    kept = M.merge_nodes(rows, ["k", "l_orderkey", "l_linenumber"], "seq").agg(F.count("*").alias("kept"))
     return kept.join(F.broadcast(rows.agg(F.count("*").alias("claims"))))
 
 
@@ -86,7 +75,7 @@ def children(t):
     return M.merge_nodes(rows.dropna(subset=["score"]), ["cve_id", "version"], "seq", last=["score"])
 
 
-@query("M10_alert_indicators", "SELECT 'ipv4' AS indicator_type, user_id::VARCHAR AS value, epoch(min(ts))::BIGINT AS first, epoch(max(ts))::BIGINT AS last, 0.8e0 AS confidence FROM events GROUP BY user_id")
+@query("M10_alert_indicators", "SELECT 'ipv4' AS indicator_type, user_id::VARCHAR AS value, epoch_us(min(ts)) // 1000000 AS first, epoch_us(max(ts)) // 1000000 AS last, 0.8e0 AS confidence FROM events GROUP BY user_id")
 def alert_indicators(t):
     kind = S.lookup({"ip": "ipv4", "file_hash": "hash"}, F.lit("ip"), "unknown")
     rows = t.events.select(kind.alias("indicator_type"), F.col("user_id").cast("string").alias("value"), F.col("ts").alias("first"), F.col("ts").alias("last"), F.lit(0.8).alias("confidence"), F.col("event_id").alias("seq"))
@@ -107,38 +96,11 @@ def weak_links(t):
     return a.join(b, "event_id").where("idx < j").groupBy("src", "trg").agg(F.countDistinct("event_id").alias("n")).where("n >= 2").select("src", "trg")
 
 
-@query("R5_step_counts", "SELECT 'INDICATES' AS step, count(*) AS edges FROM indicates UNION ALL SELECT 'ATTRIBUTED_TO', count(*) FROM malware UNION ALL SELECT 'EXPLOITS', count(*) FROM indicator i JOIN vulnerability v ON i.cve_id = v.cve_id")
-def step_counts(t):
-    exploits = L.link_exact(t.indicator, F.col("cve_id"), "indicator_id", t.vulnerability, F.col("cve_id"), "cve_id", "EXPLOITS", 1.0, "cve_tag")
-    return V.label_counts({"INDICATES": t.indicates, "ATTRIBUTED_TO": t.malware, "EXPLOITS": exploits}).select(F.col("label").alias("step"), F.col("nodes").alias("edges"))
-
-
-@query("E2b_deactivation", "SELECT DISTINCT m.nationkey AS actor FROM malware m WHERE m.nationkey NOT IN (SELECT m.nationkey FROM malware m JOIN indicates i ON i.malware_id = m.malware_id JOIN live l ON l.indicator_id = i.indicator_id WHERE l.active AND l.indicator_id % 40 = 0)")
-def deactivation(t):
-    live = t.live.where("active AND indicator_id % 40 = 0").select("indicator_id")
-    alive = t.indicates.join(live, "indicator_id", "left_semi").join(t.malware, "malware_id").select("nationkey").distinct()
-    return t.malware.select("nationkey").distinct().join(alive, "nationkey", "left_anti").select(F.col("nationkey").alias("actor"))
-
-
-@query("P18_P19_trust", "SELECT source_name AS source, source_name IN ('NVD', 'CISA-KEV') AS trusted, CASE WHEN source_name IN ('NVD', 'CISA-KEV') THEN 'name' ELSE 'unknown' END AS reason, count(*) AS n FROM attribute GROUP BY source_name")
-def trust(t):
-    allow = F.broadcast(t.spark.createDataFrame([("nvd",), ("cisa-kev",)], "name string").withColumn("hit", F.lit(True)))
-    rows = t.attribute.withColumn("name", F.lower(F.trim("source_name"))).join(allow, "name", "left")
-    ok = F.coalesce("hit", F.lit(False))
-    return rows.groupBy(F.col("source_name").alias("source"), ok.alias("trusted"), F.when(ok, "name").otherwise("unknown").alias("reason")).agg(F.count("*").alias("n"))
-
-
-@query("P20_wall_clock", "SELECT count(*) FILTER (abs(epoch(ts)::BIGINT - epoch(TIMESTAMP '2024-01-15 12:00:00')::BIGINT) <= 3600) AS near, count(*) AS n FROM events")
+@query("P20_wall_clock", "SELECT count(*) FILTER (abs((epoch_us(ts) // 1000000) - epoch(TIMESTAMP '2024-01-15 12:00:00')::BIGINT) <= 3600) AS near, count(*) AS n FROM events")
 def wall_clock(t):
     return t.events.agg(F.count_if(S.is_wall_clock(F.col("ts"), F.lit("2024-01-15 12:00:00").cast("timestamp"), 3600)).alias("near"), F.count("*").alias("n"))
 
 
-@query("P21_P24_clean", "SELECT doc_id, left(regexp_replace(left(coalesce(text, ''), 40), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g'), 17) || CASE WHEN length(left(coalesce(text, ''), 40)) > 20 THEN '...' ELSE substr(left(coalesce(text, ''), 40), 18) END AS value FROM documents WHERE text = trim(text) AND left(text, 40) = trim(left(text, 40))")
-def clean(t):
-    cut = F.left("text", F.lit(40))
-    return t.documents.where((F.col("text") == F.trim("text")) & (cut == F.trim(cut))).select("doc_id", S.clean_value(cut, 20).alias("value"))
-
-
 @query("P25_cpe", "SELECT p_partkey, 'cpe:2.3:a:' || p_brand || ':' || p_type || ':1 ' || p_brand || ' ' || p_type AS product FROM part")
 def cpe(t):
     name = F.concat(F.lit("cpe:2.3:a:"), "p_brand", F.lit(":"), "p_type", F.lit(":1"))
@@ -166,13 +128,6 @@ def inactive(t):
     return t.live.where(~F.coalesce("active", F.lit(True))).select("indicator_id")
 
 
-@query("X2_X5_actor_export", """SELECT a.actor_id, count(DISTINCT m.malware_id) AS malware, count(DISTINCT u.mitre_id) AS techniques FROM actor a LEFT JOIN malware m ON m.nationkey = a.actor_id LEFT JOIN (SELECT actor_id, k AS mitre_id FROM (SELECT actor_id, unnest(split(uses_techniques, ';')) AS k FROM actor) y) u ON u.actor_id = a.actor_id GROUP BY a.actor_id""")
-def actor_export(t):
-    m = t.malware.groupBy(F.col("nationkey").alias("actor_id")).agg(F.countDistinct("malware_id").alias("malware"))
-    u = t.actor.select("actor_id", F.explode(F.split("uses_techniques", ";")).alias("k")).groupBy("actor_id").agg(F.countDistinct("k").alias("techniques"))
-    return t.actor.select("actor_id").join(m, "actor_id", "left").join(u, "actor_id", "left").select("actor_id", F.coalesce("malware", F.lit(0)).alias("malware"), F.coalesce("techniques", F.lit(0)).alias("techniques"))
-
-
 @query("TOPOLOGY_all_edges", """SELECT DISTINCT 'SoftwareVersion' AS src_label, 'ON' AS type, 'Host' AS trg_label, l_partkey::VARCHAR AS src, l_suppkey::VARCHAR AS trg FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size > 40
   UNION SELECT 'Host', 'ON', 'SoftwareVersion', l_suppkey::VARCHAR, l_partkey::VARCHAR FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size > 40""")
 def topology_edges(t):
@@ -190,7 +145,7 @@ def users(t):
 
 
 @query("STREAM_sessions", """WITH s AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOURS THEN 0 ELSE 1 END AS b FROM events), g AS (SELECT user_id, ts, sum(b) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM s)
-  SELECT user_id, epoch(min(ts))::BIGINT AS start, count(*) AS alerts FROM g GROUP BY user_id, k""")
+  SELECT user_id, epoch_us(min(ts)) // 1000000 AS start, count(*) AS alerts FROM g GROUP BY user_id, k""")
 def sessions(t):
     from ..streaming.alerts import sessions as run
 
@@ -203,7 +158,53 @@ def job_order(t):
     return E.bridge(t.vulnerability, t.cve).where("src_label = 'CVE'").agg(F.count("*").alias("edges"))
 
 
-@query("T9_ranks", "SELECT indicator_id, row_number() OVER (ORDER BY indicator_id) - 1 AS chunk FROM (SELECT indicator_id FROM indicator ORDER BY indicator_id LIMIT 100) x")
+@query("A15_A16_A17_audits", """SELECT label, count(*) AS nodes, count(*) FILTER (id IS NULL) AS without_id, count(*) FILTER (NOT coalesce(managed, FALSE)) AS unmanaged, count(*) FILTER (events = 0) AS without_events FROM (
+  SELECT 'Indicator' AS label, CASE WHEN i.indicator_id % 5 > 0 THEN i.value END AS id, CASE i.indicator_id % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS managed, coalesce(e.n, 0) AS events FROM indicator i LEFT JOIN (SELECT indicator_id, count(*) AS n FROM attribute WHERE idx > 6 GROUP BY indicator_id) e ON e.indicator_id = i.indicator_id
+  UNION ALL SELECT 'Malware', m.name, TRUE, coalesce(e.n, 0) FROM malware m LEFT JOIN (SELECT malware_id, count(*) AS n FROM attribute WHERE idx > 6 GROUP BY malware_id) e ON e.malware_id = m.malware_id) x GROUP BY label""")
+def audits(t):
+    late = t.attribute.where("idx > 6")
+    i = t.indicator.join(late.groupBy("indicator_id").agg(F.count("*").alias("n")), "indicator_id", "left").select(F.lit("Indicator").alias("label"), F.when(F.col("indicator_id") % 5 > 0, F.col("value")).alias("id"), F.when(F.col("indicator_id") % 3 == 0, True).when(F.col("indicator_id") % 3 == 1, False).alias("managed"), F.coalesce("n", F.lit(0)).alias("events"))
+    m = t.malware.join(late.groupBy("malware_id").agg(F.count("*").alias("n")), "malware_id", "left").select(F.lit("Malware").alias("label"), F.col("name").alias("id"), F.lit(True).alias("managed"), F.coalesce("n", F.lit(0)).alias("events"))
+    return V.audit(i.unionByName(m), "label", "id", "managed", "events")
+
+
+@query("U3_U4_unions", "SELECT indicator_id, string_agg(zone, '|' ORDER BY f) AS zones, string_agg(source_name, '|' ORDER BY f) FILTER (k = 1) AS sources FROM (SELECT indicator_id, zone, NULL AS source_name, min(seq) AS f, 0 AS k FROM attribute GROUP BY indicator_id, zone UNION ALL SELECT indicator_id, NULL, source_name, min(seq), 1 FROM attribute GROUP BY indicator_id, source_name) x GROUP BY indicator_id")
+def unions(t):
+    rows = t.attribute.select("indicator_id", "seq", F.array("zone").alias("z"), F.array("source_name").alias("s"))
+    out = rows.groupBy("indicator_id").agg(M.union_lists("z", "seq").alias("z"), M.union_lists("s", "seq").alias("s"))
+    return out.select("indicator_id", F.array_join("z", "|").alias("zones"), F.array_join("s", "|").alias("sources"))
+
+
+@query("E2b_deactivation", "SELECT malware_id AS campaign FROM malware WHERE malware_id NOT IN (SELECT malware_id FROM attribute WHERE active AND seen >= TIMESTAMP '2001-10-25')")
+def deactivation(t):
+    linked = t.attribute.select(F.col("malware_id").alias("campaign"), (F.col("active") & (F.col("seen") >= F.lit("2001-10-25").cast("timestamp"))).alias("active"))
+    return E.inactive_campaigns(t.malware.select(F.col("malware_id").alias("campaign")), linked, "campaign")
+
+
+@query("P18_P19_trust", """WITH r AS (SELECT event_id, idx, source_name, CASE WHEN idx % 2 = 0 THEN 'u-' || lower(zone) END AS creator_uuid, CASE idx % 3 WHEN 0 THEN ' nvd ' WHEN 1 THEN 'ELSEWHERE' END AS creator_name,
+    CASE WHEN idx % 4 = 0 THEN seen END AS own, CASE WHEN idx % 4 = 1 THEN seen + INTERVAL 1 DAY END AS nvd, seen + INTERVAL 2 DAY AS fox FROM attribute),
+  d AS (SELECT *, CASE WHEN creator_uuid = 'u-energy' THEN 'uuid' WHEN lower(trim(creator_name)) = 'nvd' THEN 'name' WHEN creator_uuid IS NULL AND creator_name IS NULL THEN 'no creator' ELSE 'unknown creator' END AS reason FROM r)
+  SELECT event_id, idx, reason IN ('uuid', 'name') AS trusted, reason, CASE WHEN reason IN ('uuid', 'name') AND source_name IN ('NVD', 'CISA-KEV') THEN epoch_us(coalesce(own, nvd, fox)) // 1000000 END AS first FROM d""")
+def trust(t):
+    day = F.expr("INTERVAL 1 DAY")
+    k = F.col("idx")
+    rows = t.attribute.select("event_id", "idx", "source_name", F.when(k % 2 == 0, F.concat(F.lit("u-"), F.lower("zone"))).alias("creator_uuid"), F.when(k % 3 == 0, F.lit(" nvd ")).when(k % 3 == 1, F.lit("ELSEWHERE")).alias("creator_name"),
+                              F.when(k % 4 == 0, F.col("seen")).alias("own"), F.when(k % 4 == 1, F.col("seen") + day).alias("nvd"), (F.col("seen") + day + day).alias("fox"))
+    allow = t.spark.createDataFrame([("u-energy", "Energy Org"), ("u-none", "NVD")], "uuid string, name string")
+    told = E.creator_trust(rows, allow)
+    first = E.truthful_time(F.col("source_name"), F.col("trusted"), ["NVD", "CISA-KEV"], ["own", "nvd", "fox"])
+    return told.select("event_id", "idx", "trusted", "reason", F.unix_timestamp(first).alias("first"))
+
+
+@query("T9_ranks", """SELECT label, rank, chunk, count(*) AS n FROM (SELECT 'Indicator' AS label, 5 AS rank, indicator_id // 500 AS chunk FROM indicator UNION ALL SELECT 'Malware', 2, malware_id // 500 FROM malware UNION ALL SELECT 'ThreatActor', 3, actor_id // 500 FROM actor
+  UNION ALL SELECT 'Other', 6, c_custkey // 500 FROM customer) x GROUP BY label, rank, chunk""")
 def ranks(t):
-    some = t.indicator.orderBy("indicator_id").limit(100).select("indicator_id")
-    return some.select("indicator_id", (F.row_number().over(Window.orderBy("indicator_id")) - 1).cast("long").alias("chunk"))
+    """Work in the order of label ranks and stable chunks: a chunk is a range of ids, so no label is sorted in one task."""
+    parts = [df.select(F.lit(label).alias("label"), F.col(c).cast("long").alias("id")) for label, df, c in (("Indicator", t.indicator, "indicator_id"), ("Malware", t.malware, "malware_id"), ("ThreatActor", t.actor, "actor_id"), ("Other", t.customer, "c_custkey"))]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return rows.select("label", M.label_rank(F.col("label")).alias("rank"), F.floor(F.col("id") / 500).alias("chunk")).groupBy("label", "rank", "chunk").agg(F.count("*").alias("n"))
+
+
+@query("P21_P24_clean", "SELECT doc_id, CASE WHEN length(v) > 255 THEN left(v, 252) || '...' ELSE v END AS value, trim(coalesce(text, '')) <> '' AND strlen(coalesce(text, '')) <= 4096 AS accepted FROM (SELECT doc_id, text, trim(regexp_replace(coalesce(text, ''), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g')) AS v FROM documents) x")
+def clean(t):
+    return t.documents.select("doc_id", S.clean_value(F.col("text")).alias("value"), S.accepted_value(F.col("text")).alias("accepted"))

@@ -159,21 +159,8 @@ def _sha(text: str) -> str:
 
 
 @query("X7_relation_ids", f"""SELECT indicator_id, malware_id, 'relationship--' || {_ID.format('h')} AS id FROM (SELECT indicator_id, malware_id, {_sha("'INDICATES|' || s || '|' || t")} AS h FROM (SELECT indicator_id, malware_id, 'indicator--' || {_ID.format('a')} AS s, 'malware--' || {_ID.format('b')} AS t FROM
-  (SELECT i.indicator_id, m.malware_id, {_sha("'indicator:' || lower(indicator_type || '|' || value)")} AS a, {_sha("'malware:' || lower(m.name)")} AS b FROM indicates e JOIN indicator i ON e.indicator_id = i.indicator_id JOIN malware m ON m.malware_id = e.malware_id WHERE i.indicator_id % 10 = 0) x) y) z""")
+  (SELECT i.indicator_id, m.malware_id, {_sha("'indicator:' || lower(indicator_type || '|' || value)")} AS a, {_sha("'malware:' || lower(m.name)")} AS b FROM indicates e JOIN indicator i ON e.indicator_id = i.indicator_id JOIN malware m ON m.malware_id = e.malware_id ) x) y) z""")
 def relation_ids(t):
-    rows = t.indicates.where("indicator_id % 10 = 0").join(t.indicator, "indicator_id").join(t.malware.select("malware_id", "name"), "malware_id")
+    rows = t.indicates.join(t.indicator, "indicator_id").join(t.malware.select("malware_id", "name"), "malware_id")
     src, trg = X.stix_id("Indicator", [F.col("indicator_type"), F.col("value")]), X.stix_id("Malware", [F.col("name")])
     return rows.select("indicator_id", "malware_id", X.relation_id(F.lit("INDICATES"), src, trg).alias("id"))
-
-
-@query("X1_bundles")
-def export_bundles(t):
-    """One bundle for each malware: its object, its indicators' and the relations between them."""
-    zones = F.array(F.lit("global"))
-    m = t.malware.select("malware_id", X.stix_id("Malware", [F.col("name")]).alias("mid"), X.named_object("Malware", F.col("name")).alias("mobj"))
-    i = t.indicates.join(t.indicator, "indicator_id").join(t.live.select("indicator_id", "first_seen", "confidence"), "indicator_id")
-    iid = X.stix_id("Indicator", [F.col("indicator_type"), F.col("value")])
-    rows = i.join(m, "malware_id").select("malware_id", "mid", iid.alias("iid"), X.indicator_object(F.col("indicator_type"), F.col("value"), F.col("first_seen"), F.col("confidence"), zones).alias("iobj"))
-    parts = m.select("malware_id", F.col("mid").alias("id"), F.col("mobj").alias("object")).unionByName(rows.select("malware_id", F.col("iid").alias("id"), F.col("iobj").alias("object")))
-    rel = rows.select("malware_id", X.relation_id(F.lit("INDICATES"), F.col("iid"), F.col("mid")).alias("id"), X.relation_object(F.lit("INDICATES"), F.col("iid"), F.col("mid")).alias("object"))
-    return X.bundles(parts.unionByName(rel), "malware_id")

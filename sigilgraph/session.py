@@ -46,10 +46,12 @@ def make_importable(spark: SparkSession) -> None:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the cluster, or a temporary
-    folder of this machine where the setting is absent (tests on one machine)."""
+    folder of this machine where the setting is absent and all runs on one machine. Raises RuntimeError if a cluster names none."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = f"file://{tempfile.gettempdir()}/sigilgraph-work"
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(own)
