@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from . import text as T
 
 FEATURES = 1 << 18
+#: Tokens whose marginals are computed at once, and training texts that are read at once.
+CHUNK, PART = 100_000, 128
 #: Word beginnings of so many bytes are features beside the word itself.
 STARTS = (4, 5, 6, 7)
 #: Labelled texts of each class that the queries learn from.
@@ -130,6 +132,21 @@ def _emission(model: Field, ids: np.ndarray) -> np.ndarray:
     return model.weights[ids].sum(1, dtype=np.float64)
 
 
+def _chunks(ids: np.ndarray, first: np.ndarray, model: Field, pairs: bool = False):
+    """Yields (first token, token after, marginals, pair counts) of whole texts with some CHUNK tokens, so that memory does not grow with the texts."""
+    i = 0
+    while i < len(first) - 1:
+        j = max(i + 1, int(np.searchsorted(first, first[i] + CHUNK, "right")) - 1)
+        a, z = int(first[i]), int(first[j])
+        if z > a:
+            yield a, z, *forward_backward(_emission(model, ids[a:z]), _begins(first[i:j] - a, z - a), model, pairs)
+        i = j
+
+
+def _marginals(ids: np.ndarray, first: np.ndarray, model: Field) -> np.ndarray:
+    return np.concatenate([np.zeros(0), *[p for _, _, p, _ in _chunks(ids, first, model)]])
+
+
 def _learn(ids: np.ndarray, first: np.ndarray, toxic: np.ndarray, rounds: int, min_docs: int, min_share: float, odds: float, deviations: float) -> Field:
     """Weights from the tokens of labelled texts; the curve is left open."""
     model, n1, n0 = Field(), toxic.sum(), (~toxic).sum()
@@ -144,19 +161,20 @@ def _learn(ids: np.ndarray, first: np.ndarray, toxic: np.ndarray, rounds: int, m
     np.add.at(seen, (yi[:-1][~begins[1:]], yi[1:][~begins[1:]]), 1)
     seen_start = np.bincount(yi[begins], minlength=2)
     w, gw, gt, gs = np.zeros(FEATURES), np.full(FEATURES, 1e-8), np.full((2, 2), 1e-8), np.full(2, 1e-8)
-    flat = ids.ravel()
     for _ in range(rounds):  # AdaGrad on the whole likelihood, with a weak pull to zero
         model.weights = w.astype(np.float32)
-        p, xi = forward_backward(_emission(model, ids), begins, model, pairs=True)
-        g = np.bincount(flat, np.repeat(y - p, ids.shape[1]), FEATURES) - 0.05 * w
+        g, g_pairs, g_start = -0.05 * w, seen.copy(), seen_start.astype(np.float64)
+        for i, j, p, xi in _chunks(ids, first, model, pairs=True):
+            g += np.bincount(ids[i:j].ravel(), np.repeat(y[i:j] - p, ids.shape[1]), FEATURES)
+            g_pairs -= xi
+            at = p[begins[i:j]]
+            g_start -= np.array([(1 - at).sum(), at.sum()])
         gw += g * g
         w += 0.8 * g / np.sqrt(gw)
-        g = seen - xi
-        gt += g * g
-        model.transitions = model.transitions + 0.5 * g / np.sqrt(gt)
-        g = seen_start - np.array([(1 - p[begins]).sum(), p[begins].sum()])
-        gs += g * g
-        model.start = model.start + 0.5 * g / np.sqrt(gs)
+        gt += g_pairs * g_pairs
+        model.transitions = model.transitions + 0.5 * g_pairs / np.sqrt(gt)
+        gs += g_start * g_start
+        model.start = model.start + 0.5 * g_start / np.sqrt(gs)
     model.weights = w.astype(np.float32)
     return model
 
@@ -164,12 +182,13 @@ def _learn(ids: np.ndarray, first: np.ndarray, toxic: np.ndarray, rounds: int, m
 def _own_texts(texts: pa.Array) -> np.ndarray:
     """Which texts are not copies of an earlier one, as far as any of three min-hashes of their three-word shingles tells:
     a word that only one widely copied text has is no evidence."""
-    h, _, _, first = T.word_hashes(*T.buffers(texts), letters_only=True)
     seen, keep = set(), np.zeros(len(texts), bool)
-    for d, u in enumerate(T.shingles(h, first, 3)):
-        marks = {(k, int(T.fmix(u ^ T._SLOT[k]).min())) for k in range(3)} if len(u) else {(-1, 0)}
-        keep[d] = not marks & seen
-        seen |= marks
+    for at in range(0, len(texts), PART):
+        h, _, _, first = T.word_hashes(*T.buffers(texts.slice(at, PART)), letters_only=True)
+        for d, u in enumerate(T.shingles(h, first, 3)):
+            marks = {(k, int(T.fmix(u ^ T._SLOT[k]).min())) for k in range(3)} if len(u) else {(-1, 0)}
+            keep[at + d] = not marks & seen
+            seen |= marks
     return keep
 
 
@@ -185,7 +204,10 @@ def fit(texts: pa.Array, toxic: np.ndarray, *, rounds: int = 20, min_docs: int =
     own = _own_texts(texts)
     if toxic[own].sum() >= min_docs and (~toxic[own]).sum() >= min_docs:
         texts, toxic = texts.filter(pa.array(own)), toxic[own]
-    ids, _, _, first = tokens(texts)
+    parts = [tokens(texts.slice(at, PART)) for at in range(0, len(texts), PART)]
+    ids = np.concatenate([p[0] for p in parts])
+    first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p[3]) for p in parts]))])
+    del parts
     if not len(ids):
         return Field(base=base)
     how = (rounds, min_docs, min_share, odds, deviations)
@@ -199,7 +221,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, *, rounds: int = 20, min_docs: int =
         part, begin = at(own)
         model = _learn(part, begin, toxic[own], *how) if len(part) else Field()
         part, begin = at(~own)
-        x[~own] = _sums(forward_backward(_emission(model, part), _begins(begin, len(part)), model)[0], begin)
+        x[~own] = _sums(_marginals(part, begin, model), begin)
     model, c = _learn(ids, first, toxic, *how), np.zeros(3)
     for _ in range(30):  # Newton steps for the curve
         q = 1 / (1 + np.exp(-np.clip(x @ c, -30, 30)))
@@ -234,7 +256,7 @@ def score(docs: DataFrame, model: Field, span_probability: float = 0.5, with_spa
                     out = np.full(b.num_rows, model.base)
                     p = np.zeros(len(ids))
                 else:
-                    p, _ = forward_backward(_emission(model, ids), _begins(first, len(ids)), model)
+                    p = _marginals(ids, first, model)
                     out = 1 / (1 + np.exp(-np.clip(_sums(p, first) @ model.curve, -30, 30)))
                 spans = [[] for _ in range(b.num_rows)]
                 if with_spans:
@@ -261,7 +283,7 @@ def keep_clean(docs: DataFrame, model: Field, threshold: float) -> DataFrame:
                     keep = np.full(b.num_rows, model.base < threshold)
                 else:
                     ids, _, _, first = tokens(b.column(b.schema.get_field_index("text")))
-                    p, _ = forward_backward(_emission(model, ids), _begins(first, len(ids)), model)
+                    p = _marginals(ids, first, model)
                     keep = 1 / (1 + np.exp(-np.clip(_sums(p, first) @ model.curve, -30, 30))) < threshold
                 yield b.filter(pa.array(keep))
 
