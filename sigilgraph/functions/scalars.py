@@ -171,3 +171,18 @@ def cpe_text(cpe: Column) -> Column:
 def attack_vector(vector: Column) -> Column:
     letter = F.regexp_extract(vector, "AV:([A-Z])", 1)
     return F.coalesce(lookup({"N": "NETWORK", "A": "ADJACENT_NETWORK", "L": "LOCAL", "P": "PHYSICAL"}, letter), F.lit("UNKNOWN"))
+
+
+def request_days(days: Column) -> Column:
+    """How far back a feed may be asked: 1 to 7 days."""
+    return F.greatest(F.lit(1), F.least(F.lit(7), days))
+
+
+def month_cutoff(as_of: Column, months: Column) -> Column:
+    """The date ``months`` average Gregorian months ago, in whole days."""
+    return F.date_sub(as_of, F.floor(months * F.lit(30.437)).cast("int"))
+
+
+def event_size(*counts: Column) -> Column:
+    """An event's size from the first of several counts, as text, that is a whole number; 0 if none is."""
+    return F.coalesce(*[c.try_cast("int") for c in counts], F.lit(0))

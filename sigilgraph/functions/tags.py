@@ -19,7 +19,7 @@ CONFIDENCE = {"confidence:high": 0.8, "confidence:medium": 0.5, "confidence:low"
 
 
 def _after(tag: Column, prefix: str) -> Column:
-    return F.substring(tag, len(prefix) + 1, 1 << 20)
+    return F.substring(tag, len(prefix) + 1, 1 << 30)
 
 
 def source_of(tags: Column) -> Column:
@@ -90,6 +90,27 @@ def exploits_of(tags: Column) -> Column:
     return F.filter(told, lambda x: x.startswith("CVE-"))
 
 
+def galaxy_technique(tag: Column) -> Column:
+    """struct<id, name> of the technique in a galaxy tag ``...="Name - T1234"``; NULL if it names none."""
+    end = F.regexp_extract(tag, r'-\s*(T\d{4}(?:\.\d{3})?)\s*"?$', 1)
+    found = F.when(end != "", end).otherwise(F.regexp_extract(tag, r"(T\d{4}(?:\.\d{3})?)", 1))
+    name = F.regexp_replace(F.regexp_replace(F.substring_index(tag, "=", -1), '^"+|"+$', ""), r"\s*-\s*T\d{4}(?:\.\d{3})?\s*$", "")
+    return F.when((found != "") & F.contains(tag, F.lit("=")), F.struct(found.alias("id"), F.trim(name).alias("name")))
+
+
+def cve_in(text: Column) -> Column:
+    """The first CVE id in a text, in capitals; NULL without one."""
+    return F.nullif(F.upper(F.regexp_extract(text, r"(?i)CVE-\d{4}-\d{4,}", 0)), F.lit(""))
+
+
+def meta_list(comment: Column, prefix: str, key: str) -> Column:
+    """Strings of the JSON that stands behind ``prefix``, up to the end of its line: a list, or an object's list under ``key``; empty if
+    there is none or it is malformed."""
+    line = F.trim(F.regexp_extract(comment, prefix + r"[ \t]*([^\n]*)", 1))
+    listed = F.when(line.startswith("["), line).otherwise(F.get_json_object(line, "$." + key))
+    return F.coalesce(F.when(F.try_parse_json(line).isNotNull(), F.from_json(listed, "array<string>")), F.array().cast("array<string>"))
+
+
 def meta_json(comment: Column, prefix: str) -> Column:
     """The JSON behind a comment's prefix as text; NULL if there is none or it is malformed."""
     body = F.when(comment.startswith(prefix), _after(comment, prefix))

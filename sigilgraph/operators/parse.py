@@ -18,13 +18,15 @@ def explode_events(events: DataFrame) -> DataFrame:
 
 def parse_attributes(attrs: DataFrame) -> DataFrame:
     """Items of attributes (event_id, idx, attr_type, value, tags, event_tags, comment): kind, key, source, zones, confidence, severity,
-    score. Blank and oversized values are rejected."""
+    score, and what comments name: used techniques, tactic phases and a feed's own data as JSON. Blank and oversized values are rejected."""
     ok = attrs.where(S.accepted_value(F.col("value")))
     kind = F.when(F.col("attr_type") == "vulnerability", "vulnerability").when(F.col("attr_type") == "threat-actor", "actor").when(F.col("attr_type") == "malware-type", "malware")
     text = F.when(F.col("attr_type") == "text", F.when(F.col("value").rlike(r"^T\d{4}"), "technique").when(F.col("value").rlike(r"^TA\d{4}"), "tactic").when(F.col("value").rlike(r"^S\d{4}"), "tool"))
     meta = G.meta_json(F.col("comment"), "NVD_META:")
+    feed = F.coalesce(G.meta_json(F.col("comment"), "OTX_META:"), G.meta_json(F.col("comment"), "TF_META:"))
+    uses, phases = G.meta_list(F.col("comment"), "MITRE_USES_TECHNIQUES:", "t"), G.meta_list(F.col("comment"), "MITRE_TACTIC_PHASES:", "p")
     own, event = G.zones_of(F.col("tags")), G.zones_of(F.col("event_tags"))
-    rows = ok.select("event_id", "idx", F.coalesce(kind, text, F.lit("indicator")).alias("kind"), "attr_type", "value", G.source_of(F.col("tags")).alias("source"), G.resolve_zones(own, event).alias("zones"), G.confidence_of(F.col("tags")).alias("confidence"), G.severity_of(F.col("tags")).alias("severity"), F.coalesce(G.meta_score(meta), G.tag_score(F.col("tags"))).alias("score"))
+    rows = ok.select("event_id", "idx", F.coalesce(kind, text, F.lit("indicator")).alias("kind"), "attr_type", "value", G.source_of(F.col("tags")).alias("source"), G.resolve_zones(own, event).alias("zones"), G.confidence_of(F.col("tags")).alias("confidence"), G.severity_of(F.col("tags")).alias("severity"), F.coalesce(G.meta_score(meta), G.tag_score(F.col("tags"))).alias("score"), uses.alias("uses_techniques"), phases.alias("tactic_phases"), feed.alias("feed_meta"))
     itype = S.lookup(S.ATTRIBUTE_TYPES, F.col("attr_type"), "unknown")
     key = F.when(F.col("kind") == "vulnerability", F.concat(F.lit("cve:"), F.upper(F.trim("value")))).when(F.col("kind") == "indicator", F.concat(itype, F.lit(":"), F.trim("value"))).otherwise(F.concat("kind", F.lit(":"), F.trim("value")))
     return rows.withColumn("key", key)

@@ -55,6 +55,28 @@ def collapse_twins(rows: DataFrame) -> DataFrame:
     return out.orderBy(F.coalesce("score", F.lit(0.0)).desc(), "cve_id")
 
 
+def answer(question: str, nodes: DataFrame, zone: str | None = None) -> DataFrame:
+    """Nodes (label, key, name, type, severity, score, zones array, managed) that a question in plain words asks for: its words choose
+    labels, severity and type; a question with none of them is about all labels."""
+    q = question.lower()
+    has = lambda *words: any(w in q for w in words)
+    labels, more = ["Indicator", "Vulnerability", "CVE", "Malware", "ThreatActor", "Technique", "Campaign"], F.lit(True)
+    if has("cve", "vulnerability", "cvss"):
+        labels = ["Vulnerability", "CVE"]
+        if has("high", "critical"):
+            more = F.col("severity").isin("HIGH", "CRITICAL") | (F.col("score") >= 7)
+        elif has("medium", "low"):
+            more = F.col("severity") == ("MEDIUM" if has("medium") else "LOW")
+    elif has("actor", "apt", "threat group"):
+        labels = ["ThreatActor"]
+    elif has("indicator", "ip", "domain", "hash", "malicious"):
+        labels = ["Indicator"]
+        kind = next((k for w, k in (("ip", "ipv4"), ("domain", "domain"), ("hash", "hash")) if w in q), None)
+        more = F.col("type") == kind if kind else more
+    rows = nodes.where(F.col("label").isin(labels) & more & F.coalesce("managed", F.lit(False)))
+    return rows.where(F.array_contains("zones", zone)) if zone else rows
+
+
 def effective_score(node: Column, v31: Column, v30: Column, v2: Column, v40: Column) -> Column:
     """The first score that is there, in this order; 0.0 is a score."""
     return F.coalesce(node, v31, v30, v2, v40)

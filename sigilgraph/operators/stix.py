@@ -79,3 +79,11 @@ def read_bundle(objects: DataFrame) -> tuple[DataFrame, DataFrame]:
     end = lambda p: entities.select(F.col("stix_id").alias(p), F.col("type").alias(p + "_type"), F.coalesce("name", "value").alias(p + "_name"))
     relations = base.where(F.col("type") == "relationship").join(end("s"), "s").join(end("t"), "t").select(F.col("rel").alias("type"), "s_type", "s_name", "t_type", "t_name")
     return entities, relations
+
+
+def load_bundle(objects: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes and relations of a bundle as they are stored: each entity once by type and name, with the confidence of its type."""
+    entities, relations = read_bundle(objects)
+    confidence = F.when(F.col("type") == "x-mitre-tactic", 1.0).when(F.col("type") == "attack-pattern", 0.8).otherwise(0.7)
+    nodes = entities.select("type", F.coalesce("name", "value").alias("name"), confidence.alias("confidence"))
+    return nodes.dropna(subset=["name"]).distinct(), relations.distinct()

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..functions import tags as G
+from ..functions.zones import detect_zones
 from ..operators.merge import first_of
 
 
@@ -49,19 +51,44 @@ def windows(start, end, days: int = 120) -> list[tuple]:
     return out
 
 
+def windows_table(df: DataFrame, start: str, end: str, days: int = 120) -> DataFrame:
+    """Each row once for every date range (lo, hi) of at most ``days`` that tiles its [start, end]; ``window`` counts from the newest.
+    Rows whose start lies behind their end, or is NULL, have none."""
+    count = F.floor(F.datediff(end, start) / F.lit(days)).cast("int")
+    rows = df.where(F.col(start) <= F.col(end)).withColumn("window", F.explode(F.sequence(F.lit(0), count)))
+    hi = F.date_sub(end, F.col("window") * days)
+    return rows.withColumns({"lo": F.greatest(F.col(start), F.date_sub(hi, days - 1)), "hi": hi})
+
+
 def known_exploited(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.schema("cveID string, dateAdded string, knownRansomwareCampaignUse string").json(path)
     severity, score = S.ransomware_severity(F.col("knownRansomwareCampaignUse"))
     return _items(raw.select(F.upper("cveID").alias("value"), S.iso_time(F.col("dateAdded")).alias("seen"), severity.alias("severity"), score.alias("score")), "cisa_kev", "vulnerability")
 
 
-def attack_bundle(spark: SparkSession, path: str) -> DataFrame:
-    """Technique ids that each actor, malware and tool of a knowledge-base bundle (JSON lines of objects) uses."""
+#: Knowledge-base object types and the kinds of items they are.
+ATTACK_KINDS = {"intrusion-set": "actor", "malware": "malware", "tool": "tool", "attack-pattern": "technique"}
+
+
+def attack_relations(spark: SparkSession, path: str) -> DataFrame:
+    """Resolved relations of a knowledge-base bundle (JSON lines of objects): type, then type, name and id of source and target. An actor,
+    malware or tool ``uses`` a technique, a technique is ``subtechnique_of`` another, malware is ``attributed_to`` an actor; other
+    relations, and those with an end that the bundle lacks, are dropped."""
     raw = spark.read.schema("id string, type string, name string, mitre_id string, relationship_type string, source_ref string, target_ref string").json(path)
-    uses = raw.where("type = 'relationship' AND relationship_type = 'uses'")
-    src = raw.where(F.col("type").isin("intrusion-set", "malware", "tool")).select(F.col("id").alias("source_ref"), "name", F.col("type").alias("kind"))
-    trg = raw.where("type = 'attack-pattern'").select(F.col("id").alias("target_ref"), "mitre_id")
-    return uses.select("source_ref", "target_ref").join(src, "source_ref").join(trg, "target_ref").groupBy("kind", "name").agg(F.array_sort(F.collect_set("mitre_id")).alias("uses_techniques"))
+    things = raw.select("id", S.lookup(ATTACK_KINDS, F.col("type")).alias("kind"), "name", "mitre_id").where(F.col("kind").isNotNull())
+    end = lambda p: things.select(F.col("id").alias(f"{p}_ref"), F.col("kind").alias(f"{p}_type"), F.col("name").alias(f"{p}_name"), F.col("mitre_id").alias(f"{p}_id"))
+    rel = raw.where("type = 'relationship'").select(F.replace("relationship_type", F.lit("-"), F.lit("_")).alias("type"), "source_ref", "target_ref")
+    kind, src, trg = F.col("type"), F.col("source_type"), F.col("target_type")
+    allowed = (kind == "uses") & src.isin("actor", "malware", "tool") & (trg == "technique")
+    allowed |= (kind == "subtechnique_of") & (src == "technique") & (trg == "technique")
+    allowed |= (kind == "attributed_to") & (src == "malware") & (trg == "actor")
+    return rel.join(end("source"), "source_ref").join(end("target"), "target_ref").where(allowed).drop("source_ref", "target_ref")
+
+
+def attack_bundle(spark: SparkSession, path: str) -> DataFrame:
+    """Technique ids that each actor, malware and tool of a knowledge-base bundle uses."""
+    uses = attack_relations(spark, path).where("type = 'uses' AND target_id <> ''")
+    return uses.groupBy(F.col("source_type").alias("kind"), F.col("source_name").alias("name")).agg(F.array_sort(F.collect_set("target_id")).alias("uses_techniques"))
 
 
 def ioc_feed(spark: SparkSession, path: str) -> DataFrame:
@@ -72,9 +99,15 @@ def ioc_feed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def url_feed(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with ``#`` comments; the first row of a URL wins, by its own id."""
-    raw = spark.read.schema("id long, dateadded string, url string, status string, threat string, tags string").option("comment", "#").csv(path)
-    return _items(first_of(raw.withColumnRenamed("url", "value"), ["value"], ["id"]).withColumn("indicator_type", F.lit("url")), "urlhaus")
+    """CSV with ``#`` comments; the first row of a URL wins, by its own id. Zones are those of the threat, or of the tags where the
+    threat names none."""
+    raw = spark.read.schema("id long, dateadded string, url string, status string, last_online string, threat string, tags string, link string, reporter string").option("comment", "#").csv(path)
+    named = raw.withColumn("url", F.trim("url")).where(F.col("url").startswith("http")).withColumnRenamed("url", "value")
+    rows = detect_zones(detect_zones(first_of(named, ["value"], ["id"]), "threat", out="__by_threat"), "tags", out="__by_tags")
+    told = F.col("__by_threat") != F.array(F.lit("global"))
+    times = {"seen": S.iso_time(F.col("dateadded")), "last_seen": S.iso_time(F.col("last_online"))}
+    out = rows.withColumns({"zones": F.when(told, F.col("__by_threat")).otherwise(F.col("__by_tags")), "indicator_type": F.lit("url"), "confidence": F.lit(0.6), **times})
+    return _items(out.drop("__by_threat", "__by_tags"), "urlhaus")
 
 
 def hash_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -98,6 +131,27 @@ def ip_reputation(spark: SparkSession, path: str) -> DataFrame:
     return _items(raw.select(F.when(F.contains("ipAddress", F.lit(".")), "ipv4").otherwise("ipv6").alias("indicator_type"), F.col("ipAddress").alias("value"), (F.col("abuseConfidenceScore") / F.lit(100.0)).alias("confidence"), cats.alias("abuse_categories")), "abuseipdb")
 
 
+def verdicts(spark: SparkSession, path: str) -> DataFrame:
+    """Reputation of files and URLs (JSON lines): confidence from the engines' counts, 0.5 without any."""
+    raw = spark.read.schema("value string, kind string, stats struct<malicious:int, suspicious:int, harmless:int, undetected:int>").json(path)
+    n = {k: F.coalesce(F.col(f"stats.{k}"), F.lit(0)) for k in ("malicious", "suspicious", "harmless", "undetected")}
+    confidence = S.verdict_confidence(n["malicious"], n["suspicious"], sum(n.values(), F.lit(0)))
+    return _items(raw.select(F.lower("kind").alias("indicator_type"), "value", n["malicious"].alias("malicious"), confidence.alias("confidence")), "virustotal")
+
+
+def look_up(asked: DataFrame, reputation: DataFrame) -> DataFrame:
+    """Items (indicator_type, value) with what a reputation table (the same keys and more) says of them: its best confidence decides
+    between repeated rows; items it lacks stay, with NULL."""
+    known = reputation.groupBy("indicator_type", "value").agg(F.max("confidence").alias("confidence"), F.max("malicious").alias("malicious"))
+    return asked.join(known, ["indicator_type", "value"], "left")
+
+
+def galaxy_items(attrs: DataFrame) -> DataFrame:
+    """Exploded attributes with the techniques that their galaxy tags name (array of id, name) and the first CVE id in their value."""
+    told = F.transform("tags", G.galaxy_technique)
+    return attrs.withColumns({"techniques": F.filter(told, lambda x: x.isNotNull()), "cve_id": G.cve_in(F.col("value"))})
+
+
 def staging_events(spark: SparkSession, path: str) -> DataFrame:
     """Nested staging events (JSON lines)."""
     return spark.read.schema("id string, info string, date date, ts timestamp, tags array<struct<name:string>>, attributes array<struct<type:string, value:string, comment:string, tags:array<struct<name:string>>>>").json(path)
