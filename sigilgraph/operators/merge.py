@@ -58,6 +58,37 @@ def merge_edges(claims: DataFrame, keys: list[str], order: str, existing: DataFr
     return j.select(*keys, F.when(frozen, F.col("__c")).otherwise(F.coalesce("confidence", "__c")).alias("confidence"), F.coalesce("match_type", "__m").alias("match_type"), both("sources", "__s").alias("sources"), both("event_ids", "__e").alias("event_ids"), "calibrated_at")
 
 
+# Confidence of relations that are written one at a time, by source kind, type and target kind.
+SINGLE_CONFIDENCE = {
+    ("actor", "EMPLOYS_TECHNIQUE", "technique"): 0.7, ("malware", "ATTRIBUTED_TO", "actor"): 0.7,
+    ("indicator", "INDICATES", "vulnerability"): 0.5, ("indicator", "INDICATES", "malware"): 0.6,
+    ("indicator", "TARGETS", "sector"): 0.5, ("vulnerability", "AFFECTS", "sector"): 0.5,
+}
+
+
+def single_edges(claims: DataFrame, order: str) -> DataFrame:
+    """Edges of claims (src_kind, type, trg_kind, src, trg, source, event_ids and ``order``) with the confidence of their kind. Claims of
+    other kinds and with a blank end are dropped."""
+    kind = lambda s, t, g: F.concat_ws("/", s, t, g)
+    known = F.create_map(*[F.lit(x) for k, v in SINGLE_CONFIDENCE.items() for x in ("/".join(k), v)])
+    rows = claims.withColumns({"confidence": known[kind("src_kind", "type", "trg_kind")], "match_type": F.lit("single")})
+    named = (F.trim("src") != "") & (F.trim("trg") != "")
+    return merge_edges(rows.where(F.col("confidence").isNotNull() & named), ["src_kind", "type", "trg_kind", "src", "trg"], order)
+
+
+def fill_missing(nodes: DataFrame, told: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Nodes whose NULL columns take the earliest value told for their key; values that are there stay."""
+    new = told.groupBy(key).agg(*[F.min(c).alias("__" + c) for c in columns])
+    return nodes.join(new, key, "left").withColumns({c: F.coalesce(c, "__" + c) for c in columns}).drop(*["__" + c for c in columns])
+
+
+def effective(changed: int, asked: int) -> int:
+    """The number of rows a write changed; a write that was asked for rows and changed none is an error."""
+    if asked > 0 and changed == 0:
+        raise ValueError(f"a write of {asked} rows changed nothing")
+    return changed
+
+
 def first_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key by ``order``; keys that are NULL are dropped. Aggregates whole rows, so no window sorts a hot key."""
     rest = [c for c in df.columns if c not in keys]

@@ -111,3 +111,11 @@ def audit(nodes: DataFrame, label: str, node_id: str, managed: str, events: str)
     """For each label: nodes, those without an id, those not managed (NULL or false), and those without events to backfill from."""
     unmanaged = ~F.coalesce(F.col(managed), F.lit(False))
     return nodes.groupBy(label).agg(F.count("*").alias("nodes"), F.count_if(F.col(node_id).isNull()).alias("without_id"), F.count_if(unmanaged).alias("unmanaged"), F.count_if(F.col(events) == 0).alias("without_events"))
+
+
+def samples(rows: DataFrame, group: str, value: str, most: int = 5) -> DataFrame:
+    """(group, total, sample): count of rows and the first ``most`` distinct values of each group, joined by ``|``."""
+    from .link import capped
+
+    first = capped(rows.select(group, value).distinct(), [group], [value], most).groupBy(group).agg(F.array_join(F.array_sort(F.collect_list(value)), "|").alias("sample"))
+    return rows.groupBy(group).agg(F.count("*").alias("total")).join(first, group)

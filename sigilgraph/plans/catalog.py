@@ -50,7 +50,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from . import enriching, exports, identity, linking, merging, more, readers, serving, steps, texts  # noqa: F401
+    from . import assets, enriching, exports, identity, linking, merging, more, readers, serving, steps, texts  # noqa: F401
 
 
 def queries() -> dict[str, Callable]:

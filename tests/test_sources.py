@@ -109,3 +109,28 @@ def test_or_join_skips_placeholders(frame):
     a = frame([(9, "apt1", ["x", "unknown"])], "a int, name string, aliases array<string>")
     out = link.or_join(m, a, [(link.names_of(F.col("by")), link.names_of(F.col("name"))), (link.names_of(F.col("by")), link.names_of(F.col("aliases"), lists=True))], [F.col("m"), F.col("a")])
     assert [tuple(r) for r in out.collect()] == [(1, 9)]
+
+
+def test_an_empty_write_is_an_error():
+    import pytest
+
+    assert merge.effective(2, 3) == 2 and merge.effective(0, 0) == 0
+    with pytest.raises(ValueError):
+        merge.effective(0, 3)
+
+
+def test_comment_data(frame):
+    from sigilgraph.functions import tags
+
+    rows = frame([('MITRE_USES_TECHNIQUES:{"t": ["T1"]}\ntext',), ("MITRE_USES_TECHNIQUES:[broken",), ("",), (None,)], "c string")
+    assert [r[0] for r in rows.select(tags.meta_list(F.col("c"), "MITRE_USES_TECHNIQUES:", "t")).collect()] == [["T1"], [], [], []]
+    named = frame([('x="A - B - T1234.001"',), ("T1234",), ("none",), (None,)], "t string").select(tags.galaxy_technique(F.col("t")).alias("g")).collect()
+    assert [r["g"] and tuple(r["g"]) for r in named] == [("T1234.001", "A - B"), None, None, None]
+
+
+def test_attack_relations_drop_unknown_ends(spark, tmp_path):
+    things = [{"id": "m", "type": "malware", "name": "Bot"}, {"id": "a", "type": "intrusion-set", "name": "Bear"}, {"id": "t", "type": "attack-pattern", "name": "x", "mitre_id": "T1"}]
+    rel = lambda k, s, t: {"type": "relationship", "relationship_type": k, "source_ref": s, "target_ref": t}
+    path = lines(tmp_path, "r.json", [*things, rel("uses", "m", "t"), rel("attributed-to", "m", "a"), rel("attributed-to", "a", "m"), rel("subtechnique-of", "t", "t"), rel("uses", "m", "gone")])
+    got = sorted((r["type"], r["source_name"], r["target_name"]) for r in feeds.attack_relations(spark, path).collect())
+    assert got == [("attributed_to", "Bot", "Bear"), ("subtechnique_of", "x", "x"), ("uses", "Bot", "x")]
