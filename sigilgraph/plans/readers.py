@@ -247,7 +247,9 @@ def load_bundle(t):
         obj(t.indicates, "relationship", key("relationship", "indicator_id"), null, null, F.lit("indicates"), key("indicator", "indicator_id"), key("malware", "malware_id")),
         obj(t.actor, "relationship", key("relationship", "actor_id"), null, null, F.lit("uses"), key("intrusion-set", "actor_id"), F.lit("tool--none")),
     ]
-    nodes, relations = stix.load_bundle(reduce(DataFrame.unionByName, parts))
+    # The objects are written once: nodes and both ends of relations read them from there.
+    path = _text(t, reduce(DataFrame.unionByName, parts))
+    nodes, relations = stix.load_bundle(t.spark.read.text(path).withColumnRenamed("value", "object"))
     edges = relations.select(F.concat_ws(" ", "type", "s_name").alias("a"), c("t_name").alias("b"), F.lit(None).cast("double").alias("confidence"))
     return nodes.select(c("type").alias("a"), c("name").alias("b"), "confidence").unionByName(edges)
 
