@@ -109,6 +109,27 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import bpe
+    from .tokenize import tokenizer_path
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import fim
+
+    return fim.restore(fim.transform(table(spark, sf_dir, "documents")), with_text=False)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import spelling
+
+    words = spelling.misspelt(spelling.runs(table(spark, sf_dir, "documents"), 7))
+    return spelling.variants(spelling.counted(words, 7, 2))
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -120,6 +141,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,
     "op10_exact_topk": op10_exact_topk,
+    "op11_bpe": op11_bpe,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": pipeline,
 }
 
@@ -145,4 +169,36 @@ s AS (SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGIN
   FROM v q JOIN v x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_fill_in_middle": r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+h AS (SELECT *, length(text) AS n, ('0x' || substr(h, 1, 8))::UBIGINT AS h1, ('0x' || substr(h, 9, 8))::UBIGINT AS h2,
+        ('0x' || substr(h, 17, 8))::UBIGINT AS h3, ('0x' || substr(h, 25, 8))::UBIGINT AS h4 FROM t),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1))::BIGINT AS a, greatest(h1 % (n + 1), h2 % (n + 1))::BIGINT AS z,
+        CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+             WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+o AS (SELECT *, CASE form WHEN 'plain' THEN text
+        WHEN 'psm' THEN '<P>' || substr(text, 1, a) || '<S>' || substr(text, z + 1) || '<M>' || substr(text, a + 1, z - a)
+        ELSE '<S>' || substr(text, z + 1) || '<P>' || substr(text, 1, a) || '<M>' || substr(text, a + 1, z - a) END AS output FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN z - a END AS middle_chars,
+  sha256(output) AS output_sha256, sha256(text) AS restored_sha256 FROM o""",
+    # crc32 by its table of 256 remainders, which is made from the polynomial.
+    "op13_spelling_variants": r"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+r AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+k AS (SELECT doc_id, run, count(*) AS times, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS hex FROM r GROUP BY doc_id, run),
+h AS (SELECT run, times, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(hex), 2), lambda i: ('0x' || hex[i + 1:i + 2])::BIGINT)),
+        lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) AS h FROM k, crc),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM h),
+words AS MATERIALIZED (SELECT word, sum(times)::BIGINT AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+d AS (SELECT DISTINCT word, substr(word, 1, i - 1) || substr(word, i + 1) AS key FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+e AS MATERIALIZED (SELECT word, word AS key FROM words UNION ALL SELECT * FROM d),
+near AS MATERIALIZED (SELECT DISTINCT a.word, b.word AS other FROM e a JOIN e b ON a.key = b.key AND a.word <> b.word
+  WHERE length(a.word) <> length(b.word)
+    OR len(list_filter(list_zip(regexp_extract_all(a.word, '.'), regexp_extract_all(b.word, '.')), lambda p: p[1] <> p[2])) = 1),
+best AS (SELECT near.word, count(*) AS n_near, arg_min(near.other, (-o.n, near.other)) AS other, max(o.n) AS other_n FROM near JOIN words o ON o.word = near.other GROUP BY near.word),
+f AS MATERIALIZED (SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root, 0 AS step FROM f UNION ALL SELECT chain.word, f.form, step + 1 FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NOT NULL)
+SELECT f.word, form, arg_max(chain.root, step) AS root, n, n_near, form_n FROM f JOIN chain USING (word) GROUP BY f.word, form, n, n_near, form_n""",
 }

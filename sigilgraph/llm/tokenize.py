@@ -47,6 +47,8 @@ def _kinds(lower: bool) -> np.ndarray:
     out = np.full(1 << 16, OTHER, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s"), (ODD, r"[\p{Cn}\p{Cs}\p{M}]" if lower else r"[\p{Cn}\p{Cs}]")):
         out[[m.start() for m in regex.finditer(pattern, all_)]] = kind
+    # Libraries know different versions of Unicode: what is new to this Python may be unassigned to the tokenizer.
+    out[[c for c in range(1 << 16) if unicodedata.category(chr(c)) == "Cn"]] = ODD
     out[0] = ODD
     out[0x1C:0x20] = ODD
     beyond = np.arange(1 << 16) >= 128
@@ -110,6 +112,10 @@ class Encoder:
         letters = self.letters
         return [t.id for t in self.model.tokenize("".join([letters[b] for b in piece]))]
 
+    def _whole(self, text: str) -> np.ndarray:
+        """Ids of a text that is not cut over its bytes."""
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
     def _starts(self, raw: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(kind of each byte, where segments begin, positions of odd bytes); a segment is a pre-token or, for the lower-case kind, white space."""
         kind = self.kinds[raw]
@@ -216,7 +222,7 @@ class Encoder:
         own = np.bincount(doc, size, many).astype(np.int64)
         total, whole = own.copy(), {}
         for d in np.flatnonzero(odd_texts).tolist():
-            whole[d] = np.array(self.tokenizer.encode(texts[d].as_py(), add_special_tokens=False).ids, np.uint32)
+            whole[d] = self._whole(texts[d].as_py())
             total[d] = len(whole[d])
         begin = np.concatenate([[0], np.cumsum(total + extra)])
         out = np.empty(int(begin[-1]), np.uint32)
