@@ -35,15 +35,19 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 def make_importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, as they may start in another folder
-    (a cluster gets it through ``--py-files`` or its image), and keep Arrow batches of whole texts small."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 2000:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2000)
+    (a cluster gets it through ``--py-files`` or its image)."""
     root, known = str(Path(__file__).resolve().parent.parent), spark.sparkContext.environment
     paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         known["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Keep the session's Arrow batches, of whole texts, to so many rows; only jobs whose Python workers read texts ask for it."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the cluster, or a temporary
     folder of this machine where the setting is absent and all runs on one machine. Raises RuntimeError if a cluster names none."""
