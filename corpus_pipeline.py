@@ -9,7 +9,12 @@ from sigilgraph.llm import decontaminate as leaks
 from sigilgraph.llm import line_dedup, ngram_join, packing, toxicity
 from sigilgraph.llm.queries import TOXIC_AT, table, train_rows
 from sigilgraph.llm.tokenize import tokenizer_path
-from sigilgraph.session import make_importable, materialize
+from sigilgraph.session import make_importable, materialize, small_batches
+
+
+def _workers(spark: SparkSession) -> None:
+    make_importable(spark)
+    small_batches(spark)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,13 +27,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat an earlier one (Jaccard 0.8 of words, five words at least)."""
-    make_importable(spark)
+    _workers(spark)
     return line_dedup.dedup_lines(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares 0.8 of its five-word shingles."""
-    make_importable(spark)
+    _workers(spark)
     return ngram_join.keep_one(docs)
 
 
@@ -39,7 +44,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 tokens, without the ids themselves."""
-    make_importable(spark)
+    _workers(spark)
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), with_ids=False)
 
 

@@ -1,6 +1,6 @@
 """Operator 7: line dedup by an exact set-similarity join.
 
-A line is the set of its words; lines with fewer than ``min_tokens`` distinct words are left alone. A line is removed if
+A line is the set of its words; lines without words, and with fewer than ``min_tokens`` different ones, are left alone. A line is removed if
 an earlier line of the corpus (by doc_id, then place in the document) has a Jaccard similarity of ``percent`` / 100 or
 more with it, whether or not that one is removed as well, so the result does not depend on any order of work.
 """
@@ -97,7 +97,7 @@ def line_sets(docs: DataFrame, min_tokens: int, bits) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node long, hashes binary")
 
 
-def removed_lines(docs: DataFrame, *, percent: int = 80, min_tokens: int = 5, longer: int = setjoin.LONG, cell: int = setjoin.CELL) -> DataFrame:
+def removed_lines(docs: DataFrame, *, percent: int = 80, min_tokens: int = 1, longer: int = setjoin.LONG, cell: int = setjoin.CELL) -> DataFrame:
     """doc_id, rid, lines: numbers (from 0) of each document's removed lines, for documents that lose some. A null
     doc_id is the least long and comes first; null, empty and one-line texts are documents like others; rows equal in
     doc_id and text count once."""

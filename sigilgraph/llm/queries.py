@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import make_importable, scratch_path
+from ..session import make_importable, scratch_path, small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     make_importable(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -19,7 +19,7 @@ from . import rarity
 from . import text as T
 
 #: Shortest runs with and without a digit, and shortest assigned values.
-MIN_LENGTH, MIN_LETTERS, MIN_VALUE = 16, 20, 6
+MIN_LENGTH, MIN_LETTERS, MIN_VALUE = 16, 20, 1
 #: A word of the dictionary has been seen about so often (code of the rarity table: 2 + 4 log2(8)).
 _KNOWN = 14
 NEIGHBOURS = 16
@@ -44,14 +44,16 @@ def _bucket(word: bytes) -> int:
 
 
 def transitions(docs: DataFrame) -> np.ndarray:
-    """log2 of the chance of each byte (columns) after another (rows) in all texts; 256 by 256, whatever the input."""
+    """log2 of the chance of each byte (columns) after another (rows) inside all texts; 256 by 256, whatever the input."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for whole in batches:
             for b in T.slices(whole, "text"):
-                raw, _ = T.buffers(b.column("text"))
-                total += np.bincount(raw[:-1].astype(np.uint16) << 8 | raw[1:], minlength=1 << 16)
+                raw, off = T.buffers(b.column("text"))
+                inside = np.ones(max(len(raw) - 1, 0), bool)
+                inside[off[(off > 0) & (off < len(raw))] - 1] = False  # the last byte of a text has none after it
+                total += np.bincount((raw[:-1].astype(np.uint16) << 8 | raw[1:])[inside], minlength=1 << 16)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["pair", "n"])
 

@@ -201,6 +201,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]):
         yield from parts(joined())
 
 
+def _once(ids, node, *columns) -> list[np.ndarray]:
+    """Rows of a block with each node once in a list: every task that meets a set posts it."""
+    o = np.lexsort((node, ids))
+    again = np.zeros(len(o), bool)
+    again[o[1:]] = (ids[o][1:] == ids[o][:-1]) & (node[o][1:] == node[o][:-1])
+    return [c[~again] for c in (ids, node, *columns)]
+
+
 def _first(i: np.ndarray, j: np.ndarray, order: np.ndarray, few: int) -> np.ndarray:
     """Which pairs are among the first ``few`` of their j, by the order of i."""
     o = np.lexsort((order[i], j))
@@ -229,7 +237,8 @@ def candidate_pairs(posts: DataFrame, percent: int, occurrences: int = 1, longer
         return pa.RecordBatch.from_arrays([pa.array(cols[c], kinds.get(c, pa.int64())) if c in cols else pa.nulls(n, kinds.get(c, pa.int64())) for c in out_names], names=out_names)
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, node, size, b0, b1, home in _blocks(batches, names):
+        for block in _blocks(batches, names):
+            ids, node, size, b0, b1, home = _once(*block)
             n, pos = size >> 32, size & 0xFFFFFFFF
             i, j = _pairs(ids, node, n, pos, (b0, b1), percent, slack)
             list_of = np.concatenate([[0], np.cumsum(ids[1:] != ids[:-1])])

@@ -12,9 +12,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import text as T
 
 FEATURES = 1 << 18
@@ -24,6 +25,8 @@ CHUNK, PART = 100_000, 128
 STARTS = (4, 5, 6, 7)
 #: Labelled texts of each class that the queries learn from.
 SAMPLE = 2000
+#: Bytes of the longest text that is learned from, and of all of them; half of these for each class.
+LONGEST, MOST_BYTES = 1 << 18, 1 << 26
 _SCORE = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())])))])
 
 
@@ -231,13 +234,18 @@ def fit(texts: pa.Array, toxic: np.ndarray, *, rounds: int = 20, min_docs: int =
     return model
 
 
-def training_texts(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[pa.Array, np.ndarray]:
-    """At most ``sample`` labelled texts of each class, those of least hash. A document with several labels
-    counts as toxic if one says so; null labels and ids are left out."""
+def training_texts(docs: DataFrame, labels: DataFrame, sample: int, longest: int = LONGEST, most_bytes: int = MOST_BYTES) -> tuple[pa.Array, np.ndarray]:
+    """At most ``sample`` labelled texts of each class, those of least hash, as long as they take no more than half of ``most_bytes``; texts
+    of more than ``longest`` bytes are not learned from. A document with several labels counts as toxic if one says so; null labels and
+    ids are left out."""
     told = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).alias("__toxic"))
     pick = lambda x: told.where(F.col("__toxic") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     picked = F.broadcast(pick(True).unionByName(pick(False)))  # at most 2 * sample rows
-    rows = docs.select("doc_id", "text").join(picked, "doc_id").dropDuplicates(["doc_id"]).select("text", "__toxic").toArrow()
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    rows = docs.select("doc_id", "text").withColumn("__size", size).where(F.col("__size") <= longest).join(picked, "doc_id").dropDuplicates(["doc_id"])
+    rows = materialize(rows, "toxicity-sample")
+    so_far = F.sum("__size").over(Window.partitionBy("__toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))  # at most ``sample`` rows in a class
+    rows = rows.withColumn("__so_far", so_far).where(F.col("__so_far") <= most_bytes // 2).select("text", "__toxic").toArrow()
     column = rows.column("text").combine_chunks()
     column = column if isinstance(column, pa.Array) else column.chunk(0)
     return column.cast(pa.large_string()), np.asarray(rows.column("__toxic").to_pylist(), bool)

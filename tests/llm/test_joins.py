@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from sigilgraph.llm import decontaminate, line_dedup, ngram_join
@@ -129,7 +130,7 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 7: 1, 20: 1, 8: 8, 9: 8}
 
 
-def brute_lines(rows, percent=80, least=5):
+def brute_lines(rows, percent=80, least=1):
     lines = []
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         for n, line in enumerate((t or "").split("\n")):
@@ -147,7 +148,7 @@ def brute_lines(rows, percent=80, least=5):
 def test_line_dedup_equals_brute_force(spark, seed):
     r = random.Random(seed)
     rows = [(n, None if t is None else t.replace(" w1", "\nw1")) for n, (i, t) in enumerate(noisy_rows(seed)) if i != 905]
-    rows += [(700, "w1 w2 w3 w4 w5\nw5 w4 w3 w2 w1 w1\nx\nx"), (None, "w1 w2 w3 w4 w5")]
+    rows += [(700, "w1 w2 w3 w4 w5\nw5 w4 w3 w2 w1 w1\nx\nx"), (None, "w1 w2 w3 w4 w5"), (701, "a b c d\na b c d e\nb\n\n \nB b"), (702, "a b c d e\na b c d\na b c")]
     r.shuffle(rows)
     docs = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, line int")
     got = {x["doc_id"]: x["removed"] for x in line_dedup.counts(docs).collect() if x["n_removed"]}
@@ -171,6 +172,54 @@ def test_line_dedup_on_documents(spark):
     assert got == brute_lines([(x["doc_id"], x["text"]) for x in docs.collect()])
 
 
+def test_a_text_in_many_tasks_is_posted_once(spark):
+    """Postings of equal sets from many tasks count once in each list, and pair with nothing twice."""
+    from sigilgraph.llm import rarity, setjoin
+
+    rows = [(k, "one two three four five six seven eight") for k in range(256)] + [(900 + k, f"one two three four five six seven n{k}") for k in range(3)] + [(990, "nine ten")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(64)
+    posts = setjoin.postings(ngram_join.units(docs, 1, 60, rarity.broadcast_table(docs)))
+    assert posts.count() > 2 * posts.distinct().count()
+    found = setjoin.candidate_pairs(posts, 60, 2).where("c IS NOT NULL")
+    lists = posts.select("node", (posts["k"].bitwiseAND(~65535)).alias("list")).distinct().groupBy("list").count()
+    assert found.count() <= lists.selectExpr("sum(count * (count - 1) / 2)").first()[0]
+    got = {x["doc_id"]: x["component_id"] for x in ngram_join.similar_documents(docs, shingle=1, percent=60).collect()}
+    assert {got[k] for k in range(256)} | {got[900 + k] for k in range(3)} == {0} and got[990] == 990
+
+
+def test_line_dedup_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, n_chars long")
+    assert line_dedup.counts(docs).collect() == [] and line_dedup.dedup_lines(docs).collect() == []
+
+
+@pytest.mark.parametrize("words_", [5, 25, 120])
+def test_fingerprints_recall_windows_just_above_the_threshold(spark, words_):
+    """Windows with a similarity of 0.80 to 0.85 to an item: at least nine of ten are within the radius."""
+    r = random.Random(words_)
+    items = [(k, " ".join(f"v{r.randrange(400)}" for _ in range(r.randint(60, 60 + words_)))) for k in range(40)]
+    rows, n = [], 0
+    for k, text in items:
+        own = text.split()
+        for _ in range(6):
+            w = list(own)
+            for _ in range(r.randint(1, 3)):
+                w[r.randrange(len(w))] = f"u{n}"
+                n += 1
+            rows.append((len(rows), " ".join(w)))
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    loose = {(x["doc_id"], x["item_id"]) for x in decontaminate.find(docs, bench).collect()}
+    ready = decontaminate.prepare(items)
+    want = set()
+    for d, text in rows:
+        s, k = decontaminate._runs(decontaminate._words(text), decontaminate.SHINGLE), d // 6
+        u, times = np.unique(s, return_counts=True)
+        w = ready.weigh(u)[0]
+        shared = sum(x * min(c, ready.counts[k].get(h, 0)) for h, c, x in zip(u.tolist(), times.tolist(), w))
+        if 0.8 <= shared / ((w * times).sum() + ready.mass[k] - shared) <= 0.85:
+            want.add((d, items[k][0]))
+    assert len(want) >= 10 and len(want & loose) >= 0.9 * len(want)
+
+
 def test_decontamination(spark):
     r = random.Random(5)
     items = [(k, " ".join(r.choice(VOCAB) for _ in range(r.randint(12, 40)))) for k in range(30)] + [(50, "only three words"), (51, None), (None, "w1 w2 w3 w4 w5 w6"), (52, "")]

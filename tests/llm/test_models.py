@@ -108,6 +108,23 @@ def test_secret_edges(spark):
     assert secrets.candidates(docs.limit(0)).count() == 0
 
 
+def test_transitions_do_not_depend_on_partitions(spark):
+    rows = [(k, t, "") for k, t in enumerate(["ab"] * 20 + ["", None, "a", "é", "xy\nab"])]
+    one, many = (secrets.transitions(spark.createDataFrame(rows, ODD).repartition(n)) for n in (1, 20))
+    assert (one == many).all() and one[98, 97] == one[98, 98]  # no text has an a after b
+
+
+def test_toxicity_learns_from_bounded_texts(spark):
+    docs = spark.createDataFrame([(k, "w " * (k + 1), "") for k in range(20)], ODD)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, toxic int")
+    texts, toxic = toxicity.training_texts(docs, labels, 20)
+    assert len(texts) == 20 and toxic.sum() == 10
+    texts, toxic = toxicity.training_texts(docs, labels, 20, longest=20)
+    assert sorted(map(len, texts.to_pylist())) == [2 * (k + 1) for k in range(10)]
+    texts, toxic = toxicity.training_texts(docs, labels, 20, most_bytes=60)
+    assert all(sum(len(t) for t, x in zip(texts.to_pylist(), toxic) if x == c) <= 30 for c in (True, False)) and 0 < len(texts) < 20
+
+
 def test_secret_features_do_not_name_the_label(spark):
     """The same value has the same features whatever the name is that it is assigned to."""
     docs = spark.createDataFrame([(k, f'was {name} = "0a1b2c3d4e5f6a7b8c9d" there', "") for k, name in enumerate(["token", "colour", "secret"])], ODD)
