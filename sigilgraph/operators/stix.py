@@ -24,7 +24,8 @@ def named_object(label: str, name: Column, **more: Column) -> Column:
 
 
 def relation_id(kind: Column, src: Column, trg: Column) -> Column:
-    return F.concat(F.lit("relationship--"), uuid5(F.concat_ws("|", kind, src, trg)))
+    """Id of a relation of an edge type (ATTRIBUTED_TO is attributed-to) between two objects."""
+    return F.concat(F.lit("relationship--"), uuid5(F.lower(F.concat(F.lit("relationship:"), F.concat_ws("|", src, F.replace(kind, F.lit("_"), F.lit("-")), trg)))))
 
 
 def relation_object(kind: Column, src: Column, trg: Column) -> Column:
@@ -51,10 +52,10 @@ def neighbour_objects(nodes: DataFrame, edges: DataFrame, label: str) -> DataFra
 
 
 def bundle_ids(members: DataFrame, group: str) -> DataFrame:
-    """(group, n_objects, bundle_id) of members (group, id): the bundle's id is drawn from its sorted ids alone, so only ids are gathered and equal
-    content has equal ids."""
-    g = members.groupBy(group).agg(F.array_sort(F.collect_list("id")).alias("p"))
-    return g.select(group, F.size("p").alias("n_objects"), F.concat(F.lit("bundle--"), uuid5(F.sha2(F.to_json("p"), 256))).alias("bundle_id"))
+    """(group, n_objects, bundle_id) of members (group, id); see bundles.py."""
+    from .bundles import bundle_ids as ids
+
+    return ids(members.select(F.col(group).cast("string").alias("seed"), "id")).withColumnRenamed("seed", group)
 
 
 def bundles(objects: DataFrame, group: str) -> DataFrame:

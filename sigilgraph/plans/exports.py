@@ -1,4 +1,4 @@
-"""STIX exports: a node's object, its neighbours and the relations between them."""
+"""STIX exports of malware with all neighbours, and objects of names; those of the four export types are in bundling.py."""
 
 from __future__ import annotations
 
@@ -26,7 +26,7 @@ _EDGES = """e AS (SELECT 'ATTRIBUTED_TO' AS type, 'Malware' AS sl, m.name AS sk,
   UNION SELECT 'TARGETS', 'Indicator', indicator_type || '|' || value, 'Sector', zone FROM attribute x JOIN indicator i ON i.indicator_id = x.indicator_id WHERE zone <> 'global')"""
 _EXPORT = (
     "WITH " + _IDS + ",\n" + _EDGES + f""",
-r AS (SELECT s.label AS sl, s.key AS sk, s.id AS sid, t.label AS tl, t.key AS tk, t.id AS tid, {_SHA.format("e.type || '|' || s.id || '|' || t.id")} AS h FROM e JOIN ids s ON s.label = e.sl AND s.key = e.sk JOIN ids t ON t.label = e.tl AND t.key = e.tk),
+r AS (SELECT s.label AS sl, s.key AS sk, s.id AS sid, t.label AS tl, t.key AS tk, t.id AS tid, {_SHA.format("lower('relationship:' || s.id || '|' || replace(e.type, '_', '-') || '|' || t.id)")} AS h FROM e JOIN ids s ON s.label = e.sl AND s.key = e.sk JOIN ids t ON t.label = e.tl AND t.key = e.tk),
 p AS (SELECT key AS seed, id FROM ids WHERE label = '$' UNION SELECT sk, tid FROM r WHERE sl = '$' UNION SELECT tk, sid FROM r WHERE tl = '$'
   UNION SELECT sk, 'relationship--' || {_UUID.format('h')} FROM r WHERE sl = '$' UNION SELECT tk, 'relationship--' || {_UUID.format('h')} FROM r WHERE tl = '$'),
 g AS (SELECT seed, count(*)::INTEGER AS n_objects, {_SHA.format("sha256('[\"' || string_agg(id, '\",\"' ORDER BY id) || '\"]')")} AS h FROM p GROUP BY seed)
@@ -57,20 +57,10 @@ def graph(t) -> tuple[DataFrame, DataFrame]:
     return reduce(DataFrame.unionByName, nodes), reduce(DataFrame.unionByName, edges).distinct()
 
 
-def _export(name: str, label: str):
-    @query(name, _EXPORT.replace("$", label))
-    def export(t):
-        nodes, edges = graph(t)
-        return X.bundle_ids(X.neighbour_objects(nodes, edges, label), "seed")
-
-    return export
-
-
-_export("X1_bundles", "Indicator")
-_export("X2_X5_actor_export", "ThreatActor")
-_export("X3_technique_export", "Technique")
-_export("X4_cve_export", "Vulnerability")
-_export("X_malware_export", "Malware")
+@query("X_malware_export", _EXPORT.replace("$", "Malware"))
+def malware_export(t):
+    nodes, edges = graph(t)
+    return X.bundle_ids(X.neighbour_objects(nodes, edges, "Malware"), "seed")
 
 
 @query("X6_objects", "WITH " + _IDS + """ SELECT label, key, '{"type":"' || kind || '","spec_version":"2.1","id":"' || id || '","name":"' || key || '"}' AS object FROM ids WHERE label <> 'Indicator'""")

@@ -158,7 +158,7 @@ def _sha(text: str) -> str:
     return f"sha1(unhex('{NAMESPACE.replace('-', '')}') || encode({text}))"
 
 
-@query("X7_relation_ids", f"""SELECT indicator_id, malware_id, 'relationship--' || {_ID.format('h')} AS id FROM (SELECT indicator_id, malware_id, {_sha("'INDICATES|' || s || '|' || t")} AS h FROM (SELECT indicator_id, malware_id, 'indicator--' || {_ID.format('a')} AS s, 'malware--' || {_ID.format('b')} AS t FROM
+@query("X7_relation_ids", f"""SELECT indicator_id, malware_id, 'relationship--' || {_ID.format('h')} AS id FROM (SELECT indicator_id, malware_id, {_sha("lower('relationship:' || s || '|indicates|' || t)")} AS h FROM (SELECT indicator_id, malware_id, 'indicator--' || {_ID.format('a')} AS s, 'malware--' || {_ID.format('b')} AS t FROM
   (SELECT i.indicator_id, m.malware_id, {_sha("'indicator:' || lower(indicator_type || '|' || value)")} AS a, {_sha("'malware:' || lower(m.name)")} AS b FROM indicates e JOIN indicator i ON e.indicator_id = i.indicator_id JOIN malware m ON m.malware_id = e.malware_id ) x) y) z""")
 def relation_ids(t):
     rows = t.indicates.join(t.indicator, "indicator_id").join(t.malware.select("malware_id", "name"), "malware_id")
