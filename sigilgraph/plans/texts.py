@@ -39,7 +39,7 @@ def stream_counts(t):
     return spark.read.parquet(f"{base}/out").groupBy("type").agg(F.count("*").alias("alerts"))
 
 
-@query("ALERT_enrichment", """WITH a AS (SELECT event_id, event_id % 2000 + 1 AS k, user_id FROM events), m AS (SELECT indicator_id, string_agg(DISTINCT malware_id::VARCHAR, '|' ORDER BY malware_id::VARCHAR) AS malware FROM indicates GROUP BY indicator_id)
+@query("ALERT_enrichment", """WITH a AS (SELECT event_id, event_id AS k, user_id FROM events), m AS (SELECT indicator_id, string_agg(DISTINCT malware_id::VARCHAR, '|' ORDER BY malware_id::VARCHAR) AS malware FROM indicates GROUP BY indicator_id)
   SELECT event_id, l.confidence, coalesce(m.malware, '') AS malware FROM a LEFT JOIN live l ON l.indicator_id = a.k LEFT JOIN m ON m.indicator_id = l.indicator_id""")
 def alert_enrichment(t):
     known = t.live.select(F.col("indicator_id").cast("string").alias("value"), "confidence")
@@ -47,6 +47,6 @@ def alert_enrichment(t):
     indicates = t.indicates.select(F.col("indicator_id").cast("string").alias("value"), F.col("malware_id").cast("string").alias("malware"))
     attributed = t.malware.select(F.col("malware_id").cast("string").alias("malware"), F.col("nationkey").cast("string").alias("actor"))
     none = F.lit(None).cast("string")
-    threat = F.struct((F.col("event_id") % 2000 + 1).cast("string").alias("indicator"), none.alias("malware"), none.alias("cve"), F.lit(5).alias("severity"))
+    threat = F.struct(F.col("event_id").cast("string").alias("indicator"), none.alias("malware"), none.alias("cve"), F.lit(5).alias("severity"))
     out = A.enrich(t.events.select("event_id", threat.alias("threat")), A.context(known, indicates, attributed, times))
     return out.select("event_id", "confidence", F.array_join("malware", "|").alias("malware"))
