@@ -55,27 +55,61 @@ INDUSTRIES = {
 }
 
 
-def _word(phrase: str) -> str:
-    return r"(?U)\b" + "".join("\\" + c if c in ".^$*+?()[]{}|\\-" else c for c in phrase) + r"\b"
+_UNIT = r"(?U)\w+\W*"
+_BARE = r"(?U)\W+$"
+
+
+def phrase_hits(text: Column, phrases: dict[str, list[str]]) -> Column:
+    """map<name, long>: how often phrases of each name stand in a text, in one pass over its words; overlapping phrases each count.
+
+    A phrase stands for itself between word borders, so its words, and what is between them, are some words of the text in a row. Only words
+    that begin a phrase are looked at further. Raises ValueError for a phrase that does not begin and end with a letter, digit or
+    underscore, and for one that can overlap itself."""
+    import re
+
+    table: dict[str, list[tuple[str, str, int]]] = {}
+    for name, own in phrases.items():
+        for p in dict.fromkeys(own):
+            words = re.findall(r"\w+\W*", p)
+            if not words or re.sub(r"\W*$", "", p) != p or re.match(r"\W", p):
+                raise ValueError(f"no phrase of words: {p!r}")
+            if any(words[k:] == [*words[: len(words) - k - 1], re.sub(r"\W+$", "", words[len(words) - k - 1])] for k in range(1, len(words))):
+                raise ValueError(f"a phrase that can overlap itself: {p!r}")
+            table.setdefault(re.sub(r"\W+$", "", words[0]), []).append((name, p, len(words)))
+    low = F.lower(F.coalesce(text, F.lit("")))
+    bare = lambda u: F.regexp_replace(u, _BARE, "")
+    known = F.create_map(*[x for first, own in table.items() for x in (F.lit(first), F.array(*[F.struct(F.lit(n).alias("name"), F.lit(p).alias("phrase"), F.lit(k).alias("words")) for n, p, k in own]))])
+
+    def found(units: Column) -> Column:
+        """Names of the phrases that stand in the words, each as often as it does."""
+        starts = F.filter(F.transform(units, lambda u, i: F.struct(bare(u).alias("word"), i.alias("at"))), lambda x: x["word"].isin(list(table)))
+        # A phrase of some words: those from here, joined, without what follows the last.
+        here = lambda x, p: bare(F.array_join(F.slice(units, x["at"] + 1, p["words"]), "")) == p["phrase"]
+        return F.flatten(F.transform(starts, lambda x: F.transform(F.filter(known[x["word"]], lambda p: here(x, p)), lambda p: p["name"])))
+
+    def times(names: Column, name: str) -> Column:
+        return F.size(F.filter(names, lambda n: n == name)).cast("long")
+
+    count = lambda names: F.map_from_arrays(F.array(*map(F.lit, phrases)), F.array(*[times(names, n) for n in phrases]))
+    return _once(F.regexp_extract_all(low, F.lit(_UNIT), F.lit(0)), lambda units: _once(found(units), count))
+
+
+def _once(value: Column, f) -> Column:
+    """``f`` of a value that is computed once: lambdas compute again what they name from outside, but not their own variable."""
+    return F.element_at(F.transform(F.array(value), f), 1)
 
 
 def zone_scores(text: Column, context: str = "body", keywords: dict | None = None, excluding: dict | None = None) -> Column:
     """struct<zone: double>: weight of the context times keyword hits; overlapping keywords each count; 0 where an excluding phrase stands."""
-    low, weight = F.lower(F.coalesce(text, F.lit(""))), F.lit(CONTEXTS.get(context, 1.0)).cast("double")
+    weight = F.lit(CONTEXTS.get(context, 1.0)).cast("double")
     keywords, excluding = keywords or KEYWORDS, EXCLUDING if excluding is None else excluding
-    out = []
-    for zone, words in keywords.items():
-        hits = sum((F.regexp_count(low, F.lit(_word(w))) for w in words), F.lit(0))
-        bad = excluding.get(zone)
-        score = hits.cast("double") * weight
-        if bad:
-            score = F.when(low.rlike("|".join(map(_word, bad))), F.lit(0.0).cast("double")).otherwise(score)
-        out.append(score.alias(zone))
-    return F.struct(*out)
+    hits = phrase_hits(text, {**{f"+{z}": w for z, w in keywords.items()}, **{f"-{z}": w for z, w in excluding.items() if w}})
+    score = lambda h, z: F.when(F.coalesce(h[f"-{z}"], F.lit(0)) > 0, 0.0).otherwise(h[f"+{z}"].cast("double") * weight)
+    return _once(hits, lambda h: F.struct(*[score(h, z).alias(z) for z in keywords]))
 
 
 def detect_zones(df: DataFrame, text: str, context: str = "body", out: str = "zones", default: str = "global", **tables) -> DataFrame:
-    """Adds the zones of a text that reach the threshold, or ``default``. One pass over the text for each keyword, all in the JVM."""
+    """Adds the zones of a text that reach the threshold, or ``default``. One pass over the text's words for all phrases, in the JVM."""
     scored = df.withColumn("__z", zone_scores(F.col(text), context, **tables))
     names = list((tables.get("keywords") or KEYWORDS))
     hit = F.array_compact(F.array(*[F.when(F.col("__z")[z] >= THRESHOLD, F.lit(z)) for z in names]))

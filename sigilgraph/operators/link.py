@@ -105,3 +105,21 @@ def link_topology(edges: DataFrame, src: DataFrame, src_key: str, trg: DataFrame
     """Edges (src, trg) both of whose ends exist, once each: the one form of all topology writers."""
     a, b = src.select(F.col(src_key).alias("src")).distinct(), trg.select(F.col(trg_key).alias("trg")).distinct()
     return edges.select("src", "trg").dropna().distinct().join(a, "src", "left_semi").join(b, "trg", "left_semi").withColumn("type", F.lit(kind))
+
+
+def contains_join(needles: DataFrame, texts: DataFrame, gram: int = 6) -> DataFrame:
+    """(needle, text_id), distinct, of all needles (needle, part) and texts (text_id, text) whose text contains the part, by exact case.
+
+    A text that contains a part has all of the part's grams of ``gram`` characters, so each part is looked up by the one of its grams that the
+    fewest texts have, and held against these texts alone. Parts shorter than a gram are a gram of their own length. A part with a gram
+    that no text has fits none; empty and NULL parts fit nothing."""
+    cut = lambda c, n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, n)))
+    parts = needles.where(F.length("part") > 0).select("needle", "part").distinct().withColumn("__l", F.least(F.length("part"), F.lit(gram)))
+    sizes = F.broadcast(parts.groupBy("__l").agg(F.lit(1).alias("__x")).drop("__x"))  # at most ``gram`` rows
+    own = texts.where(F.length("text") > 0).select("text_id", "text").distinct().join(sizes, F.length("text") >= F.col("__l"))
+    index = own.select("text_id", "text", F.explode(cut(F.col("text"), F.col("__l"))).alias("__g"))
+    counts = index.groupBy("__g").agg(F.count("*").alias("__n"))
+    asked = parts.select("needle", "part", F.explode(cut(F.col("part"), F.col("__l"))).alias("__g")).join(counts, "__g", "left")
+    best = asked.groupBy("needle", "part").agg(F.count_if(F.col("__n").isNull()).alias("__miss"), F.min(F.struct("__n", "__g")).alias("__b")).where("__miss = 0")
+    found = best.select("needle", "part", F.col("__b.__g").alias("__g")).join(index, "__g").where(F.contains("text", F.col("part")))
+    return found.select("needle", "text_id").distinct()
