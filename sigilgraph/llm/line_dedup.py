@@ -69,7 +69,8 @@ def line_units(docs: DataFrame, percent: int, min_tokens: int, table) -> DataFra
                     continue
                 sets, doc, line, ok = found
                 nodes = sets.nodes()
-                post = _first_seen(nodes, ok, seen)
+                # Sets of so few words that one word more or less is too much link with equal ones alone, which are one node.
+                post = _first_seen(nodes, ok & (100 * sets.n >= percent * (sets.n + 1)), seen)
                 keys = sets.short_lists(codes[rarity.slot(sets.hashes)], percent, post)
                 at = pa.array(np.flatnonzero(ok))
                 cols = [b.column("doc_id").take(pa.array(doc)), b.column("rid").take(pa.array(doc)), pa.array(line.astype(np.int32)), pa.array(nodes), pa.array(sets.n.astype(np.int32)), keys, *map(pa.array, sets.bitmaps())]

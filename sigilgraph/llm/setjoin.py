@@ -202,11 +202,17 @@ def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]):
 
 
 def _once(ids, node, *columns) -> list[np.ndarray]:
-    """Rows of a block with each node once in a list: every task that meets a set posts it."""
-    o = np.lexsort((node, ids))
-    again = np.zeros(len(o), bool)
+    """Rows of a block with each node once in a list: every task that meets a set posts it. Rows are sorted by list and the set's size,
+    so that only runs of equal ones can hold a node again."""
+    n = columns[0] >> 32
+    near = np.concatenate([[False], (ids[1:] == ids[:-1]) & (n[1:] == n[:-1])])
+    if not near.any():
+        return [ids, node, *columns]
+    run = np.flatnonzero(near | np.append(near[1:], False))
+    o = run[np.lexsort((node[run], ids[run]))]
+    again = np.zeros(len(ids), bool)
     again[o[1:]] = (ids[o][1:] == ids[o][:-1]) & (node[o][1:] == node[o][:-1])
-    return [c[~again] for c in (ids, node, *columns)]
+    return [c[~again] for c in (ids, node, *columns)] if again.any() else [ids, node, *columns]
 
 
 def _first(i: np.ndarray, j: np.ndarray, order: np.ndarray, few: int) -> np.ndarray:
