@@ -44,17 +44,37 @@ def _strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def canon(c: Column, unicode: bool = False) -> Column:
-    """A key field's canonical text: NULL as empty, stripped, ``|`` escaped. ``unicode`` adds NFC by a pandas UDF; there is
-    no built-in for it, and ASCII keys do not need it."""
+@F.pandas_udf(T.StringType())
+def _folded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for s in parts:
+        yield s.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v).casefold())
+
+
+def _beyond_ascii(c: Column) -> Column:
+    """The text if it has a character that normal forms could change, else NULL: only such texts are worth a Python worker's while."""
+    return F.when(c.rlike(r"[^\x00-\x7F]"), c)
+
+
+def nfc(c: Column) -> Column:
+    """Normal form C, for which Spark has no function; ASCII texts stay in the JVM."""
+    return F.coalesce(_nfc(_beyond_ascii(c)), c)
+
+
+def folded(c: Column) -> Column:
+    """NFKC and case folding, stripped: a name as people compare it."""
+    return F.trim(F.coalesce(_folded(_beyond_ascii(c)), F.lower(c)))
+
+
+def canon(c: Column, unicode: bool = True) -> Column:
+    """A key field's canonical text: NULL as empty, in NFC (unless not ``unicode``, as inside lambdas), stripped, ``|`` escaped."""
     text = F.coalesce(c.cast("string"), F.lit(""))
-    return F.replace(_strip(_nfc(text) if unicode else text), F.lit("|"), F.lit("%7C"))
+    return F.replace(_strip(nfc(text) if unicode else text), F.lit("|"), F.lit("%7C"))
 
 
-def natural_key(fields: list[Column], stix_type: str | Column, unicode: bool = False) -> Column:
+def natural_key(fields: list[Column], stix_type: str | Column, unicode: bool = True) -> Column:
     kind = F.lit(stix_type) if isinstance(stix_type, str) else stix_type
     joined = F.concat_ws("|", *[canon(f, unicode) for f in fields])
-    empty = F.forall(F.array(*[canon(f) for f in fields]), lambda x: x == "")
+    empty = F.forall(F.array(*[canon(f, False) for f in fields]), lambda x: x == "")
     return F.when(empty, F.concat(F.lit("__missing__:"), kind)).otherwise(F.lower(F.concat(kind, F.lit(":"), joined)))
 
 
@@ -66,7 +86,7 @@ def uuid5(text: Column, namespace: str = NAMESPACE) -> Column:
     return F.concat_ws("-", part(1, 8), part(9, 4), F.concat(F.lit("5"), part(14, 3)), F.concat(variant, part(18, 3)), part(21, 12))
 
 
-def node_uuid(label: str, fields: list[Column], unicode: bool = False) -> Column:
+def node_uuid(label: str, fields: list[Column], unicode: bool = True) -> Column:
     return uuid5(natural_key(fields, STIX_TYPES.get(label, "x-kg-" + label.lower()), unicode))
 
 

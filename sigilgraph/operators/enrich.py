@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ident import folded
 from ..functions.scalars import RETIRE_AFTER, days_between, decay_tier, decayed, event_tier, zone_fold
 
 
@@ -89,8 +90,8 @@ def inactive_campaigns(campaigns: DataFrame, linked: DataFrame, key: str) -> Dat
 
 def creator_trust(rows: DataFrame, allow: DataFrame) -> DataFrame:
     """``rows`` (with creator_uuid, creator_name) and trusted, reason: a creator is looked up in ``allow`` (uuid, name) by uuid, then by
-    trimmed lower-case name. The allow list is joined by key, so its size does not matter."""
-    fold = lambda c: F.lower(F.trim(c))
+    name, as NFKC and case folding make it. The allow list is joined by key, so its size does not matter."""
+    fold = lambda c: folded(F.col(c))
     ids = allow.select(F.col("uuid").alias("creator_uuid")).dropna().distinct().withColumn("__u", F.lit(True))
     names = allow.select(fold("name").alias("__name")).dropna().distinct().withColumn("__n", F.lit(True))
     out = rows.join(ids, "creator_uuid", "left").withColumn("__name", fold("creator_name")).join(names, "__name", "left")
@@ -103,3 +104,58 @@ def truthful_time(source: Column, trusted: Column, sources: list[str], fields: l
     """A time that a source reports itself: the first of ``fields`` (the attribute's own, then those of its META) that is there, for allowed
     sources of trusted creators; else NULL."""
     return F.when(trusted & source.isin(sources), F.coalesce(*fields))
+
+
+# Patterns of edges that lack events: name, edge type, match type (None: any), and whose events they take: those that both ends
+# share, or those of the source.
+BACKFILL = [
+    ("indicates_cooccurrence", "INDICATES", "misp_cooccurrence", "shared"), ("indicates_family_match", "INDICATES", "malware_family", "source"), ("exploits", "EXPLOITS", None, "source"),
+    ("targets_indicator_to_sector", "TARGETS", None, "source"), ("affects_vuln_to_sector", "AFFECTS", None, "source"),
+]
+
+
+def backfill_events(edges: DataFrame, edge_events: DataFrame, node_events: DataFrame, most: int = 200) -> DataFrame:
+    """(pattern, type, src_label, src, trg_label, trg, event_id): the first ``most`` events by ``at`` (ties by id) for each edge of a known pattern
+    that has none yet; edges whose ends have no (shared) events get none.
+
+    edges: type, src_label, src, trg_label, trg, match_type; edge_events: type, src_label, src, trg_label, trg; node_events: label, key, event_id, at.
+    Where the source's events serve, they are cut once a node, before the node's edges multiply them."""
+    from .link import capped
+
+    ends = ["type", "src_label", "src", "trg_label", "trg"]
+    fits = lambda t, m: (F.col("type") == t) & (F.lit(True) if m is None else F.coalesce(F.col("match_type") == m, F.lit(False)))
+    pattern = F.coalesce(*[F.when(fits(t, m), F.struct(F.lit(n).alias("pattern"), F.lit(how).alias("how"))) for n, t, m, how in BACKFILL])
+    gap = edges.select(*ends, pattern.alias("p")).where("p IS NOT NULL").distinct().join(edge_events.select(*ends).distinct(), ends, "left_anti").select("p.pattern", "p.how", *ends)
+    events = node_events.where("event_id IS NOT NULL").groupBy("label", "key", "event_id").agg(F.min("at").alias("at"))
+    of = lambda p: events.select(F.col("label").alias(f"{p}_label"), F.col("key").alias(p), "event_id", *(["at"] if p == "src" else []))
+    first = capped(of("src"), ["src_label", "src"], ["at", "event_id"], most)
+    alone = gap.where("how = 'source'").join(first, ["src_label", "src"])
+    shared = gap.where("how = 'shared'").join(of("src"), ["src_label", "src"]).join(of("trg"), ["trg_label", "trg", "event_id"])
+    out = ["pattern", *ends, "event_id"]
+    return alone.select(*out).unionByName(capped(shared, ends, ["at", "event_id"], most).select(*out))
+
+
+def run_jobs(jobs: dict) -> DataFrame:
+    """(step, ok, edges) of the enrichment jobs in their order: bridge, campaigns, calibration, decay, each a function of no arguments that gives the
+    rows it changes. One that cannot be planned is reported, and the others go on. Raises ValueError for other names or another order."""
+    from .link import build_links
+
+    if list(jobs) != JOBS:
+        raise ValueError(f"jobs run in the order {JOBS}")
+    return build_links(jobs)
+
+
+#: The order of jobs: campaigns read bridged edges, decay comes after confidences are calibrated.
+JOBS = ["bridge", "campaigns", "calibration", "decay"]
+
+
+def invariants(attributed: DataFrame, indicates: DataFrame, indicators: DataFrame, campaigns_: DataFrame, sourced: DataFrame) -> DataFrame:
+    """One row of what must hold after a run: actors that qualify for a campaign (a malware with an active indicator), those of them without one
+    (campaigns_: actor), numbers of indicators and of provenance edges, and ok: none is missing and neither number is zero."""
+    live = indicators.where("active").select("indicator")
+    due = attributed.select("malware", "actor").distinct().join(indicates.select("malware", "indicator").distinct(), "malware").join(live, "indicator", "left_semi").select("actor").distinct()
+    marked = due.join(campaigns_.select("actor").distinct().withColumn("__c", F.lit(1)), "actor", "left")
+    a = marked.agg(F.count("*").alias("qualifying"), F.count_if(F.col("__c").isNull()).alias("missing"))
+    b, c = indicators.agg(F.count("*").alias("indicators")), sourced.agg(F.count("*").alias("sourced"))
+    one = a.join(F.broadcast(b)).join(F.broadcast(c))  # a row each
+    return one.withColumn("ok", (F.col("missing") == 0) & (F.col("indicators") > 0) & (F.col("sourced") > 0))

@@ -123,3 +123,11 @@ def contains_join(needles: DataFrame, texts: DataFrame, gram: int = 6) -> DataFr
     best = asked.groupBy("needle", "part").agg(F.count_if(F.col("__n").isNull()).alias("__miss"), F.min(F.struct("__n", "__g")).alias("__b")).where("__miss = 0")
     found = best.select("needle", "part", F.col("__b.__g").alias("__g")).join(index, "__g").where(F.contains("text", F.col("part")))
     return found.select("needle", "text_id").distinct()
+
+
+def event_cooccurrence(indicator_events: DataFrame, malware_events: DataFrame, most: int = 200) -> DataFrame:
+    """(indicator, malware), distinct, that share one of the indicator's first ``most`` events. indicator_events: indicator, event_id, at; malware_events:
+    malware, event_id; events without an id count for nothing. An indicator's events are cut before they meet any malware."""
+    events = indicator_events.where("event_id <> ''").groupBy("indicator", "event_id").agg(F.min("at").alias("at"))
+    first = capped(events, ["indicator"], ["at", "event_id"], most).select("indicator", "event_id")
+    return first.join(malware_events.select("malware", "event_id").distinct(), "event_id").select("indicator", "malware").distinct()

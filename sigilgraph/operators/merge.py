@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ident import is_placeholder, merge_name, merge_value
 from ..functions.scalars import zone_fold
 
 
-def union_lists(column: str, order: str) -> Column:
-    """Distinct members of all lists, in the order in which claims first name them."""
-    lists = F.transform(F.array_sort(F.collect_list(F.struct(order, column))), lambda x: x[column])
-    return F.array_distinct(F.flatten(lists))
+def union_lists(claims: DataFrame, keys: list[str], column: str, order: str) -> DataFrame:
+    """(keys, column): distinct members of all claims' lists, in the order in which claims first name them. Members are made distinct before they are
+    gathered, so a row holds what it shows and not a member for each claim. Ties by place in the list, then by member."""
+    each = claims.select(*keys, F.col(order).alias("__o"), F.posexplode(column).alias("__p", "__m")).where(F.col("__m").isNotNull())
+    first = each.groupBy(*keys, "__m").agg(F.min(F.struct("__o", "__p")).alias("__f"))
+    return first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("__f", "__m"))), lambda x: x["__m"]).alias(column))
 
 
 def last_value(column: str, order: str) -> Column:
@@ -113,3 +116,34 @@ def label_rank(label: Column) -> Column:
     """The place of a label in the write order; all others come last."""
     known = F.create_map(*[F.lit(x) for k, v in enumerate(LABEL_RANKS) for x in (v, k)])
     return F.coalesce(known[label], F.lit(len(LABEL_RANKS)))
+
+
+def accepted(claims: DataFrame, keys: list[str], source: str, known: list[str]) -> DataFrame:
+    """Claims with ``refused``: ``unknown source`` for one that is not in ``known``, ``blank key``, or NULL for those that may be written."""
+    named = F.forall(F.array(*[F.trim(F.coalesce(F.col(k).cast("string"), F.lit(""))) for k in keys]), lambda x: x != "")
+    return claims.withColumn("refused", F.when(~F.coalesce(F.col(source).isin(known), F.lit(False)), "unknown source").when(~named, "blank key"))
+
+
+# Natural keys of labels that are written one at a time, and the lists that accumulate over claims.
+LABEL_KEYS = {
+    "Vulnerability": ["cve_id"], "Indicator": ["indicator_type", "value"], "CVE": ["cve_id"], "Malware": ["name"], "ThreatActor": ["name"], "Technique": ["mitre_id"],
+    "Tactic": ["mitre_id"], "Tool": ["mitre_id"],
+}
+ACCUMULATING = ["sources", "aliases", "malware_types", "uses_techniques", "tactic_phases"]
+
+
+def merge_label(label: str, claims: DataFrame, order: str) -> DataFrame:
+    """Nodes of one label out of claims, each column by its rule: the highest confidence, the first tag, the earliest import, folded zones, lists that
+    accumulate, and the last value that is not NULL of everything else. Names of malware and actors, ids and CVE ids are made canonical first, so
+    claims in other spellings are one node; blank keys and names that say nothing are left out."""
+    keys = LABEL_KEYS[label]
+    one = {"name": merge_name, "mitre_id": lambda x: F.upper(F.trim(x)), "cve_id": lambda x: F.upper(F.trim(x))}
+    rows = claims.withColumns({k: one[k](F.col(k)) for k in keys if k in one})
+    if label == "Indicator":
+        rows = rows.withColumn("value", merge_value(F.col("indicator_type"), F.col("value")))
+    if keys == ["name"]:
+        rows = rows.where(~is_placeholder(F.col("name")))
+    there = lambda names: [c for c in names if c in rows.columns]
+    known = {*keys, order, "confidence", "tag", "first_imported_at", "zones", *ACCUMULATING}
+    rest = [c for c in rows.columns if c not in known]
+    return merge_nodes(rows, keys, order, highest=there(["confidence"]), earliest=there(["first_imported_at"]), first=there(["tag"]), last=rest, sets=there(ACCUMULATING), zones="zones" if "zones" in rows.columns else None)

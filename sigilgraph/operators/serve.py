@@ -119,3 +119,42 @@ def samples(rows: DataFrame, group: str, value: str, most: int = 5) -> DataFrame
 
     first = capped(rows.select(group, value).distinct(), [group], [value], most).groupBy(group).agg(F.array_join(F.array_sort(F.collect_list(value)), "|").alias("sample"))
     return rows.groupBy(group).agg(F.count("*").alias("total")).join(first, group)
+
+
+# Versions of scores in the order in which they stand in for a node's own.
+SCORE_VERSIONS = ["v31", "v30", "v2", "v40"]
+
+
+def with_scores(nodes: DataFrame, children: DataFrame) -> DataFrame:
+    """Nodes (cve_id, score, severity) with score and severity as they are shown and a struct (base_score, base_severity, vector_string) for each version,
+    NULL without one. children: cve_id, version and these; one of each version, else the greatest. A node's own score comes with its own
+    severity; else the first version that has a score decides, with the node's severity if it names none."""
+    fields = ["base_score", "base_severity", "vector_string"]
+    each = children.groupBy("cve_id").agg(*[F.max(F.when(F.col("version") == v, F.struct(*fields))).alias(v) for v in SCORE_VERSIONS])
+    j = nodes.join(each, "cve_id", "left")
+    first = F.coalesce(*[F.when(F.col(v)["base_score"].isNotNull(), F.col(v)) for v in SCORE_VERSIONS])
+    own = F.col("score").isNotNull()
+    return j.withColumns({"score": F.coalesce("score", first["base_score"]), "severity": F.when(own, F.col("severity")).otherwise(F.coalesce(first["base_severity"], "severity"))})
+
+
+def zone_threats(nodes: DataFrame, limit: int = 10, severity: str | None = None) -> DataFrame:
+    """(zone, rank, label, key): the newest ``limit`` (1 to 100) managed nodes of every zone, of all labels, NULL times first, optionally of one severity. nodes:
+    label, key, severity, zones, last_updated, managed. All zones in one pass, each cut before its rows are gathered."""
+    from pyspark.sql import Window
+
+    rows = nodes.where("managed").select("label", "key", "severity", "last_updated", F.explode(F.array_distinct("zones")).alias("zone"))
+    rows = rows if severity is None else rows.where(F.col("severity") == severity.upper())
+    rank = F.row_number().over(Window.partitionBy("zone").orderBy(F.col("last_updated").desc_nulls_first(), "label", "key"))
+    return rows.withColumn("rank", rank).where(F.col("rank") <= min(max(limit, 1), 100)).select("zone", "rank", "label", "key")
+
+
+def zone_summary(nodes: DataFrame) -> DataFrame:
+    """(zone, total, critical, high, medium, low) of managed nodes of all labels."""
+    rows = nodes.where("managed").select("severity", F.explode(F.array_distinct("zones")).alias("zone"))
+    level = lambda s: F.count_if(F.coalesce(F.col("severity") == s, F.lit(False))).alias(s.lower())
+    return rows.groupBy("zone").agg(F.count("*").alias("total"), *map(level, ("CRITICAL", "HIGH", "MEDIUM", "LOW")))
+
+
+def active_nodes(nodes: DataFrame, events: DataFrame, keys: list[str]) -> DataFrame:
+    """Nodes that are active or do not say and that some event names. events: the keys and event_id."""
+    return nodes.where(F.coalesce("active", F.lit(True))).join(events.where("event_id IS NOT NULL").select(*keys).distinct(), keys, "left_semi")

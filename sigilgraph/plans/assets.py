@@ -14,7 +14,7 @@ from .catalog import query
 
 #: The key that a node of each label takes from a part: every third is blank.
 _KEYED = {label: n for n, label in enumerate(TP.NODE_KEYS)}
-_KEY = "CASE WHEN (p_partkey + {n}) % 3 > 0 THEN 'k' || (p_partkey % (20 + {n}))::VARCHAR ELSE '{blank}' END"
+_KEY = "CASE WHEN (p_partkey + {n}) % 3 > 0 THEN 'k' || (p_partkey // (2 + {n} % 3))::VARCHAR ELSE '{blank}' END"
 _DOMAIN = "CASE WHEN p_size % 2 = 0 THEN 'default' ELSE 'd' END"
 
 
@@ -29,7 +29,7 @@ def all_labels(t):
     out = []
     for label, n in _KEYED.items():
         keys, c = TP.NODE_KEYS[label], F.col("p_partkey")
-        cells = {keys[0]: F.when((c + n) % 3 > 0, F.concat(F.lit("k"), (c % (20 + n)).cast("string"))).otherwise(" ")}
+        cells = {keys[0]: F.when((c + n) % 3 > 0, F.concat(F.lit("k"), F.floor(c / (2 + n % 3)).cast("string"))).otherwise(" ")}
         if label == "User":
             cells["domain"] = F.when(F.col("p_size") % 2 == 0, " ").otherwise("d")
         elif len(keys) > 1:
@@ -44,12 +44,12 @@ _KINDS = [*TP.EDGES, ("Host", "NEAR", "Host")]
 _VALUES = ", ".join(f"('{s}', '{k}', '{g}')" for s, k, g in _KINDS)
 
 
-@query("TOPOLOGY_all_kinds", f"""WITH k(src_label, type, trg_label) AS (VALUES {_VALUES}), c AS (SELECT DISTINCT s_suppkey % 50 AS src, s_nationkey AS trg FROM supplier)
+@query("TOPOLOGY_all_kinds", f"""WITH k(src_label, type, trg_label) AS (VALUES {_VALUES}), c AS (SELECT DISTINCT s_suppkey AS src, s_nationkey AS trg FROM supplier)
   SELECT src_label, type, trg_label, src::VARCHAR AS src, trg::VARCHAR AS trg FROM k, c WHERE type <> 'NEAR' AND (src + length(src_label)) % 4 > 0 AND (trg + length(trg_label)) % 4 > 0""")
 def all_kinds(t):
     """Claims of every edge kind, and of one that is not allowed, in one linking job."""
     kinds = F.array(*[F.struct(F.lit(s).alias("src_label"), F.lit(k).alias("type"), F.lit(g).alias("trg_label")) for s, k, g in _KINDS])
-    ends = t.supplier.select((F.col("s_suppkey") % 50).cast("string").alias("src"), F.col("s_nationkey").cast("string").alias("trg"))
+    ends = t.supplier.select(F.col("s_suppkey").cast("string").alias("src"), F.col("s_nationkey").cast("string").alias("trg"))
     claims = ends.select("src", "trg", F.inline(kinds))
     labels = F.array(*[F.lit(x) for x in TP.NODE_KEYS])
     keys = ends.select("src").unionByName(ends.select(F.col("trg").alias("src"))).distinct()

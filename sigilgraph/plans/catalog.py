@@ -50,7 +50,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from . import alerting, assets, bundling, dispatching, enriching, exports, identity, jobs, linking, merging, more, readers, serving, steps, stored, texts  # noqa: F401
+    from . import alerting, assets, bundling, dispatching, enriching, exports, identity, jobs, linking, merging, more, readers, rules, serving, steps, stored, texts  # noqa: F401
 
 
 def queries() -> dict[str, Callable]:

@@ -89,13 +89,6 @@ def source_links(t):
     return L.link_exact(t.attribute, F.col("source_name"), "indicator_id", sources, F.col("source_name"), "source_name", "SOURCED_FROM", 1.0, "source").select("src", "trg")
 
 
-@query("R4_weak_links", "SELECT i.indicator_id AS src, m.malware_id AS trg FROM attribute i JOIN attribute m ON i.event_id = m.event_id WHERE i.idx < m.idx GROUP BY 1, 2 HAVING count(DISTINCT i.event_id) >= 2")
-def weak_links(t):
-    a = t.attribute.select("event_id", F.col("indicator_id").alias("src"), "idx")
-    b = t.attribute.select("event_id", F.col("malware_id").alias("trg"), F.col("idx").alias("j"))
-    return a.join(b, "event_id").where("idx < j").groupBy("src", "trg").agg(F.countDistinct("event_id").alias("n")).where("n >= 2").select("src", "trg")
-
-
 @query("P20_wall_clock", "SELECT count(*) FILTER (abs((epoch_us(ts) // 1000000) - epoch(TIMESTAMP '2024-01-15 12:00:00')::BIGINT) <= 3600) AS near, count(*) AS n FROM events")
 def wall_clock(t):
     return t.events.agg(F.count_if(S.is_wall_clock(F.col("ts"), F.lit("2024-01-15 12:00:00").cast("timestamp"), 3600)).alias("near"), F.count("*").alias("n"))
@@ -152,12 +145,6 @@ def sessions(t):
     return run(t.events, "user_id", "6 hours").select("user_id", F.unix_timestamp("start").alias("start"), "alerts")
 
 
-@query("E5_job_order", "SELECT count(*) AS edges FROM vulnerability v JOIN cve c ON v.cve_id = c.cve_id")
-def job_order(t):
-    """Bridge first, as the other jobs read its edges; here its pairs are counted once."""
-    return E.bridge(t.vulnerability, t.cve).where("src_label = 'CVE'").agg(F.count("*").alias("edges"))
-
-
 @query("A15_A16_A17_audits", """SELECT label, count(*) AS nodes, count(*) FILTER (id IS NULL) AS without_id, count(*) FILTER (NOT coalesce(managed, FALSE)) AS unmanaged, count(*) FILTER (events = 0) AS without_events FROM (
   SELECT 'Indicator' AS label, CASE WHEN i.indicator_id % 5 > 0 THEN i.value END AS id, CASE i.indicator_id % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS managed, coalesce(e.n, 0) AS events FROM indicator i LEFT JOIN (SELECT indicator_id, count(*) AS n FROM attribute WHERE idx > 6 GROUP BY indicator_id) e ON e.indicator_id = i.indicator_id
   UNION ALL SELECT 'Malware', m.name, TRUE, coalesce(e.n, 0) FROM malware m LEFT JOIN (SELECT malware_id, count(*) AS n FROM attribute WHERE idx > 6 GROUP BY malware_id) e ON e.malware_id = m.malware_id) x GROUP BY label""")
@@ -171,7 +158,7 @@ def audits(t):
 @query("U3_U4_unions", "SELECT indicator_id, string_agg(zone, '|' ORDER BY f) AS zones, string_agg(source_name, '|' ORDER BY f) FILTER (k = 1) AS sources FROM (SELECT indicator_id, zone, NULL AS source_name, min(seq) AS f, 0 AS k FROM attribute GROUP BY indicator_id, zone UNION ALL SELECT indicator_id, NULL, source_name, min(seq), 1 FROM attribute GROUP BY indicator_id, source_name) x GROUP BY indicator_id")
 def unions(t):
     rows = t.attribute.select("indicator_id", "seq", F.array("zone").alias("z"), F.array("source_name").alias("s"))
-    out = rows.groupBy("indicator_id").agg(M.union_lists("z", "seq").alias("z"), M.union_lists("s", "seq").alias("s"))
+    out = M.union_lists(rows, ["indicator_id"], "z", "seq").join(M.union_lists(rows, ["indicator_id"], "s", "seq"), "indicator_id")
     return out.select("indicator_id", F.array_join("z", "|").alias("zones"), F.array_join("s", "|").alias("sources"))
 
 

@@ -260,17 +260,22 @@ _ASKED = {
     "threats of APT groups": ("label = 'ThreatActor'", "finance"),
     "IP addresses": ("label = 'Indicator' AND type = 'ipv4'", None),
     "malicious things": ("label = 'Indicator'", None),
+    "low cvss": ("label IN ('Vulnerability', 'CVE') AND severity = 'LOW'", None),
+    "captured domain names": ("label = 'ThreatActor'", None),
+    "domains of botnets": ("label = 'Indicator' AND type = 'domain'", None),
     "everything": ("TRUE", "energy"),
 }
 _NODES = """n AS (SELECT 'Vulnerability' AS label, cve_id AS key, NULL AS type, severity, score, zones, TRUE AS managed FROM vulnerability UNION ALL SELECT 'CVE', cve_id, NULL, severity, score, zones, TRUE FROM cve
-  UNION ALL SELECT 'ThreatActor', name, NULL, NULL, NULL, zone, TRUE FROM actor UNION ALL SELECT 'Indicator', value, indicator_type, NULL, NULL, 'global', size % 2 = 0 FROM indicator)"""
+  UNION ALL SELECT 'ThreatActor', name, NULL, NULL, NULL, zone, TRUE FROM actor UNION ALL SELECT 'Indicator', value, indicator_type, NULL, NULL, 'global', size % 2 = 0 FROM indicator
+  UNION ALL SELECT 'Malware', name, NULL, NULL, NULL, 'finance', TRUE FROM malware UNION ALL SELECT DISTINCT 'Technique', mitre_id, NULL, NULL, NULL, 'global', TRUE FROM technique UNION ALL SELECT 'Campaign', name || ' Campaign', NULL, NULL, NULL, zone || ';energy', TRUE FROM actor)"""
 
 
 @query("Q1_router", f"WITH {_NODES} " + " UNION ALL ".join(f"SELECT '{q}' AS question, label, key FROM n WHERE managed AND {rule}" + (f" AND list_contains(split(zones, ';'), '{zone}')" if zone else "") for q, (rule, zone) in _ASKED.items()))
 def router(t):
     c, null = F.col, F.lit(None)
     node = lambda df, label, key, kind=null, severity=null, score=null, zones=F.lit("global"), managed=F.lit(True): df.select(F.lit(label).alias("label"), key.alias("key"), kind.cast("string").alias("type"), severity.cast("string").alias("severity"), score.cast("double").alias("score"), F.split(zones, ";").alias("zones"), managed.alias("managed"))
-    nodes = reduce(DataFrame.unionByName, [*[node(df, label, c("cve_id"), null, c("severity"), c("score"), c("zones")) for label, df in (("Vulnerability", t.vulnerability), ("CVE", t.cve))], node(t.actor, "ThreatActor", c("name"), zones=c("zone")), node(t.indicator, "Indicator", c("value"), c("indicator_type"), managed=c("size") % 2 == 0)])
+    nodes = reduce(DataFrame.unionByName, [*[node(df, label, c("cve_id"), null, c("severity"), c("score"), c("zones")) for label, df in (("Vulnerability", t.vulnerability), ("CVE", t.cve))], node(t.actor, "ThreatActor", c("name"), zones=c("zone")), node(t.indicator, "Indicator", c("value"), c("indicator_type"), managed=c("size") % 2 == 0),
+                                          node(t.malware, "Malware", c("name"), zones=F.lit("finance")), node(t.technique.select("mitre_id").distinct(), "Technique", c("mitre_id")), node(t.actor, "Campaign", F.concat("name", F.lit(" Campaign")), zones=F.concat("zone", F.lit(";energy")))])
     return reduce(DataFrame.unionByName, [V.answer(q, nodes, zone).select(F.lit(q).alias("question"), "label", "key") for q, (_, zone) in _ASKED.items()])
 
 
