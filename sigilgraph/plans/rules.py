@@ -307,7 +307,7 @@ def cve_subgraph(t):
 
 
 @query("R3_all_relations", """SELECT 'attack-pattern' AS a, mitre_id AS b, 'uses' AS type, o.name AS src FROM (SELECT name, unnest(split(uses_techniques, ';')) AS u FROM tool) o JOIN (SELECT DISTINCT mitre_id FROM technique) t ON t.mitre_id = o.u
-  UNION SELECT 'vulnerability', v.cve_id, 'exploits', i.value FROM indicator i JOIN vulnerability v ON v.cve_id = i.cve_id UNION SELECT DISTINCT 'x-mitre-tactic', shortname, 'belongs-to', mitre_id FROM (SELECT mitre_id, lower(unnest(split(tactic_phases, ';'))) AS p FROM technique) q JOIN tactic ON lower(shortname) = q.p
+  UNION SELECT 'vulnerability', v.cve_id, 'exploits', i.value FROM indicator i JOIN vulnerability v ON v.cve_id = i.cve_id UNION SELECT DISTINCT 'x-mitre-tactic', shortname, 'belongs-to', q.mitre_id FROM (SELECT mitre_id, lower(unnest(split(tactic_phases, ';'))) AS p FROM technique) q JOIN tactic ON lower(shortname) = q.p
   UNION SELECT 'intrusion-set', a.name, 'attributed-to', m.name FROM malware m JOIN actor a ON a.actor_id = m.nationkey UNION SELECT 'tool', o.name, 'uses', m.name FROM malware m JOIN tool o ON o.tool_id = m.malware_id""")
 def all_relations(t):
     """Relations of tools, vulnerabilities, tactics, actors and malware of a bundle, through its loader; the ends are resolved by name."""
