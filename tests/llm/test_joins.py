@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sigilgraph.llm import decontaminate, line_dedup, ngram_join
 from sigilgraph.llm.components import components
@@ -330,3 +331,30 @@ def test_pipeline_stages(spark):
     pieces = p.STAGES[-1][1](spark, docs, SF).collect()
     assert {r["doc_id"] for r in pieces} == set(last)
     assert sum(r["length"] for r in pieces) == sum({r["doc_id"]: r["doc_tokens"] for r in pieces}.values())
+
+
+def _pipeline_tables(spark, path, docs):
+    docs.write.parquet(f"{path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    assert p.run(spark, _pipeline_tables(spark, tmp_path, docs)).collect() == []
+
+
+def test_pipeline_with_nulls_long_texts_and_extra_columns(spark, tmp_path):
+    """Documents without text or id stay; of two long texts that only differ in line breaks one does."""
+    import corpus_pipeline as p
+
+    long = " ".join(f"word{k}" for k in range(60_000))
+    rows = [(9001, None, None, None, None, "x"), (9002, "", "en", "s", 0, "x"), (None, "a text of no id at all here", "en", "s", 1, "x"), (9003, long, "en", "s", 1, None), (9004, re.sub(r"((?:\S+ ){7})", r"\1\n", long) + " more", "en", "s", 1, None), (9005, "\n\n", None, "s", 2, "x")]
+    own = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, component_id string")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("component_id", F.lit("y"))
+    out = p.run(spark, _pipeline_tables(spark, tmp_path, docs.unionByName(own))).collect()
+    ids = {r["doc_id"] for r in out}
+    assert {9001, 9002, None, 9003, 9005} <= ids and 9004 not in ids
