@@ -111,6 +111,13 @@ def test_or_join_skips_placeholders(frame):
     assert [tuple(r) for r in out.collect()] == [(1, 9)]
 
 
+def test_or_join_shuffles_no_pairs(frame):
+    m, a = frame([(n, "x" if n % 2 else "y") for n in range(40)], "m int, by string"), frame([(n, "x", ["y", "x"]) for n in range(30)], "a int, name string, aliases array<string>")
+    out = link.or_join(m, a, [(F.col("by"), F.col("name")), (F.col("by"), F.explode("aliases"))], [F.col("m"), F.col("a").alias("of")])
+    assert out.columns == ["m", "of"] and sorted(map(tuple, out.collect())) == [(x, y) for x in range(40) for y in range(30)]
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+
+
 def test_an_empty_write_is_an_error():
     import pytest
 
