@@ -152,3 +152,21 @@ def test_event_objects(spark, frame):
     assert tactic["name"] == "Impact" and tactic["labels"] == ["zone:global"] and tactic["external_references"][0]["external_id"] == "TA0001"
     assert tool["description"] == "MITRE_USES_TECHNIQUES:{broken" and "x_kg_uses_techniques" not in tool
     assert got["10"][0]["object_refs"] == [] and got["10"][0]["name"] == "Event" and len(got["10"]) == 1
+
+
+def test_bundle_ids_of_depths_in_one_pass(frame):
+    g = graph(frame)
+    for label in ("ThreatActor", "Vulnerability", "Indicator", "Technique"):
+        got = {(r.depth, r.seed): (r.n_objects, r.bundle_id) for r in B.bundle_ids(B.export_ids(*g[:2], label), [1, 2]).collect()}
+        one_by_one = {(d, r.seed): (r.n_objects, r.bundle_id) for d in (1, 2) for r in B.bundle_ids(B.export(*g, label, now(), d)).collect()}
+        assert got == one_by_one and got
+
+
+def test_nodes_are_not_broadcast(frame):
+    plan = B.export_ids(*graph(frame)[:2], "Indicator")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [label" not in plan
+
+
+def test_an_object_has_two_texts_to_normalise(frame):
+    plan = B.objects(B.with_source_times(B._filled(graph(frame)[0]), graph(frame)[2]), now())._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("ArrowEvalPython" in line for line in plan.splitlines()) <= 2
