@@ -144,3 +144,17 @@ def test_alert_store_over_batches(spark, frame):
     assert alerts == {"a": (3, True), "b": (None, True), "c": (None, False)} and store.alerts.read().count() == 3
     assert {(r["indicator_type"], r["value"], r["confidence"], tuple(r["zones"])) for r in store.indicators.read().collect()} == {("ipv4", "1.1.1.1", 0.8, ("health",)), ("hash", "x", 0.8, ("health",))}
     assert {(r["alert_id"], r["value"]) for r in store.involves.read().collect()} == {("a", "1.1.1.1"), ("b", "x")}
+
+
+def test_tasks_and_broadcasts_are_bounded(spark):
+    from sigilgraph.plans import catalog
+
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20, "spark.sql.autoBroadcastJoinThreshold": 1 << 20}
+    for key, most in keys.items():
+        spark.conf.unset(key)
+    catalog.queries()["R2_capped"](spark, "/root/testdata/sf0.001")
+    assert {k: int(spark.conf.get(k)) for k in keys} == keys
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    catalog.queries()["R2_capped"](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
