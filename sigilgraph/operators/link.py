@@ -124,17 +124,29 @@ def contains_join(needles: DataFrame, texts: DataFrame, gram: int = 6) -> DataFr
 
     A text that contains a part has all of the part's grams of ``gram`` characters, so each part is looked up by the one of its grams that the
     fewest texts have, and held against these texts alone. Parts shorter than a gram are a gram of their own length. A part with a gram
-    that no text has fits none; empty and NULL parts fit nothing."""
+    that no text has fits none; empty and NULL parts fit nothing.
+
+    Equal parts and equal texts make far more pairs than rows, so each is looked up once: needles with the same set of parts are a group, and so are
+    texts' ids. Groups that fit are made distinct, and give each pair once without a shuffle of pairs."""
+    told = lambda df, key, text: df.where(F.length(text) > 0).groupBy(key).agg(F.sort_array(F.collect_set(text)).alias("__s"))
+    asked, held = told(needles, "needle", "part"), told(texts, "text_id", "text")
+    groups = lambda df, text: df.select("__s").distinct().select(F.col("__s").alias(f"__{text}s"), F.explode("__s").alias(text))
+    fits = _containing(asked.select(F.explode("__s").alias("part")).distinct(), held.select(F.explode("__s").alias("text")).distinct(), gram)
+    met = groups(asked, "part").join(fits, "part").join(groups(held, "text"), "text").select("__parts", "__texts").distinct()
+    named = asked.select("needle", F.col("__s").alias("__parts")).join(met, "__parts").select("needle", "__texts")
+    return named.join(held.select("text_id", F.col("__s").alias("__texts")).hint("merge"), "__texts").select("needle", "text_id")
+
+
+def _containing(parts: DataFrame, texts: DataFrame, gram: int) -> DataFrame:
+    """(part, text), distinct, of distinct parts (part) and distinct texts (text) that hold them."""
     cut = lambda c, n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, n)))
-    parts = needles.where(F.length("part") > 0).select("needle", "part").distinct().withColumn("__l", F.least(F.length("part"), F.lit(gram)))
+    parts = parts.withColumn("__l", F.least(F.length("part"), F.lit(gram)))
     sizes = F.broadcast(parts.groupBy("__l").agg(F.lit(1).alias("__x")).drop("__x"))  # at most ``gram`` rows
-    own = texts.where(F.length("text") > 0).select("text_id", "text").distinct().join(sizes, F.length("text") >= F.col("__l"))
-    index = own.select("text_id", "text", F.explode(cut(F.col("text"), F.col("__l"))).alias("__g"))
+    index = texts.join(sizes, F.length("text") >= F.col("__l")).select("text", F.explode(cut(F.col("text"), F.col("__l"))).alias("__g"))
     counts = index.groupBy("__g").agg(F.count("*").alias("__n"))
-    asked = parts.select("needle", "part", F.explode(cut(F.col("part"), F.col("__l"))).alias("__g")).join(counts, "__g", "left")
-    best = asked.groupBy("needle", "part").agg(F.count_if(F.col("__n").isNull()).alias("__miss"), F.min(F.struct("__n", "__g")).alias("__b")).where("__miss = 0")
-    found = best.select("needle", "part", F.col("__b.__g").alias("__g")).join(index, "__g").where(F.contains("text", F.col("part")))
-    return found.select("needle", "text_id").distinct()
+    asked = parts.select("part", F.explode(cut(F.col("part"), F.col("__l"))).alias("__g")).join(counts, "__g", "left")
+    best = asked.groupBy("part").agg(F.count_if(F.col("__n").isNull()).alias("__miss"), F.min(F.struct("__n", "__g")).alias("__b")).where("__miss = 0")
+    return best.select("part", F.col("__b.__g").alias("__g")).join(index, "__g").where(F.contains("text", F.col("part"))).select("part", "text")
 
 
 def event_cooccurrence(indicator_events: DataFrame, malware_events: DataFrame, most: int = 200) -> DataFrame:
