@@ -72,11 +72,16 @@ SINGLE_CONFIDENCE = {
 def single_edges(claims: DataFrame, order: str) -> DataFrame:
     """Edges of claims (src_kind, type, trg_kind, src, trg, source, event_ids and ``order``) with the confidence of their kind. Claims of
     other kinds and with a blank end are dropped."""
+    kinds = list(SINGLE_CONFIDENCE)
     kind = lambda s, t, g: F.concat_ws("/", s, t, g)
-    known = F.create_map(*[F.lit(x) for k, v in SINGLE_CONFIDENCE.items() for x in ("/".join(k), v)])
-    rows = claims.withColumns({"confidence": known[kind("src_kind", "type", "trg_kind")], "match_type": F.lit("single")})
+    numbers = F.create_map(*[F.lit(x) for n, k in enumerate(kinds) for x in ("/".join(k), n)])
+    known = F.array(*[F.struct(F.lit(s).alias("src_kind"), F.lit(t).alias("type"), F.lit(g).alias("trg_kind"), F.lit(v).alias("confidence")) for (s, t, g), v in SINGLE_CONFIDENCE.items()])
     named = (F.trim("src") != "") & (F.trim("trg") != "")
-    return merge_edges(rows.where(F.col("confidence").isNotNull() & named), ["src_kind", "type", "trg_kind", "src", "trg"], order)
+    # Confidence and match type follow from the kind, so a claim is shuffled with its kind's number, its ends and what it adds to the lists alone.
+    rows = claims.where(named).select(numbers[kind("src_kind", "type", "trg_kind")].alias("__k"), "src", "trg", "source", "event_ids").where(F.col("__k").isNotNull())
+    out = rows.groupBy("__k", "src", "trg").agg(F.array_sort(F.collect_set("source")).alias("sources"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("event_ids")))).alias("event_ids"))
+    out = out.withColumn("__k", F.get(known, F.col("__k")))
+    return out.select(*[F.col("__k")[x].alias(x) for x in ("src_kind", "type", "trg_kind")], "src", "trg", F.col("__k")["confidence"].alias("confidence"), F.lit("single").alias("match_type"), "sources", "event_ids")
 
 
 def fill_missing(nodes: DataFrame, told: DataFrame, key: str, columns: list[str]) -> DataFrame:
