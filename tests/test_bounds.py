@@ -51,3 +51,27 @@ def test_pairs_of_parts_and_texts_are_not_shuffled(spark, frame):
 def test_a_key_that_many_rows_have_is_split(spark):
     bounded_tasks(spark)
     assert spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")) <= 64 << 20
+
+
+def test_bundles_hold_what_their_rules_name(spark):
+    """A technique's export joins no attributes: none of its rules has their edges or nodes."""
+    from sigilgraph.operators import bundles as B
+    from sigilgraph.plans import bundling
+
+    labels, types = B.held_kinds("Technique")
+    t = catalog.Tables(spark, SF)
+    kept = bundling.edges(t).where(F.col("type").isin(types)).unionByName(bundling.nodes(t).where(F.col("label").isin(labels)).select("label", "key"), allowMissingColumns=True)
+    assert scans(kept, "l_orderkey") == 0 and scans(bundling.edges(t), "l_orderkey") > 0
+    assert B.held_kinds("Vulnerability") == (["CVE", "Indicator", "Sector", "Vulnerability"], ["AFFECTS", "EXPLOITS"])
+    assert B.held_kinds("ThreatActor") == (["Campaign", "Malware", "Technique", "ThreatActor"], ["ATTRIBUTED_TO", "EMPLOYS_TECHNIQUE", "IMPLEMENTS_TECHNIQUE", "RUNS"])
+
+
+def test_normal_forms_need_no_python(spark, frame):
+    import unicodedata
+
+    from sigilgraph.functions.ident import nfc
+
+    texts = ["", None, "abc", "é", "é", "한", "Å̧", "Ω", "\U0001d15e", "ﬁ"]
+    rows = frame([(x,) for x in texts], "t string").select("t", nfc(F.col("t")).alias("n"))
+    assert [r["n"] for r in rows.collect()] == [None if x is None else unicodedata.normalize("NFC", x) for x in texts]
+    assert "EvalPython" not in rows._jdf.queryExecution().executedPlan().toString()
