@@ -84,6 +84,29 @@ def test_ngram_join_finds_a_pair_in_a_family_below_the_threshold(spark):
     assert got == want
 
 
+def test_pairs_of_a_family_below_the_threshold_stay_in_the_cells(spark):
+    """Texts of some 400 words share seven in ten and do not link: not all of their pairs may leave the tasks that compare them."""
+    from sigilgraph.llm import rarity, setjoin
+
+    r = random.Random(4)
+    family, often = [f"t{i}" for i in range(330)], [f"v{i}" for i in range(900)]
+    rows = [(1000 + k, " ".join(r.sample(often, 300))) for k in range(400)]
+    rows += [(k, " ".join(family + r.sample(often, 70 + k % 8))) for k in range(80)]
+    rows.append((500, rows[-1][1] + " near"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    units = ngram_join.units(docs, 1, 85, rarity.broadcast_table(docs)).cache()
+    found = setjoin.candidate_pairs(setjoin.postings(units), 85, 2)
+    sketched = setjoin.sketches(found, units.select("node", "sig"))
+    none = spark.createDataFrame([], "node long, s long")
+    plain = setjoin.left_over(found, none, 85, occurrences=2)
+    kept = setjoin.left_over(found, none, 85, occurrences=2, sketched=sketched)
+    assert plain.count() > 1_000 and kept.count() < plain.count() / 10
+    both = [{(p["a"], p["b"]) for p in setjoin.verified(x, ngram_join.sets(docs, 1, spark.sparkContext.broadcast(setjoin.node_filter(x))), 85).collect()} for x in (plain, kept)]
+    assert both[0] == both[1] and len(both[0]) == 1
+    got = sorted((str(x["doc_id"]), x["n_shingles"], str(x["component_id"])) for x in ngram_join.similar_documents(docs, shingle=1, percent=85).collect())
+    assert got == brute_components(rows, 1, 85)
+
+
 @pytest.mark.parametrize("seed", [5, 6])
 def test_ngram_join_with_cut_lists_equals_brute_force(spark, seed):
     """Lists of more than eight documents are cut, and left-over pairs are looked at in cells of four."""
