@@ -46,7 +46,8 @@ def embedded(attrs: DataFrame) -> DataFrame:
     value, kind = F.trim("value"), c("attr_type")
     text = F.when(kind == "text", F.when(value.rlike(r"^T\d{4}"), "technique").when(value.rlike(r"^TA\d{4}"), "tactic").when(value.rlike(r"^S\d{4}"), "tool"))
     kind = F.coalesce(lookup({"vulnerability": "vulnerability", "threat-actor": "actor", "malware-type": "malware"}, kind), text, F.lit("indicator"))
-    confidence, sector = G.confidence_of(c("tags")), G.sector_of(c("tags"))
+    told = {"__kind": kind, "__value": value, "__confidence": G.confidence_of(c("tags")), "__sector": G.sector_of(c("tags")), "__source": G.source_of(c("tags"))}
+    value, confidence, sector = c("__value"), c("__confidence"), c("__sector")  # columns, so that an attribute's definitions share them
     key = lambda **fields: F.map_from_arrays(F.array(*[F.lit(k) for k in fields]), F.array(*[v.cast("string") for v in fields.values()]))
 
     def one(rel, src, src_key, trg, trg_key, conf=confidence):
@@ -68,14 +69,14 @@ def embedded(attrs: DataFrame) -> DataFrame:
         "indicator": of_indicator,
     }
     chosen = reduce(lambda a, kv: a.when(c("__kind") == kv[0], kv[1]), list(parts.items())[1:], F.when(c("__kind") == "vulnerability", parts["vulnerability"]))
-    rows = attrs.where(accepted_value(c("value"))).withColumn("__kind", kind)
-    return rows.select(F.explode(chosen).alias("d"), G.source_of(c("tags")).alias("source"), c("event_id").cast("string").alias("event_id"), (c("event_id").cast("long") * 1000 + c("idx")).alias("seq")).select("d.*", "source", "event_id", "seq")
+    rows = attrs.where(accepted_value(c("value"))).withColumns(told)
+    return rows.select(F.explode(chosen).alias("d"), c("__source").alias("source"), c("event_id").cast("string").alias("event_id"), (c("event_id").cast("long") * 1000 + c("idx")).alias("seq")).select("d.*", "source", "event_id", "seq")
 
 
 def canonical(label: Column, kind: Column, key: Column) -> Column:
     """An end's key as nodes store it; NULL if it is blank."""
     name = F.when(label == "Indicator", merge_value(kind, key)).when(label.isin("Malware", "ThreatActor", "Campaign", "Sector"), merge_name(key)).otherwise(F.upper(F.trim(key)))
-    return F.when(name != "", name)
+    return F.nullif(name, F.lit(""))
 
 
 def endpoint_index(nodes: DataFrame) -> DataFrame:
@@ -91,9 +92,10 @@ def routed(definitions: DataFrame) -> DataFrame:
     """Definitions with a row for each group that their route has, and the canonical keys of both ends; ``dropped`` tells why one goes
     nowhere: ``no route`` (its types fit no group) or ``blank end``."""
     names = ["grp", "type", "frm", "trg_type", "src_field", "trg_field", "src_label", "trg_label"]
-    table = F.array(*[F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, r)]) for r in ROUTES])
+    route = lambda r: F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, r)])
+    table = lookup({t: F.array(*[route(r) for r in ROUTES if r[1] == t]) for t in dict.fromkeys(r[1] for r in ROUTES)}, F.col("rel_type"))
     fits = lambda want, got: want.isNull() | F.coalesce(want == got, F.lit(False))
-    found = F.filter(table, lambda r: F.coalesce(r["type"] == F.col("rel_type"), F.lit(False)) & fits(r["frm"], F.col("from_type")) & fits(r["trg_type"], F.col("to_type")))
+    found = F.filter(table, lambda r: fits(r["frm"], F.col("from_type")) & fits(r["trg_type"], F.col("to_type")))
     rows = definitions.select("*", F.explode_outer(found).alias("r"))
     src = canonical(F.col("r.src_label"), F.col("from_key")["indicator_type"], F.col("from_key")[F.col("r.src_field")])
     trg = canonical(F.col("r.trg_label"), F.col("to_key")["indicator_type"], F.col("to_key")[F.col("r.trg_field")])
@@ -134,7 +136,7 @@ class Dispatch:
 
     @property
     def members(self) -> DataFrame:
-        events = self.rows.where("dropped IS NULL AND event_id <> ''").select(*self.KEYS, "event_id").distinct()
+        events = self.rows.where("dropped IS NULL AND event_id <> ''").select(*self.KEYS, "event_id")
         return events.join(self.known.select(*self.KEYS, "src", "trg"), self.KEYS).select("type", "src", "trg", "event_id").distinct()
 
     @property

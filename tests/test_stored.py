@@ -151,3 +151,12 @@ def test_dispatch_edges_and_drops(spark, frame):
 def test_dispatch_of_nothing(frame):
     out = D.Dispatch(frame([], D.DEFINITION), D.endpoint_index(frame([], NODES)))
     assert out.edges.collect() == [] and out.members.collect() == [] and out.report.collect() == []
+
+
+def test_dispatch_moves_definitions_once(frame):
+    """A definition is held against its own type's routes only, a key is stripped once, and members shuffle definitions for their last distinct alone."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    d = frame([("EXPLOITS", None, {"value": "x"}, None, {"cve_id": "cve-2024-1"}, 0.5, "x", "1", 1)], D.DEFINITION)
+    routed = plan(D.routed(d))
+    assert routed.count("regexp_replace") == 6 and "lambda x" in routed and "= rel_type" not in routed
+    assert plan(D.Dispatch(d, D.endpoint_index(frame([], NODES))).members).count("Exchange hashpartitioning") == 1
