@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ident import folded
 from ..functions.scalars import RETIRE_AFTER, days_between, decay_tier, decayed, event_tier, zone_fold
+from ..session import materialize
 
 
 def bridge(vulnerabilities: DataFrame, cves: DataFrame) -> DataFrame:
@@ -113,24 +114,43 @@ BACKFILL = [
     ("targets_indicator_to_sector", "TARGETS", None, "source"), ("affects_vuln_to_sector", "AFFECTS", None, "source"),
 ]
 
+#: Rows that an event of no more than some 1000 pairs of ends may have; one with more is crowded.
+CROWDED = 64
+
 
 def backfill_events(edges: DataFrame, edge_events: DataFrame, node_events: DataFrame, most: int = 200) -> DataFrame:
     """(pattern, type, src_label, src, trg_label, trg, event_id): the first ``most`` events by ``at`` (ties by id) for each edge of a known pattern
     that has none yet; edges whose ends have no (shared) events get none.
 
     edges: type, src_label, src, trg_label, trg, match_type; edge_events: type, src_label, src, trg_label, trg; node_events: label, key, event_id, at.
-    Where the source's events serve, they are cut once a node, before the node's edges multiply them."""
+    Where the source's events serve, they are cut once a node, before the node's edges multiply them. Shared ones are found by event."""
     from .link import capped
 
     ends = ["type", "src_label", "src", "trg_label", "trg"]
     fits = lambda t, m: (F.col("type") == t) & (F.lit(True) if m is None else F.coalesce(F.col("match_type") == m, F.lit(False)))
     pattern = F.coalesce(*[F.when(fits(t, m), F.struct(F.lit(n).alias("pattern"), F.lit(how).alias("how"))) for n, t, m, how in BACKFILL])
     gap = edges.select(*ends, pattern.alias("p")).where("p IS NOT NULL").distinct().join(edge_events.select(*ends).distinct(), ends, "left_anti").select("p.pattern", "p.how", *ends)
-    events = node_events.where("event_id IS NOT NULL").groupBy("label", "key", "event_id").agg(F.min("at").alias("at"))
-    of = lambda p: events.select(F.col("label").alias(f"{p}_label"), F.col("key").alias(p), "event_id", *(["at"] if p == "src" else []))
-    first = capped(of("src"), ["src_label", "src"], ["at", "event_id"], most)
-    alone = gap.where("how = 'source'").join(first, ["src_label", "src"])
-    shared = gap.where("how = 'shared'").join(of("src"), ["src_label", "src"]).join(of("trg"), ["trg_label", "trg", "event_id"])
+    gap = materialize(gap, "gaps")
+    both, told = gap.where("how = 'shared'"), node_events.where("event_id IS NOT NULL")
+
+    def of(p, gaps):
+        """Events of nodes with labels that ends of these gaps have."""
+        labels = F.broadcast(gaps.select(F.col(f"{p}_label").alias("label")).distinct())  # a row for each label
+        return told.join(labels, "label", "left_semi").select(F.col("label").alias(f"{p}_label"), F.col("key").alias(p), "event_id", *(["at"] if p == "src" else []))
+
+    events = lambda df: df.groupBy("src_label", "src", "event_id").agg(F.min("at").alias("at"))
+    alone = gap.where("how = 'source'")
+    alone = alone.join(capped(events(of("src", alone)), ["src_label", "src"], ["at", "event_id"], most), ["src_label", "src"])
+    ours = {"src": of("src", both), "trg": of("trg", both).join(both.select("trg_label", "trg").distinct(), ["trg_label", "trg"], "left_semi").distinct()}
+    # Ends meet in an event, which has few rows. Only in crowded events each edge brings its source's, as such an event's pairs are too many.
+    crowded = materialize(told.groupBy("event_id").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).select("event_id"), "crowded-events")
+    hot = crowded.limit(1).count() > 0
+    calm = ours["src"].join(crowded, "event_id", "left_anti") if hot else ours["src"]
+    shared = calm.join(ours["trg"], "event_id").join(both, ["src_label", "src", "trg_label", "trg"]).select("pattern", *ends, "event_id", "at")
+    if hot:
+        there = {p: df.join(crowded, "event_id", "left_semi") for p, df in ours.items()}
+        shared = shared.unionByName(both.join(events(there["src"]), ["src_label", "src"]).join(there["trg"], ["trg_label", "trg", "event_id"]).select(*shared.columns))
+    shared = shared.groupBy("pattern", *ends, "event_id").agg(F.min("at").alias("at"))
     out = ["pattern", *ends, "event_id"]
     return alone.select(*out).unionByName(capped(shared, ends, ["at", "event_id"], most).select(*out))
 

@@ -33,6 +33,22 @@ def test_backfill_patterns(frame):
     assert got == {("indicates_cooccurrence", "m"): {"e2", "e3"}, ("indicates_family_match", "f"): {"e1", "e2"}, ("exploits", "c"): {"e1", "e2"}, ("affects_vuln_to_sector", "s"): {"x"}}
 
 
+def test_backfill_of_shared_events_meets_by_event(spark, frame, monkeypatch):
+    """Sources with many events bring no row for each edge and event; a crowded event counts as any other."""
+    ends = "type string, src_label string, src string, trg_label string, trg string"
+    edges = frame([("INDICATES", "Indicator", f"i{k}", "Malware", f"m{j}", "misp_cooccurrence") for k in range(20) for j in range(20)], ends + ", match_type string")
+    rows = [("Indicator", f"i{k}", f"e{k}-{n}", n) for k in range(20) for n in range(50)] + [("Indicator", f"i{k}", "big", 60 + k) for k in range(20)]
+    rows += [("Malware", f"m{j}", "big", 0) for j in range(0, 20, 2)] + [("Malware", f"m{j}", f"e{j}-{n}", 0) for j in range(20) for n in (7, 8, 9)]
+    events = frame(rows, "label string, key string, event_id string, at long")
+    want = {(f"i{k}", f"m{k}", f"e{k}-{n}") for k in range(20) for n in (7, 8)} | {(f"i{k}", f"m{j}", "big") for k in range(20) for j in range(0, 20, 2) if k != j}
+    for crowded in (64, 10):  # no event is crowded, then one
+        monkeypatch.setattr(E, "CROWDED", crowded)
+        out = E.backfill_events(edges, frame([], ends), events, 2)
+        assert {(r["src"], r["trg"], r["event_id"]) for r in out.collect()} == want
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("event_id") and ("LeftAnti" in plan) == (crowded == 10)
+
+
 def test_jobs_run_in_order(spark):
     rows = lambda: spark.range(2)
     broken = lambda: spark.range(1).select("nothing")
