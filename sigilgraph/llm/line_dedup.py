@@ -61,7 +61,7 @@ def line_units(docs: DataFrame, percent: int, min_tokens: int, table) -> DataFra
     """(doc_id, rid, line, node, n, keys, b0, b1) of lines with enough words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, seen = table.value, set()
+        codes, seen = table.value.array(), set()
         for whole in batches:
             for b in T.slices(whole, "text"):
                 found = _lines(b, min_tokens)

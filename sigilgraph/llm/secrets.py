@@ -115,7 +115,7 @@ def candidates(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     table, usual = rarity.broadcast_table(docs), docs.sparkSession.sparkContext.broadcast(transitions(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, steps = table.value, usual.value
+        codes, steps = table.value.array(), usual.value
         for whole in batches:
             for b in T.slices(whole, "text"):
                 raw, off = T.buffers(b.column("text"))

@@ -7,6 +7,7 @@ give offending spans and, through a logistic curve over their sum and maximum, a
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -234,9 +235,9 @@ def fit(texts: pa.Array, toxic: np.ndarray, *, rounds: int = 20, min_docs: int =
     return model
 
 
-def training_texts(docs: DataFrame, labels: DataFrame, sample: int, longest: int = LONGEST, most_bytes: int = MOST_BYTES) -> tuple[pa.Array, np.ndarray]:
-    """At most ``sample`` labelled texts of each class, those of least hash, as long as they take no more than half of ``most_bytes``; texts
-    of more than ``longest`` bytes are not learned from. A document with several labels counts as toxic if one says so; null labels and
+def _training_rows(docs: DataFrame, labels: DataFrame, sample: int, longest: int = LONGEST, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """(text, __toxic) of at most ``sample`` labelled texts of each class, those of least hash, as long as they take no more than half of
+    ``most_bytes``, in one partition and in order of class and hash; texts of more than ``longest`` bytes are not learned from. A document with several labels counts as toxic if one says so; null labels and
     ids are left out."""
     told = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).alias("__toxic"))
     pick = lambda x: told.where(F.col("__toxic") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -245,12 +246,36 @@ def training_texts(docs: DataFrame, labels: DataFrame, sample: int, longest: int
     rows = docs.select("doc_id", "text").withColumn("__size", size).where(F.col("__size") <= longest).join(picked, "doc_id").dropDuplicates(["doc_id"])
     rows = materialize(rows, "toxicity-sample")
     so_far = F.sum("__size").over(Window.partitionBy("__toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))  # at most ``sample`` rows in a class
-    rows = rows.withColumn("__so_far", so_far).where(F.col("__so_far") <= most_bytes // 2).select("text", "__toxic").toArrow()
+    rows = rows.withColumn("__so_far", so_far).where(F.col("__so_far") <= most_bytes // 2).coalesce(1)
+    return rows.sortWithinPartitions("__toxic", F.xxhash64("doc_id"), "doc_id").select("text", "__toxic")
+
+
+def _columns(rows: pa.Table) -> tuple[pa.Array, np.ndarray]:
+    """Texts and labels of training rows, as ``fit`` takes them."""
     column = rows.column("text").combine_chunks()
     column = column if isinstance(column, pa.Array) else column.chunk(0)
     return column.cast(pa.large_string()), np.asarray(rows.column("__toxic").to_pylist(), bool)
 
 
+def training_texts(docs: DataFrame, labels: DataFrame, sample: int, **bounds) -> tuple[pa.Array, np.ndarray]:
+    """Texts and labels of ``_training_rows``, brought to the driver."""
+    return _columns(_training_rows(docs, labels, sample, **bounds).toArrow())
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **bounds) -> Field:
+    """The field that ``fit`` learns from ``_training_rows``. A task learns it, so that neither the texts nor their tokens
+    take the driver's memory; the driver gets the weights."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held:
+            model = fit(*_columns(pa.Table.from_batches(held)))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    found = _training_rows(docs, labels, sample, **bounds).mapInArrow(run, "model binary").collect()  # one row of some 1 MB
+    return pickle.loads(found[0]["model"]) if found else Field()
+
+
 def score(docs: DataFrame, model: Field, span_probability: float = 0.5, with_spans: bool = True) -> DataFrame:
     """doc_id, score (0 to 1) and spans (start, end, probability: characters of tokens whose marginal reaches
     ``span_probability``) for each row of ``docs``. A null or empty text has the score of no evidence and no

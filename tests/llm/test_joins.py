@@ -381,3 +381,23 @@ def test_pipeline_with_nulls_long_texts_and_extra_columns(spark, tmp_path):
     out = p.run(spark, _pipeline_tables(spark, tmp_path, docs.unionByName(own))).collect()
     ids = {r["doc_id"] for r in out}
     assert {9001, 9002, None, 9003, 9005} <= ids and 9004 not in ids
+
+
+def test_driver_holds_tables_packed(spark):
+    """The driver passes on compressed parts; what tasks unpack has the counts and the wanted nodes."""
+    import pickle
+
+    import pyarrow as pa
+
+    from sigilgraph.llm import rarity, setjoin, text
+
+    docs = spark.createDataFrame([(k, f"all w{k} some{k % 3}") for k in range(40)], "doc_id long, text string")
+    table = rarity.rarity_table(docs)
+    words = lambda *w: rarity.slot(text.word_hashes(*text.buffers(pa.array(w)))[0])
+    assert len(pickle.dumps(table)) < 1 << 20
+    codes = pickle.loads(pickle.dumps(table)).array()
+    assert len(codes) == rarity.SLOTS and (codes > 0).sum() == len(set(words("all", "some0", "some1", "some2", *(f"w{k}" for k in range(40)))))
+    assert codes[words("w7", "all", "none")].tolist() == [1, 2 + int(4 * np.log2(40)), 0]
+    bits = setjoin.node_filter(spark.createDataFrame([(3, 5), (7, None)], "q long, c long"))
+    assert len(pickle.dumps(bits)) < 1 << 20
+    assert setjoin.wanted(pickle.loads(pickle.dumps(bits)), np.array([3, 4, 5, 7, 9])).tolist() == [True, False, True, True, False]

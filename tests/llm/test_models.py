@@ -2,6 +2,7 @@
 
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 
@@ -125,6 +126,24 @@ def test_toxicity_learns_from_bounded_texts(spark):
     assert all(sum(len(t) for t, x in zip(texts.to_pylist(), toxic) if x == c) <= 30 for c in (True, False)) and 0 < len(texts) < 20
 
 
+def test_toxicity_learns_in_a_task(spark, monkeypatch):
+    """The pipeline's and the query's training texts stay off the driver; the field is the one that these texts give."""
+    docs = spark.createDataFrame([(k, f"you see an {'idiot' if k % 2 else 'apple'} here id now", "") for k in range(60)], ODD)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    plain = toxicity.fit(*toxicity.training_texts(docs, labels, 50))
+
+    def none(*_, **__):
+        raise AssertionError("training texts on the driver")
+
+    monkeypatch.setattr(toxicity, "training_texts", none)
+    model = toxicity.train(docs, labels, 50)
+    assert model.curve is not None and (model.weights == plain.weights).all() and (model.curve == plain.curve).all()
+    assert toxicity.train(docs, labels.limit(0)).curve is None and toxicity.train(docs.limit(0), labels).base == 0
+    assert queries.op6_toxicity(spark, "/root/testdata/sf0.001").count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+    kept = corpus_pipeline.drop_toxic(spark, spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), "/root/testdata/sf0.001")
+    assert kept.count() > 0
+
+
 def test_secret_features_do_not_name_the_label(spark):
     """The same value has the same features whatever the name is that it is assigned to."""
     docs = spark.createDataFrame([(k, f'was {name} = "0a1b2c3d4e5f6a7b8c9d" there', "") for k, name in enumerate(["token", "colour", "secret"])], ODD)
