@@ -161,6 +161,8 @@ def _sha(text: str) -> str:
 @query("X7_relation_ids", f"""SELECT indicator_id, malware_id, 'relationship--' || {_ID.format('h')} AS id FROM (SELECT indicator_id, malware_id, {_sha("lower('relationship:' || s || '|indicates|' || t)")} AS h FROM (SELECT indicator_id, malware_id, 'indicator--' || {_ID.format('a')} AS s, 'malware--' || {_ID.format('b')} AS t FROM
   (SELECT i.indicator_id, m.malware_id, {_sha("'indicator:' || lower(indicator_type || '|' || value)")} AS a, {_sha("'malware:' || lower(m.name)")} AS b FROM indicates e JOIN indicator i ON e.indicator_id = i.indicator_id JOIN malware m ON m.malware_id = e.malware_id ) x) y) z""")
 def relation_ids(t):
-    rows = t.indicates.join(t.indicator, "indicator_id").join(t.malware.select("malware_id", "name"), "malware_id")
-    src, trg = X.stix_id("Indicator", [F.col("indicator_type"), F.col("value")]), X.stix_id("Malware", [F.col("name")])
-    return rows.select("indicator_id", "malware_id", X.relation_id(F.lit("INDICATES"), src, trg).alias("id"))
+    """Ids of relations; those of their ends are made once a node."""
+    src = t.indicator.select("indicator_id", X.stix_id("Indicator", [F.col("indicator_type"), F.col("value")]).alias("src"))
+    trg = t.malware.select("malware_id", X.stix_id("Malware", [F.col("name")]).alias("trg"))
+    rows = t.indicates.join(src, "indicator_id").join(trg, "malware_id")
+    return rows.select("indicator_id", "malware_id", X.relation_id(F.lit("INDICATES"), F.col("src"), F.col("trg")).alias("id"))

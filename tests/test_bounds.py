@@ -75,3 +75,9 @@ def test_normal_forms_need_no_python(spark, frame):
     rows = frame([(x,) for x in texts], "t string").select("t", nfc(F.col("t")).alias("n"))
     assert [r["n"] for r in rows.collect()] == [None if x is None else unicodedata.normalize("NFC", x) for x in texts]
     assert "EvalPython" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_id_of_a_relation_hashes_each_end_once(spark):
+    plan = planned(catalog.queries()["X7_relation_ids"](spark, SF))
+    assert plan.count("sha1(") == 3
+    assert "sha1(" not in plan.split("Join")[0].split("relationship:")[1]
