@@ -47,11 +47,9 @@ def overlap_join(left: DataFrame, right: DataFrame, left_list: str, right_list:
     return a.join(b, "__m").groupBy(*columns).agg(F.count("*").alias("shared"))
 
 
-def shared_members(left: DataFrame, right: DataFrame, member: str, most: int) -> DataFrame:
-    """(src, trg, shared): members that rows (src, member) and (trg, member) have in common. Only the first ``most`` different members of a trg
-    count; rows beyond are dropped before the shuffle, so a trg with very many of them is no large group."""
-    first = capped(right.distinct(), ["trg"], [member], most)
-    return left.distinct().join(first, member).groupBy("src", "trg").agg(F.count("*").alias("shared"))
+def shared_members(left: DataFrame, right: DataFrame, member: str) -> DataFrame:
+    """(src, trg, shared): the number of members that rows (src, member) and (trg, member) have in common, all of them."""
+    return left.distinct().join(right.distinct(), member).groupBy("src", "trg").agg(F.count("*").alias("shared"))
 
 
 def build_links(steps: dict[str, Callable[[], DataFrame]]) -> DataFrame:

@@ -33,11 +33,10 @@ for _n, _label in (("J3a_exploits_vulnerability", "vulnerability"), ("J3b_exploi
 
 
 @query("J4_cooccurrence", """SELECT i.indicator_id AS src, m.malware_id AS trg, count(*) AS shared FROM (SELECT DISTINCT indicator_id, event_id FROM attribute) i
-  JOIN (SELECT malware_id, event_id FROM (SELECT malware_id, event_id, row_number() OVER (PARTITION BY malware_id ORDER BY event_id) AS n FROM (SELECT DISTINCT malware_id, event_id FROM attribute) d) r WHERE n <= 200) m ON i.event_id = m.event_id GROUP BY i.indicator_id, m.malware_id""")
+  JOIN (SELECT DISTINCT malware_id, event_id FROM attribute) m ON i.event_id = m.event_id GROUP BY i.indicator_id, m.malware_id""")
 def cooccurrence(t):
-    """A malware's first 200 events count."""
     a = t.attribute
-    return L.shared_members(a.select(F.col("indicator_id").alias("src"), "event_id"), a.select(F.col("malware_id").alias("trg"), "event_id"), "event_id", 200)
+    return L.shared_members(a.select(F.col("indicator_id").alias("src"), "event_id"), a.select(F.col("malware_id").alias("trg"), "event_id"), "event_id")
 
 
 @query("J5_J6_J10_uses", "SELECT DISTINCT a.actor_id AS src, t.mitre_id AS trg FROM (SELECT actor_id, unnest(split(uses_techniques, ';')) AS k FROM actor) a JOIN technique t ON a.k = t.mitre_id")
