@@ -98,3 +98,13 @@ def test_counts_of_steps_hold_all_pairs_of_an_event(spark):
     pairs = a.select("event_id", "indicator_id").join(a.select("event_id", "malware_id"), "event_id").select("indicator_id", "malware_id").distinct().count()
     steps = {r["step"]: r["edges"] for r in catalog.queries()["R5_step_counts"](spark, sf).collect()}
     assert steps["4 co-occurrence"] == catalog.queries()["J4_cooccurrence"](spark, sf).count() == pairs
+
+
+def test_pairs_of_an_event_are_counted_without_events(spark, frame):
+    items = frame([(e, k, key) for e in (1, 2, 2, 3) for k, key in (("a", "x"), ("b", "y"), ("b", "z"))] + [(3, "c", "x")], "event_id int, kind string, key string")
+    got = L.event_relations(items, [("R", "a", "b")])
+    assert "distinct" not in planned(got).lower()
+    assert sorted((r["src"], r["trg"], r["events"]) for r in got.collect()) == [("x", "y", 3), ("x", "z", 3)]
+    # A type of two rules tells its events apart: in event 3, x stands for both kinds.
+    both = L.event_relations(items, [("R", "a", "b"), ("R", "c", "b")])
+    assert sorted((r["src"], r["trg"], r["events"]) for r in both.collect()) == [("x", "y", 3), ("x", "z", 3)]
