@@ -21,9 +21,9 @@ from .catalog import query
 
 
 def _text(t, rows: DataFrame) -> str:
-    """Path of the rows (one text column) as lines of text."""
+    """Path of the rows (one text column) as lines of text, packed: raw records are many times as long as the columns they are made from."""
     path = scratch_path(t.spark, "feed")
-    rows.write.text(path)
+    rows.write.text(path, compression="gzip")
     return path
 
 
@@ -181,17 +181,23 @@ def event_index(t):
     CASE WHEN idx % 7 = 0 THEN 7.5e0 END AS score, CASE WHEN idx % 7 = 3 THEN 'T1|T2' ELSE '' END AS uses, CASE WHEN idx % 7 = 5 THEN 'impact' ELSE '' END AS phases FROM attribute WHERE idx % 7 < 6)
   SELECT event_id, key, min(kind) AS kind, min_by(source, idx) AS source, min_by(zones, idx) AS zones, min(score) AS score, min(uses) AS uses, min(phases) AS phases FROM a GROUP BY event_id, key""")
 def parsed(t):
-    """Staging events as nested JSON through the reader, the exploder, the parser and the dedup inside an event."""
-    k, ind, mal = F.col("idx") % 7, (lambda n: (F.col("indicator_id") % n).cast("string")), _s("malware_id")
-    pick = lambda *xs: reduce(lambda a, x: a.when(k == x[0], x[1]), xs[1:], F.when(k == xs[0][0], xs[0][1]))
-    kind = pick((0, "vulnerability"), (1, "ip-dst"), (2, "hostname"), (3, "threat-actor"), (4, "malware-type"), (5, "text"), (6, "url"))
-    value = pick((0, F.concat(F.lit(" cve-2024-"), ind(3))), (1, F.concat(F.lit("10.0.0."), ind(50))), (2, F.concat(F.lit("h"), ind(50), F.lit(" "))), (3, F.concat(F.lit("Bear "), mal)), (4, F.concat(F.lit("Worm "), mal)), (5, F.concat(F.lit("T"), (F.col("indicator_id") % 40 + 1000).cast("string"))), (6, F.lit("  ")))
-    comment = pick((0, F.lit('NVD_META:{"cvss_v31_data": {"base_score": 7.5}}')), (3, F.lit('MITRE_USES_TECHNIQUES:{"t": ["T1", "T2"]}\nmore')), (5, F.lit('MITRE_TACTIC_PHASES:["impact"]')), (4, F.lit("MITRE_USES_TECHNIQUES:{broken")))
-    name = lambda c: F.struct(c.alias("name"))
-    one = F.struct("idx", kind.alias("type"), value.alias("value"), comment.alias("comment"), F.array(name(F.concat(F.lit("source:"), "source_name")), name(F.concat(F.lit("zone:"), "zone"))).alias("tags"))
-    events = t.attribute.groupBy(_s("event_id").alias("id")).agg(F.array_sort(F.collect_list(one)).alias("attributes")).withColumn("tags", F.array(name(F.lit("sector: Energy"))))
+    """Staging events as nested JSON through the reader, the exploder, the parser and the dedup inside an event. An event's rows are gathered as they
+    are, and become texts in their list."""
+
+    def attribute(row):
+        k, ind, mal = row["idx"] % 7, (lambda n: (row["indicator_id"] % n).cast("string")), row["malware_id"].cast("string")
+        pick = lambda *xs: reduce(lambda a, x: a.when(k == x[0], x[1]), xs[1:], F.when(k == xs[0][0], xs[0][1]))
+        kind = pick((0, "vulnerability"), (1, "ip-dst"), (2, "hostname"), (3, "threat-actor"), (4, "malware-type"), (5, "text"), (6, "url"))
+        value = pick((0, F.concat(F.lit(" cve-2024-"), ind(3))), (1, F.concat(F.lit("10.0.0."), ind(50))), (2, F.concat(F.lit("h"), ind(50), F.lit(" "))), (3, F.concat(F.lit("Bear "), mal)), (4, F.concat(F.lit("Worm "), mal)), (5, F.concat(F.lit("T"), (row["indicator_id"] % 40 + 1000).cast("string"))), (6, F.lit("  ")))
+        comment = pick((0, F.lit('NVD_META:{"cvss_v31_data": {"base_score": 7.5}}')), (3, F.lit('MITRE_USES_TECHNIQUES:{"t": ["T1", "T2"]}\nmore')), (5, F.lit('MITRE_TACTIC_PHASES:["impact"]')), (4, F.lit("MITRE_USES_TECHNIQUES:{broken")))
+        name = lambda c: F.struct(c.alias("name"))
+        return F.struct(row["idx"].alias("idx"), kind.alias("type"), value.alias("value"), comment.alias("comment"), F.array(name(F.concat(F.lit("source:"), row["source_name"])), name(F.concat(F.lit("zone:"), row["zone"]))).alias("tags"))
+
+    rows = F.array_sort(F.collect_list(F.struct("idx", "indicator_id", "malware_id", "source_name", "zone")))
+    events = t.attribute.groupBy("event_id").agg(rows.alias("rows")).select(_s("event_id").alias("id"), F.transform("rows", attribute).alias("attributes"), F.array(F.struct(F.lit("sector: Energy").alias("name"))).alias("tags"))
     attrs = P.explode_events(feeds.staging_events(t.spark, _json(t, events)))
-    items = P.dedup_items(P.parse_attributes(attrs))
+    # The dedup takes whole rows, so it is given the columns that are asked for.
+    items = P.dedup_items(P.parse_attributes(attrs).select("event_id", "idx", "key", "kind", "source", "zones", "score", "uses_techniques", "tactic_phases"))
     return items.select(F.col("event_id").cast("long").alias("event_id"), "key", "kind", "source", F.array_join("zones", "|").alias("zones"), "score", F.array_join("uses_techniques", "|").alias("uses"), F.array_join("tactic_phases", "|").alias("phases"))
 
 

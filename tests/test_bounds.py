@@ -108,3 +108,14 @@ def test_pairs_of_an_event_are_counted_without_events(spark, frame):
     # A type of two rules tells its events apart: in event 3, x stands for both kinds.
     both = L.event_relations(items, [("R", "a", "b"), ("R", "c", "b")])
     assert sorted((r["src"], r["trg"], r["events"]) for r in both.collect()) == [("x", "y", 3), ("x", "z", 3)]
+
+
+def test_raw_records_are_packed_and_dedup_takes_what_is_asked_for(spark):
+    from sigilgraph.plans import readers
+
+    path = readers._text(catalog.Tables(spark, SF), spark.range(1000).select(F.repeat(F.lit("record "), F.lit(50)).alias("value")))
+    files = glob.glob(f"{path.removeprefix('file://')}/part-*")
+    assert files and all(f.endswith(".gz") for f in files)
+    assert spark.read.text(path).distinct().count() == 1 and spark.read.text(path).count() == 1000
+    plan = planned(catalog.queries()["S17_P10_parse"](spark, SF))
+    assert "OTX_META" not in plan and "key" in plan
