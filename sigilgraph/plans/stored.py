@@ -14,9 +14,9 @@ _FOLD = "CASE WHEN len(list_filter({0}, lambda x: x <> 'global')) > 0 THEN array
 BATCHES = ["event_id % 3 = 2", "event_id % 3 = 0", "event_id % 3 = 2", "event_id % 3 = 1"]
 
 
-def _stored(t, rules: Rules, claims: DataFrame, batches: list[str] = BATCHES) -> tuple[KeyedTable, list]:
+def _stored(t, rules: Rules, claims: DataFrame, batches: list[str] = BATCHES, direct: bool = False) -> tuple[KeyedTable, list]:
     table = KeyedTable(t.spark, scratch_path(t.spark, "table"), rules)
-    return table, [table.upsert(claims.where(b)) for b in batches]
+    return table, [table.upsert(claims.where(b), direct) for b in batches]
 
 
 NODES = Rules(["indicator_id"], "seq", highest=["confidence"], earliest=["first_seen"], latest=["last_seen"], first=["tag"], last=["last_zone"], sets=["sources", "zones"])
@@ -31,6 +31,7 @@ def node_claims(t) -> DataFrame:
 def stored_nodes(t):
     from ..functions.scalars import zone_fold
 
+    t.written("attribute", ["indicator_id", "event_id", "seq", "confidence", "seen", "source_name", "zone"])
     table, _ = _stored(t, NODES, node_claims(t))
     return table.read().select("indicator_id", "confidence", F.unix_timestamp("first_seen").alias("first_seen"), F.unix_timestamp("last_seen").alias("last_seen"), "tag", "last_zone", F.array_join("sources", "|").alias("sources"), F.array_join(zone_fold(F.col("zones")), "|").alias("zones"))
 
@@ -38,7 +39,8 @@ def stored_nodes(t):
 @query("M2_stored_provenance", "SELECT indicator_id, source_name, epoch(min(seen))::BIGINT AS first, epoch(max(seen))::BIGINT AS last, arg_min(zone, seq) AS raw FROM attribute GROUP BY indicator_id, source_name")
 def stored_provenance(t):
     rules = Rules(["indicator_id", "source_name"], "seq", earliest=["first"], latest=["last"], first=["raw"])
-    table, _ = _stored(t, rules, t.attribute.select("indicator_id", "source_name", "event_id", "seq", F.col("seen").alias("first"), F.col("seen").alias("last"), F.col("zone").alias("raw")))
+    a = t.written("attribute", ["indicator_id", "source_name", "event_id", "seq", "seen", "zone"])
+    table, _ = _stored(t, rules, a.select("indicator_id", "source_name", "event_id", "seq", F.col("seen").alias("first"), F.col("seen").alias("last"), F.col("zone").alias("raw")))
     return table.read().select("indicator_id", "source_name", F.unix_timestamp("first").alias("first"), F.unix_timestamp("last").alias("last"), "raw")
 
 
@@ -49,15 +51,18 @@ def stored_edges(t):
     events of an edge are rows of a table of their own."""
     keys = ["indicator_id", "malware_id"]
     rules = Rules(keys, "seq", last=["confidence", "calibrated"], sets=["sources"])
-    claims = t.attribute.select(*keys, "event_id", "seq", "confidence", F.lit(None).cast("double").alias("calibrated"), F.array("source_name").alias("sources"))
+    a = t.written("attribute", [*keys, "event_id", "seq", "confidence", "source_name"])
+    claims = a.select(*keys, "event_id", "seq", "confidence", F.lit(None).cast("double").alias("calibrated"), F.array("source_name").alias("sources"))
     frozen = t.indicates.where("malware_id % 4 = 0").select(*keys, F.lit(0).cast("long").alias("seq"), F.lit(None).cast("double").alias("confidence"), F.lit(0.3).alias("calibrated"), F.array().cast("array<string>").alias("sources"))
-    edges, _ = _stored(t, rules, claims, BATCHES[:2])
+    # Few claims share an edge, and fewer a member of one.
+    edges, _ = _stored(t, rules, claims, BATCHES[:2], direct=True)
     edges.upsert(frozen)
     for b in BATCHES[2:]:
-        edges.upsert(claims.where(b))
-    members, _ = _stored(t, Rules([*keys, "event_id"]), t.attribute.select(*keys, "event_id"))
+        edges.upsert(claims.where(b), direct=True)
+    members, _ = _stored(t, Rules([*keys, "event_id"]), a.select(*keys, "event_id"), direct=True)
     events = members.read().groupBy(*keys).agg(F.count("*").alias("events"))
-    return edges.read().join(events, keys).select(*keys, F.coalesce("calibrated", "confidence").alias("confidence"), F.col("calibrated").isNotNull().alias("calibrated"), F.array_join("sources", "|").alias("sources"), "events")
+    told = edges.read().select(*keys, F.coalesce("calibrated", "confidence").alias("confidence"), F.col("calibrated").isNotNull().alias("calibrated"), F.array_join("sources", "|").alias("sources"))
+    return told.join(events, keys).select(*keys, "confidence", "calibrated", "sources", "events")
 
 
 _TOLD = """b AS (SELECT indicator_id, CASE event_id % 3 WHEN 2 THEN 1 WHEN 0 THEN 2 ELSE 4 END AS version, count(*) AS n, max(seen) AS c FROM attribute GROUP BY 1, 2),
@@ -68,12 +73,14 @@ _TOLD = """b AS (SELECT indicator_id, CASE event_id % 3 WHEN 2 THEN 1 WHEN 0 THE
 @query("M15_write_counts", f"WITH {_TOLD} SELECT version, asked, touched, inserted, changed FROM w UNION ALL SELECT 3, asked, touched, 0, 0 FROM w WHERE version = 1")
 def write_counts(t):
     """What each batch was asked for, touched, inserted and changed; the third repeats the first and changes nothing."""
-    table, told = _stored(t, Rules(["indicator_id"], latest=["last_seen"]), t.attribute.select("indicator_id", "event_id", F.col("seen").alias("last_seen")))
+    a = t.written("attribute", ["indicator_id", "event_id", "seen"])
+    table, told = _stored(t, Rules(["indicator_id"], latest=["last_seen"]), a.select("indicator_id", "event_id", F.col("seen").alias("last_seen")))
     return t.spark.createDataFrame([(w.version, w.asked, w.touched, w.inserted, w.changed) for w in told], "version int, asked long, touched long, inserted long, changed long")
 
 
 @query("K2_changed_since", f"WITH {_TOLD} SELECT indicator_id, epoch(max(c))::BIGINT AS last_seen, min(version)::INTEGER AS created, 4 AS changed FROM b GROUP BY indicator_id HAVING indicator_id IN (SELECT indicator_id FROM k WHERE version = 4 AND (old IS NULL OR c > old))")
 def changed_since(t):
     """What a consumer reads that knows the table as of version 3."""
-    table, _ = _stored(t, Rules(["indicator_id"], latest=["last_seen"]), t.attribute.select("indicator_id", "event_id", F.col("seen").alias("last_seen")))
+    a = t.written("attribute", ["indicator_id", "event_id", "seen"])
+    table, _ = _stored(t, Rules(["indicator_id"], latest=["last_seen"]), a.select("indicator_id", "event_id", F.col("seen").alias("last_seen")))
     return table.read(since=3).withColumn("last_seen", F.unix_timestamp("last_seen"))

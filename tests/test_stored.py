@@ -160,3 +160,26 @@ def test_dispatch_moves_definitions_once(frame):
     routed = plan(D.routed(d))
     assert routed.count("regexp_replace") == 6 and "lambda x" in routed and "= rel_type" not in routed
     assert plan(D.Dispatch(d, D.endpoint_index(frame([], NODES))).members).count("Exchange hashpartitioning") == 1
+
+
+def test_direct_claims_give_the_same_table_without_a_copy(spark, frame, monkeypatch):
+    from sigilgraph.operators import store
+
+    rules = Rules(["k"], "at", highest=["c"], last=["v"], sets=["s"], counts=["n"])
+    kind = "k string, at long, c double, v string, s array<string>, n int"
+    batches = [frame([("a", 1, 0.5, "x", ["p"], 1), ("b", 2, 0.1, None, ["q"], 1), ("a", 3, 0.2, "y", ["q"], 1), (None, 4, 1.0, "z", [], 1)], kind), frame([("a", 2, 0.9, "w", ["r"], 1), ("c", 1, 0.3, "u", [], 1)], kind)]
+    tables = [KeyedTable(spark, scratch_path(spark, "t"), rules, buckets=2) for _ in range(2)]
+    told = [tables[0].upsert(b) for b in batches]
+    monkeypatch.setattr(store, "materialize", None)  # no copy of the claims is written
+    assert [tables[1].upsert(b, direct=True) for b in batches] == told
+    rows = [sorted(map(tuple, t.read().collect()), key=str) for t in tables]
+    assert rows[0] == rows[1] and len(rows[0]) == 3
+    assert [(w.asked, w.touched, w.inserted) for w in told] == [(3, 2, 2), (2, 2, 1)]
+
+
+def test_a_domain_table_that_is_written_is_read_by_those_made_of_it(spark):
+    from sigilgraph.plans import catalog
+
+    t = catalog.Tables(spark, "/root/testdata/sf0.001")
+    t.written("attribute", ["indicator_id", "malware_id"])
+    assert "l_orderkey" not in t.indicates._jdf.queryExecution().optimizedPlan().toString()
