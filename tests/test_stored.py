@@ -183,3 +183,14 @@ def test_a_domain_table_that_is_written_is_read_by_those_made_of_it(spark):
     t = catalog.Tables(spark, "/root/testdata/sf0.001")
     t.written("attribute", ["indicator_id", "malware_id"])
     assert "l_orderkey" not in t.indicates._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_alert_messages_are_packed(spark):
+    import glob
+
+    from sigilgraph.plans import alerting, catalog
+
+    store = alerting._runs(catalog.Tables(spark, "/root/testdata/sf0.001"))
+    files = glob.glob(f"{store.path.removeprefix('file://').removesuffix('/store')}/in/part-*")
+    assert files and all(f.endswith(".gz") for f in files)
+    assert store.alerts.read().count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
