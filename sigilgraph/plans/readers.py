@@ -21,9 +21,10 @@ from .catalog import query
 
 
 def _text(t, rows: DataFrame) -> str:
-    """Path of the rows (one text column) as lines of text, packed: raw records are many times as long as the columns they are made from."""
+    """Path of the rows (one text column) as lines of text, packed: raw records are many times as long as the columns they are made from. A packed
+    file is read by one task, so files are kept small."""
     path = scratch_path(t.spark, "feed")
-    rows.write.text(path, compression="gzip")
+    rows.write.option("maxRecordsPerFile", 50_000).text(path, compression="gzip")
     return path
 
 
